@@ -11,20 +11,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CENTS = "decimal(18,2)"
+LIMIT = 1e16
 
 
 def line_amount() -> Column:
     return F.col("quantity") * F.col("unit_price")
 
 
+def _fits(amount: Column) -> Column:
+    return F.abs(amount) < LIMIT
+
+
 def exact_cents(amount: Column) -> Column:
     """The amount rounded half up to cents, or NULL if it does not fit."""
-    return amount.try_cast(CENTS)
+    return F.when(_fits(amount), amount).cast(CENTS)
 
 
 def beyond_cents(amount: Column) -> Column:
     """The amount where `exact_cents` gives NULL, else NULL."""
-    return F.when(exact_cents(amount).isNull(), amount)
+    return F.when(~_fits(amount), amount)
 
 
 def as_double(cents: Column, beyond: Column) -> Column:

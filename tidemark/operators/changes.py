@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rows import last_per_key
 from tidemark.operators.decode import decode_changes
-from tidemark.schemas import KEY, KNOWN_OPS, REASON_MALFORMED, ROW_FIELDS
+from tidemark.schemas import CHANGE_FIELDS, KEY, KNOWN_OPS, REASON_MALFORMED, ROW_FIELDS
 
 
 def change_key() -> Column:
@@ -45,7 +45,7 @@ def change_rejects(decoded: DataFrame) -> DataFrame:
 
 def change_dead_letters(raw: DataFrame) -> DataFrame:
     """Dead-letter rows of a change topic."""
-    return change_rejects(decode_changes(raw))
+    return change_rejects(decode_changes(raw, CHANGE_FIELDS))
 
 
 def latest_change_per_key(

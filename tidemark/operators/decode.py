@@ -45,14 +45,23 @@ def parse_events(
     return decode_with_raw(raw, fields, keep).drop("raw_json")
 
 
-def decode_changes(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def decode_changes(
+    raw: DataFrame,
+    fields: Mapping[str, str] = ENVELOPE_FIELDS,
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Records to change envelopes with the payload, rejects included."""
-    return _expand_json(raw, ENVELOPE_FIELDS, keep)
+    return _expand_json(raw, fields, keep)
 
 
-def parse_cdc_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def parse_cdc_events(
+    raw: DataFrame,
+    fields: Mapping[str, str] = ENVELOPE_FIELDS,
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Records to change envelopes; records without an operation (tombstones, text) are left out.
 
-    `tidemark.operators.changes.change_dead_letters` returns what is left out here.
+    `tidemark.operators.changes.change_dead_letters` returns what is left out here. With
+    ``CHANGE_FIELDS`` only what `tidemark.operators.changes.flatten_changes` reads is parsed.
     """
-    return decode_changes(raw, keep).drop("raw_json").filter(F.col("op").isNotNull())
+    return decode_changes(raw, fields, keep).drop("raw_json").filter(F.col("op").isNotNull())

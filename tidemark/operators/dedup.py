@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.rows import first_per_key
 
 
+STREAM_SALTS = 32
+
+
 def dedup_events(
     events: DataFrame, order_by: Sequence[str] = ("event_time",), delay: str = "2 minutes"
 ) -> DataFrame:
@@ -20,9 +23,20 @@ def dedup_events(
     the input there must be valid events, which have an id.
     """
     if events.isStreaming:
-        return events.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(
-            ["event_id"]
-        )
+        return _dedup_stream(events, delay)
     identified = events.filter(F.col("event_id").isNotNull())
     anonymous = events.filter(F.col("event_id").isNull())
     return first_per_key(identified, ["event_id"], order_by).unionByName(anonymous)
+
+
+def _dedup_stream(events: DataFrame, delay: str) -> DataFrame:
+    """Two steps, because streaming de-duplication does not combine before its shuffle.
+
+    The first step knows an id per group of input tasks, so the copies of one id meet in up to
+    `STREAM_SALTS` tasks; the second step, which alone decides, sees what is left of them.
+    """
+    salted = events.withWatermark("event_time", delay).withColumn(
+        "_salt", F.spark_partition_id() % STREAM_SALTS
+    )
+    fewer = salted.dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
+    return fewer.dropDuplicatesWithinWatermark(["event_id"])

@@ -22,7 +22,8 @@ def batch_cutoffs(
     """
     block = F.floor(F.col(batch) / BATCHES_PER_BLOCK)
     highs = (
-        events.groupBy(batch)
+        events.filter(F.col(batch).isNotNull())
+        .groupBy(batch)
         .agg(F.max("event_time").alias("_high"))
         .withColumn("_block", block)
     )
@@ -36,7 +37,7 @@ def batch_cutoffs(
         .select("_block", F.max("_high").over(earlier_blocks).alias("_carried"))
     )
     seen = F.greatest(F.max("_high").over(before), F.col("_carried"))
-    return highs.join(carried, "_block").select(
+    return highs.join(carried, "_block", "left").select(
         batch, (seen - interval(delay)).alias("cutoff")
     )
 

@@ -13,6 +13,7 @@ from tidemark.operators.changes import (
 )
 from tidemark.operators.decode import parse_cdc_events
 from tidemark.operators.state import fold_changes, merge_changes
+from tidemark.schemas import CHANGE_FIELDS
 from tidemark.sources.tables import change_topic, product_state, table
 
 CHANGES_SQL = """
@@ -61,7 +62,8 @@ SELECT sku, category, unit_price, stock, updated_at FROM latest WHERE op <> 'd'"
 
 
 def _changes(spark, sf_dir, *extra):
-    events = parse_cdc_events(change_topic(spark, sf_dir, *extra), keep=("offset", *extra))
+    topic = change_topic(spark, sf_dir, *extra)
+    events = parse_cdc_events(topic, CHANGE_FIELDS, keep=("offset", *extra))
     return flatten_changes(events, keep=("offset", *extra))
 
 

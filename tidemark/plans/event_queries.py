@@ -38,7 +38,7 @@ from tidemark.plans.event_sql import (
     tumbling,
 )
 from tidemark.schemas import EVENT_FIELDS, REASON_MALFORMED, REVENUE_FIELDS
-from tidemark.sources.tables import bulk_sales, feed, feed_events, feed_records, table
+from tidemark.sources.tables import bulk_sales, feed, feed_events, feed_records, spread, table
 
 _TIMES = ("event_time", "window_start", "window_end", "cutoff")
 
@@ -53,11 +53,11 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bulk_sales(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+    return bulk_sales(spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "part"))
 
 
 def _source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_events(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"))
+    return feed_events(spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"))
 
 
 def routed_revenue(spark, sf_dir):
@@ -182,7 +182,7 @@ def _late_by_microbatch(spark, sf_dir):
 def _dedup_events(spark, sf_dir):
     """One segment's records arrive three times each."""
     records = feed_records(
-        table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), "segment"
+        spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"), "segment"
     )
     sends = F.when(F.col("segment") == "BUILDING", 3).otherwise(1)
     sent = records.select("value", F.explode(F.sequence(F.lit(1), sends)).alias("attempt"))

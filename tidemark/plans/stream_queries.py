@@ -20,12 +20,13 @@ from tidemark.operators.state import live_rows
 from tidemark.plans.change_queries import CHANGES_SQL, folded_sql, latest_sql
 from tidemark.plans.event_queries import presented
 from tidemark.plans.event_sql import EARLY_SEGMENTS, FEED, WAVE_DELAY_DAYS, sliding, tumbling
-from tidemark.schemas import KEY, REVENUE_FIELDS
+from tidemark.schemas import CHANGE_FIELDS, KEY, REVENUE_FIELDS
 from tidemark.sources.tables import (
     change_records,
     change_topic,
     feed_records,
     feed_stream,
+    spread,
     table,
     table_stream,
 )
@@ -113,7 +114,7 @@ def _stream_revenue_sliding(spark, sf_dir):
 def _routed_tables(spark, sf_dir) -> RoutedTables:
     """Some segments arrive first; the others follow and are late against what was seen."""
     records = feed_records(
-        table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), "segment"
+        spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"), "segment"
     )
     early = F.col("segment").isin(*EARLY_SEGMENTS)
     out = scratch_dir(spark, "routed")
@@ -154,9 +155,8 @@ def _stream_cdc_state(spark, sf_dir):
 def _stream_cdc_update(spark, sf_dir):
     """The state as a streaming aggregate, without a table to merge into."""
     records = change_records(table_stream(spark, sf_dir, "lineitem"))
-    changes = applicable_changes(
-        flatten_changes(parse_cdc_events(records, keep=("offset",)), keep=("offset",))
-    )
+    events = parse_cdc_events(records, CHANGE_FIELDS, keep=("offset",))
+    changes = applicable_changes(flatten_changes(events, keep=("offset",)))
     stream = latest_change_per_key(changes)
     versions = _versions(stream, spark, "keyed", "update", LOG_FIELDS)
     return live_rows(current_versions(versions, [KEY]))

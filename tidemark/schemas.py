@@ -69,6 +69,9 @@ def pick(fields: Mapping[str, str], *names: str) -> dict[str, str]:
 _IMAGE = f"struct<{', '.join(f'{n}: {t}' for n, t in ROW_FIELDS.items())}>"
 ENVELOPE_FIELDS = {"before": _IMAGE, "after": _IMAGE, "op": "string", "ts_ms": "bigint"}
 
+# What a flat change needs of an envelope, for a narrow decode: of the old image only the key.
+CHANGE_FIELDS = {**ENVELOPE_FIELDS, "before": f"struct<{KEY}: {ROW_FIELDS[KEY]}>"}
+
 DLQ_FIELDS = {"event_id": "string", "raw_json": "string", "dlq_reason": "string"}
 
 # The fields windowed revenue needs, for a narrow decode.

@@ -37,6 +37,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give each core a share of a scan whose few files would leave most cores idle.
+
+    A table with more splits than half the cores, which is any large one, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
     """A table as a stream. The path is a glob, so it may be one file or a folder of files."""
     return (
@@ -94,7 +103,7 @@ def feed_records(events: DataFrame, customer: DataFrame, *extra: str) -> DataFra
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event topic as a table."""
-    return feed_records(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"))
+    return feed_records(spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"))
 
 
 def feed_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -125,46 +134,59 @@ def change_records(lineitem: DataFrame, *extra: str) -> DataFrame:
     op = F.element_at(
         F.create_map(*[F.lit(x) for pair in OPS.items() for x in pair]), F.col("l_returnflag")
     )
+    tenth = F.col("l_discount") == 0.1
+    kind = (
+        F.when(tenth & (F.col("l_tax") == 0.08), "text")
+        .when(tenth & (F.col("l_tax") == 0.0), "truncate")
+        .otherwise("change")
+    )
+    sends = F.when((op == "d") & (kind == "change"), F.array(F.lit(False), F.lit(True)))
+    lines = lineitem.select(
+        "*",
+        op.alias("op"),
+        kind.alias("kind"),
+        wire_text("l_shipdate").alias("updated_at"),
+        _text("SKU", "l_partkey").alias("sku"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
+        F.explode(F.coalesce(sends, F.array(F.lit(False)))).alias("tombstone"),
+    )
 
     def image(price: Column) -> Column:
         return F.struct(
-            _text("SKU", "l_partkey").alias("sku"),
+            "sku",
             _text("S", "l_suppkey").alias("category"),
             price.alias("unit_price"),
             F.col("l_quantity").cast("int").alias("stock"),
-            wire_text("l_shipdate").alias("updated_at"),
+            "updated_at",
         )
 
     new = image(F.col("l_extendedprice"))
     old = image(F.col("l_extendedprice") * (1 - F.col("l_discount")))
     envelope = F.to_json(
         F.struct(
-            F.when(op != "c", old).alias("before"),
-            F.when(op != "d", new).alias("after"),
-            op.alias("op"),
+            F.when(F.col("op") != "c", old).alias("before"),
+            F.when(F.col("op") != "d", new).alias("after"),
+            "op",
             F.unix_millis("l_shipdate").alias("ts_ms"),
         )
     )
-    offset = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    tenth = F.col("l_discount") == 0.1
     body = (
-        F.when(tenth & (F.col("l_tax") == 0.08), F.concat(F.lit("no change "), offset))
-        .when(tenth & (F.col("l_tax") == 0.0), F.lit('{"op":"t"}'))
+        F.when(F.col("tombstone"), F.lit(None).cast("string"))
+        .when(F.col("kind") == "text", F.concat(F.lit("no change "), F.col("offset")))
+        .when(F.col("kind") == "truncate", F.lit('{"op":"t"}'))
         .otherwise(envelope)
     )
-    deleted = (op == "d") & body.startswith('{"before"')
-    bodies = F.when(deleted, F.array(body, F.lit(None).cast("string"))).otherwise(F.array(body))
-    return lineitem.select(
-        _text("SKU", "l_partkey").cast("binary").alias("key"),
-        F.explode(bodies).alias("body"),
-        offset.alias("offset"),
+    return lines.select(
+        F.col("sku").cast("binary").alias("key"),
+        body.cast("binary").alias("value"),
+        "offset",
         *extra,
-    ).withColumn("value", F.col("body").cast("binary")).drop("body")
+    )
 
 
 def change_topic(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The change topic as a table."""
-    return change_records(table(spark, sf_dir, "lineitem"), *extra)
+    return change_records(spread(table(spark, sf_dir, "lineitem")), *extra)
 
 
 def product_state(part: DataFrame) -> DataFrame:

@@ -21,9 +21,9 @@ from tidemark.operators.changes import (
     flatten_changes,
     latest_change_per_key,
 )
-from tidemark.operators.decode import decode_changes
+from tidemark.operators.decode import decode_changes, parse_cdc_events
 from tidemark.operators.state import last_changes, live_rows, merge_into_table
-from tidemark.schemas import DLQ_FIELDS, ROW_FIELDS
+from tidemark.schemas import CHANGE_FIELDS, DLQ_FIELDS, ROW_FIELDS
 from tidemark.streaming.sinks import each_batch, read_batches, write_batch
 
 LOG_FIELDS = {**ROW_FIELDS, "op": "string", "ts_ms": "bigint", "offset": "bigint"}
@@ -47,7 +47,7 @@ class ChangeLog:
     def apply(self, records: DataFrame, batch_id: int) -> None:
         """Add one micro-batch of topic records; rejects go to the dead letters."""
         keep = ["offset"] if "offset" in records.columns else []
-        decoded = decode_changes(records, keep).persist(StorageLevel.MEMORY_AND_DISK)
+        decoded = decode_changes(records, CHANGE_FIELDS, keep).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             changes = applicable_changes(
                 flatten_changes(decoded.filter(F.col("op").isNotNull()), keep)
@@ -108,7 +108,5 @@ class ChangeLog:
 def merge_writer(records: DataFrame, target: str, checkpoint: str) -> DataStreamWriter:
     """Merge a change stream into a table of a catalog with row-level operations."""
     keep = ["offset"] if "offset" in records.columns else []
-    changes = flatten_changes(
-        decode_changes(records, keep).filter(F.col("op").isNotNull()), keep
-    )
+    changes = flatten_changes(parse_cdc_events(records, CHANGE_FIELDS, keep), keep)
     return each_batch(changes, lambda rows, _: merge_into_table(rows, target), checkpoint)
