@@ -38,7 +38,7 @@ def test_time_is_an_instant_whatever_the_session_zone(raw):
     )
 
 
-@pytest.mark.parametrize("text", [None, "", "not even json", "{}", "[1, 2]"])
+@pytest.mark.parametrize("text", [None, "", "plainly no JSON", "{}", "[1, 2]"])
 def test_unusable_payloads_give_nulls_and_keep_the_text(raw, text):
     row = only(decode_with_raw(raw([text])))
     assert row.raw_json == text
@@ -60,8 +60,8 @@ def test_trailing_text_extra_fields_and_numeric_ids(raw):
 
 
 def test_unreadable_time_is_null_not_an_error(raw):
-    row = only(parse_events(raw([sale("s", "around noonish")])))
-    assert row.ts == "around noonish" and row.event_time is None
+    row = only(parse_events(raw([sale("s", "some time today")])))
+    assert row.ts == "some time today" and row.event_time is None
 
 
 def test_text_values_decode_like_binary_ones(spark):

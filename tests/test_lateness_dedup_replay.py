@@ -55,11 +55,13 @@ def test_first_copy_stays_and_rows_without_id_are_kept(raw):
         [("a", stamp(10)), ("b", stamp(5)), ("hot", stamp(3)), ("", stamp(1)), ("", stamp(1))]
     )
     assert kept.columns == parse_events(raw(texts)).columns
+    identified = parse_events(raw(texts)).filter("event_id IS NOT NULL")
+    assert dedup_events(identified, all_have_ids=True).count() == 3
 
 
 def test_replay_gives_the_table_without_lateness(raw):
     texts = [sale(f"s{i}", stamp(7 * i), quantity=i % 4, unit_price=0.1 * i) for i in range(60)]
-    texts += ["not even json", '{"event_type":"mystery","event_id":"m","ts":"%s"}' % stamp(1)]
+    texts += ["plainly no JSON", '{"event_type":"refund","event_id":"m","ts":"%s"}' % stamp(1)]
     routed = with_route(decode_with_raw(raw(texts)), stamp(200))
     parts = revenue_parts(on_time(routed))
     complete = revenue_table(revenue_parts(parse_events(raw(texts))))

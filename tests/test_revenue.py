@@ -92,7 +92,7 @@ def test_orders_count_sales_with_missing_numbers_and_null_category(raw):
                 sale("a", DAY + "10:00:10Z", quantity=None),
                 sale("b", DAY + "10:00:20Z", category=None),
                 sale("c", DAY + "10:00:30Z"),
-                sale("d", "around noonish"),
+                sale("d", "some time today"),
             ]
         )
     )

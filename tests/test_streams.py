@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.decode import parse_events
 from tidemark.operators.dedup import dedup_events
 from tidemark.operators.revenue import revenue_sliding, revenue_tumbling
+from tidemark.sources.catalogs import keyed_state_configs
 from tidemark.sources.topics import publish, read_file_topic
 from tidemark.streaming.routed import RoutedTables
 from tidemark.streaming.sinks import (
@@ -128,7 +129,7 @@ def test_console_and_table_writers(spark, raw, tmp_path):
 
 
 def routed_batches():
-    first = [sale(f"a{t}", stamp(t)) for t in range(0, 600, 20)] + ["not even json"]
+    first = [sale(f"a{t}", stamp(t)) for t in range(0, 600, 20)] + ["plainly no JSON"]
     second = [sale("late", stamp(10)), sale("edge", stamp(460)), sale("new", stamp(900))]
     third = [sale("late2", stamp(700)), sale("ok", stamp(800)), "{}", None]
     return [first, second, third]
@@ -165,7 +166,18 @@ def test_replayed_batch_leaves_both_tables_as_they_were(spark, raw, tmp_path):
     assert (rows(tables.revenue(spark)), rows(tables.dlq(spark))) == before
 
 
-def test_stream_dedup_across_batches(spark, raw, tmp_path):
+@pytest.mark.parametrize("on_disk", [False, True])
+def test_stream_dedup_across_batches(spark, raw, tmp_path, on_disk):
+    for name, value in keyed_state_configs().items() if on_disk else ():
+        spark.conf.set(name, value)
+    try:
+        _dedup_across_batches(spark, raw, tmp_path)
+    finally:
+        for name in keyed_state_configs():
+            spark.conf.unset(name)
+
+
+def _dedup_across_batches(spark, raw, tmp_path):
     path = str(tmp_path / "topic")
     first = [sale(f"s{i % 10}", stamp(i % 10)) for i in range(40)]
     second = [sale(f"s{i}", stamp(i)) for i in range(5, 15)]
@@ -192,7 +204,7 @@ def change_batches():
             envelope("c", after=image("C", 5.0), ts_ms=100),
             '{"op":"t"}',
         ],
-        [envelope("c", after=image("D", 4.0), ts_ms=50), "not even json"],
+        [envelope("c", after=image("D", 4.0), ts_ms=50), "plainly no JSON"],
     ]
 
 
@@ -219,7 +231,7 @@ def test_state_across_batches_replay_and_folding(spark, raw, tmp_path, guard, wa
     publish_each(raw, path, [[envelope("d", before=image("D"), ts_ms=900)]])
     drain(log.writer(topic(spark, path), checkpoint))
     assert state() == {k: v for k, v in want.items() if k != "D"}
-    assert sorted(r.raw_json for r in log.dlq(spark).collect()) == ["not even json", '{"op":"t"}']
+    assert sorted(r.raw_json for r in log.dlq(spark).collect()) == ["plainly no JSON", '{"op":"t"}']
 
 
 def test_unfinished_base_is_ignored(spark, raw, tmp_path):

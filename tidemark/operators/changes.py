@@ -34,9 +34,14 @@ def applicable_changes(changes: DataFrame) -> DataFrame:
 
 
 def change_rejects(decoded: DataFrame) -> DataFrame:
-    """Dead-letter rows of `decode_changes`. Only a tombstone (NULL payload) is not one."""
-    rejected = decoded.filter(F.col("raw_json").isNotNull() & ~is_applicable(change_key()))
-    return rejected.select(
+    """Dead-letter rows of `decode_changes`. Only a tombstone (NULL payload) is not one.
+
+    One condition on parsed fields: a separate test of the payload would move below the parse and
+    compute a derived payload a second time.
+    """
+    tombstone = F.col("raw_json").isNull()
+    rejected = F.when(tombstone, F.lit(False)).otherwise(~is_applicable(change_key()))
+    return decoded.filter(rejected).select(
         F.coalesce(change_key(), F.lit("unknown")).alias("event_id"),
         "raw_json",
         F.lit(REASON_MALFORMED).alias("dlq_reason"),

@@ -14,16 +14,22 @@ STREAM_SALTS = 32
 
 
 def dedup_events(
-    events: DataFrame, order_by: Sequence[str] = ("event_time",), delay: str = "2 minutes"
+    events: DataFrame,
+    order_by: Sequence[str] = ("event_time",),
+    delay: str = "2 minutes",
+    all_have_ids: bool = False,
 ) -> DataFrame:
     """One event per ``event_id``; events without an id are all kept.
 
     On a table the first copy in ``order_by`` stays, and copies shrink to one per task before the
-    shuffle. On a stream the first copy to arrive stays and later ones within ``delay`` are dropped;
-    the input there must be valid events, which have an id.
+    shuffle. Valid events all have ids; saying so saves the second read that looks for those without.
+    On a stream the first copy to arrive stays and later ones within ``delay`` are dropped; the input
+    there must be valid events.
     """
     if events.isStreaming:
         return _dedup_stream(events, delay)
+    if all_have_ids:
+        return first_per_key(events, ["event_id"], order_by)
     identified = events.filter(F.col("event_id").isNotNull())
     anonymous = events.filter(F.col("event_id").isNull())
     return first_per_key(identified, ["event_id"], order_by).unionByName(anonymous)

@@ -187,7 +187,7 @@ def _dedup_events(spark, sf_dir):
     sends = F.when(F.col("segment") == "BUILDING", 3).otherwise(1)
     sent = records.select("value", F.explode(F.sequence(F.lit(1), sends)).alias("attempt"))
     valid = split_valid_invalid(parse_events(sent, REVENUE_FIELDS))[0]
-    return presented(dedup_events(valid).drop("ts"))
+    return presented(dedup_events(valid, all_have_ids=True).drop("ts"))
 
 
 def _dlq_replay_revenue(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""Session settings for the broker connector and a lakehouse catalog."""
+"""Session settings: broker connector, lakehouse catalog, state store."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ SESSION_EXTENSIONS = "org.apache.iceberg.spark.extensions.IcebergSparkSessionExt
 CATALOG_CLASS = "org.apache.iceberg.spark.SparkCatalog"
 RUNTIME_PACKAGE = "org.apache.iceberg:iceberg-spark-runtime-4.0_2.13:1.10.0"
 
-# Fixed value: Spark's own broker connector.
+# Spark's own disk-backed state store and broker connector.
+ROCKSDB_CLASS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
 
 
@@ -32,6 +33,15 @@ def kafka_configs(package: str = KAFKA_PACKAGE) -> dict[str, str]:
     return {"spark.jars.packages": package}
 
 
+def keyed_state_configs() -> dict[str, str]:
+    """Session settings for streaming state larger than memory, as de-duplication over long delays
+    or one row per key needs; only what changed is written per micro-batch."""
+    return {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_CLASS,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
 def configure(builder: SparkSession.Builder, settings: dict[str, str]) -> SparkSession.Builder:
     """Put settings on a session builder. Master and parallelism stay with the caller."""
     for name, value in settings.items():
