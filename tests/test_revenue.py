@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidemark.functions.money import exact_cents
 from tidemark.functions.times import interval_micros
 from tidemark.operators.decode import parse_events
 from tidemark.operators.revenue import (
@@ -151,6 +152,25 @@ def test_random_sales_against_plain_python(raw, rows):
     assert got == {key: (float(total), n) for key, (total, n) in want.items()}
 
 
+AMOUNTS = st.one_of(
+    st.floats(allow_nan=False, allow_infinity=False),
+    st.floats(-1e6, 1e6),
+    st.integers(-10**9, 10**9).map(lambda n: n / 1000),
+    st.integers(-10**17, 10**17).map(lambda n: n / 200),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(AMOUNTS, min_size=1, max_size=300))
+def test_cents_round_the_decimal_text_half_up(spark, amounts):
+    amounts = [*amounts, 1.005, -1.005, 0.285, 2.675, 1e11 + 0.005, 9.999e15, 1e16, -1e300]
+    frame = spark.createDataFrame([(a,) for a in amounts], "a double")
+    for row in frame.select("a", exact_cents(F.col("a")).alias("cents")).collect():
+        text = Decimal(repr(row.a))
+        want = None if abs(text) >= 10**16 else (text * 100).quantize(Decimal(1), ROUND_HALF_UP)
+        assert row.cents == want, row.a
+
+
 def test_interval_strings():
     assert interval_micros("2 minutes") == 120_000_000
     assert interval_micros("1 hour 30 minutes") == 5_400_000_000

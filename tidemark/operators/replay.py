@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.decode import parse_events
-from tidemark.operators.revenue import merge_parts, revenue_parts
+from tidemark.operators.revenue import PART_KEYS, merge_parts, revenue_parts, sum_parts
 from tidemark.operators.route import split_valid_invalid
 from tidemark.schemas import REASON_LATE, REVENUE_FIELDS
 
@@ -28,13 +28,7 @@ def replay_late(parts: DataFrame, dlq: DataFrame, window: str = "1 minute") -> D
     tagged = parts.withColumn("_late", F.lit(False)).unionByName(
         recovered.withColumn("_late", F.lit(True))
     )
-    keys = ("window_start", "window_end", "category")
-    touched = tagged.groupBy(*keys).agg(
-        F.sum("cents").cast("decimal(38,2)").alias("cents"),
-        F.sum("beyond").alias("beyond"),
-        F.sum("orders").alias("orders"),
-        F.max("_late").alias("_late"),
-    )
+    touched = sum_parts(tagged, *PART_KEYS, also=[F.max("_late").alias("_late")])
     return touched.filter("_late").drop("_late")
 
 

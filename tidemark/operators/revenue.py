@@ -7,12 +7,19 @@ Nothing here sorts: a sort is refused on a stream in append and update mode.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import as_double, beyond_cents, exact_cents, line_amount
+from tidemark.functions.money import (
+    CENTS_TOTAL,
+    as_double,
+    beyond_cents,
+    exact_cents,
+    line_amount,
+)
 from tidemark.functions.times import interval_micros
 from tidemark.schemas import SALE
 
@@ -20,10 +27,11 @@ PART_FIELDS = {
     "window_start": "timestamp",
     "window_end": "timestamp",
     "category": "string",
-    "cents": "decimal(38,2)",
+    "cents": CENTS_TOTAL,
     "beyond": "double",
     "orders": "bigint",
 }
+PART_KEYS = ("window_start", "window_end", "category")
 
 
 def sales_only(events: DataFrame) -> DataFrame:
@@ -40,7 +48,7 @@ def _flat(windowed: DataFrame) -> DataFrame:
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "category",
-        F.col("cents").cast(PART_FIELDS["cents"]).alias("cents"),
+        F.col("cents").cast(CENTS_TOTAL).alias("cents"),
         "beyond",
         "orders",
     )
@@ -54,11 +62,13 @@ def _sum_sales(sales: DataFrame, window: Column) -> DataFrame:
     )
 
 
-def _sum_parts(parts: DataFrame, *keys: Column | str) -> DataFrame:
+def sum_parts(parts: DataFrame, *keys: Column | str, also: Sequence[Column] = ()) -> DataFrame:
+    """Add up parts per group."""
     return parts.groupBy(*keys).agg(
-        F.sum("cents").cast(PART_FIELDS["cents"]).alias("cents"),
+        F.sum("cents").cast(CENTS_TOTAL).alias("cents"),
         F.sum("beyond").alias("beyond"),
         F.sum("orders").alias("orders"),
+        *also,
     )
 
 
@@ -92,13 +102,13 @@ def revenue_parts(
         return _flat(_sum_sales(sales, F.window("event_time", window, slide)))
     buckets = _flat(_sum_sales(sales, F.window("event_time", bucket)))
     return _flat(
-        _sum_parts(buckets, F.window("window_start", window, slide).alias("window"), "category")
+        sum_parts(buckets, F.window("window_start", window, slide).alias("window"), "category")
     )
 
 
 def merge_parts(parts: DataFrame) -> DataFrame:
     """Add up parts of the same window and category, for example of several micro-batches."""
-    return _sum_parts(parts, "window_start", "window_end", "category")
+    return sum_parts(parts, *PART_KEYS)
 
 
 def revenue_table(parts: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give each core a share of a scan whose few files would leave most cores idle.
 
-    A table with more splits than half the cores, which is any large one, is left as it is.
+    For input that is encoded or parsed row by row, where the work outweighs the exchange. A table with more splits than half the cores, which is any large one, is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
