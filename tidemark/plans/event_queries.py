@@ -38,7 +38,7 @@ from tidemark.plans.event_sql import (
     tumbling,
 )
 from tidemark.schemas import EVENT_FIELDS, REASON_MALFORMED, REVENUE_FIELDS
-from tidemark.sources.tables import bulk_sales, feed, feed_events, feed_records, spread, table
+from tidemark.sources.tables import bulk_sales, feed, table, typed_feed
 
 _TIMES = ("event_time", "window_start", "window_end", "cutoff")
 
@@ -56,24 +56,20 @@ def _bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bulk_sales(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
 
 
-def _source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_events(spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"))
-
-
 def routed_revenue(spark, sf_dir):
     """Raw records to revenue per category and hour of the on-time sales."""
     return presented(revenue_tumbling(on_time(_routed(spark, sf_dir)), "1 hour"))
 
 
 def _encode_records(spark, sf_dir):
-    events = _source_events(spark, sf_dir).filter(F.col("broken").isNull())
+    events = typed_feed(spark, sf_dir).filter(F.col("broken").isNull())
     return encode_records(events).select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
     )
 
 
 def _event_key(spark, sf_dir):
-    return _source_events(spark, sf_dir).select("event_id", event_key().alias("key"))
+    return typed_feed(spark, sf_dir).select("event_id", event_key().alias("key"))
 
 
 def _build_events(spark, sf_dir):
@@ -88,7 +84,7 @@ def _build_events(spark, sf_dir):
         F.col("l_quantity").alias("quantity"),
         F.col("p_retailprice").alias("unit_price"),
     )
-    moves = _source_events(spark, sf_dir).filter(F.col("event_type") == "stock")
+    moves = typed_feed(spark, sf_dir).filter(F.col("event_type") == "stock")
     moves = moves.select("event_id", "ts", "sku", "category", "warehouse", "quantity_delta")
     return build_events(sales, moves)
 
@@ -179,13 +175,14 @@ def _late_by_microbatch(spark, sf_dir):
     return presented(mark_late(arrivals, delay=f"{LATE_DELAY_DAYS} days"))
 
 
-def _dedup_events(spark, sf_dir):
+def sent_repeatedly(records: DataFrame) -> DataFrame:
     """One segment's records arrive three times each."""
-    records = feed_records(
-        spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"), "segment"
-    )
     sends = F.when(F.col("segment") == "BUILDING", 3).otherwise(1)
-    sent = records.select("value", F.explode(F.sequence(F.lit(1), sends)).alias("attempt"))
+    return records.select("value", F.explode(F.sequence(F.lit(1), sends)).alias("attempt"))
+
+
+def _dedup_events(spark, sf_dir):
+    sent = sent_repeatedly(feed(spark, sf_dir, "segment"))
     valid = split_valid_invalid(parse_events(sent, REVENUE_FIELDS))[0]
     return presented(dedup_events(valid, all_have_ids=True).drop("ts"))
 

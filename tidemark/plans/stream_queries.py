@@ -18,16 +18,14 @@ from tidemark.operators.revenue import revenue_sliding, revenue_tumbling
 from tidemark.operators.route import split_valid_invalid
 from tidemark.operators.state import live_rows
 from tidemark.plans.change_queries import CHANGES_SQL, folded_sql, latest_sql
-from tidemark.plans.event_queries import presented
+from tidemark.plans.event_queries import presented, sent_repeatedly
 from tidemark.plans.event_sql import EARLY_SEGMENTS, FEED, WAVE_DELAY_DAYS, sliding, tumbling
 from tidemark.schemas import CHANGE_FIELDS, KEY, REVENUE_FIELDS
 from tidemark.sources.tables import (
     change_records,
     change_topic,
-    feed_records,
+    feed,
     feed_stream,
-    spread,
-    table,
     table_stream,
 )
 from tidemark.sources.topics import publish, read_file_topic
@@ -113,9 +111,7 @@ def _stream_revenue_sliding(spark, sf_dir):
 
 def _routed_tables(spark, sf_dir) -> RoutedTables:
     """Some segments arrive first; the others follow and are late against what was seen."""
-    records = feed_records(
-        spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"), "segment"
-    )
+    records = feed(spark, sf_dir, "segment")
     early = F.col("segment").isin(*EARLY_SEGMENTS)
     out = scratch_dir(spark, "routed")
     tables = RoutedTables(out, "1 hour", f"{WAVE_DELAY_DAYS} days")
@@ -132,11 +128,7 @@ def _stream_dlq(spark, sf_dir):
 
 
 def _stream_dedup(spark, sf_dir):
-    records = feed_records(
-        table_stream(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), "segment"
-    )
-    sends = F.when(F.col("segment") == "BUILDING", 3).otherwise(1)
-    sent = records.select("value", F.explode(F.sequence(F.lit(1), sends)).alias("attempt"))
+    sent = sent_repeatedly(feed_stream(spark, sf_dir, "segment"))
     valid = split_valid_invalid(parse_events(sent, REVENUE_FIELDS))[0]
     return presented(_append(dedup_events(valid, delay="40 days").drop("ts"), spark, "dedup"))
 

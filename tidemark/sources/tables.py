@@ -30,6 +30,7 @@ TABLE_SCHEMAS = {
 # How the driver's event types map to the wire; "error" is not an event at all.
 WIRE_TYPES = {"purchase": SALE, "view": STOCK, "click": STOCK}
 UNREADABLE_TS = "around noon"
+LINE_IDENTITY = ("l_orderkey", "l_partkey", "l_linenumber")
 OPS = {"R": "d", "A": "u", "N": "c"}
 
 
@@ -37,13 +38,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *identity: str) -> DataFrame:
     """Give each core a share of a scan whose few files would leave most cores idle.
 
-    For input that is encoded or parsed row by row, where the work outweighs the exchange. A table with more splits than half the cores, which is any large one, is left as it is.
+    For input that is encoded or parsed row by row, where the work outweighs the exchange. Rows go by
+    the hash of columns that tell them apart, which needs no sort to be repeatable. A table with more
+    splits than half the cores, which is any large one, is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    few = df.rdd.getNumPartitions() * 2 <= cores
+    return df.repartition(cores, *identity) if few else df
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
@@ -101,16 +105,22 @@ def feed_records(events: DataFrame, customer: DataFrame, *extra: str) -> DataFra
     )
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def typed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`feed_events` of the driver's tables."""
+    events = spread(table(spark, sf_dir, "events"), "event_id")
+    return feed_events(events, table(spark, sf_dir, "customer"))
+
+
+def feed(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The event topic as a table."""
-    return feed_records(spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer"))
+    events = spread(table(spark, sf_dir, "events"), "event_id")
+    return feed_records(events, table(spark, sf_dir, "customer"), *extra)
 
 
-def feed_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def feed_stream(spark: SparkSession, sf_dir: str, *extra: str, **options) -> DataFrame:
     """The event topic as a stream."""
-    return feed_records(
-        table_stream(spark, sf_dir, "events", **options), table(spark, sf_dir, "customer")
-    )
+    events = table_stream(spark, sf_dir, "events", **options)
+    return feed_records(events, table(spark, sf_dir, "customer"), *extra)
 
 
 def bulk_sales(lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -186,7 +196,7 @@ def change_records(lineitem: DataFrame, *extra: str) -> DataFrame:
 
 def change_topic(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The change topic as a table."""
-    return change_records(spread(table(spark, sf_dir, "lineitem")), *extra)
+    return change_records(spread(table(spark, sf_dir, "lineitem"), *LINE_IDENTITY), *extra)
 
 
 def product_state(part: DataFrame) -> DataFrame:
