@@ -85,8 +85,8 @@ def test_feed_reads_only_what_it_needs(spark):
 def test_file_topic_appends(spark, tmp_path):
     path = str(tmp_path / "topic")
     records = spark.createDataFrame([(bytearray(b"k"), bytearray(b"v"))], "key binary, value binary")
-    topics.publish(records, path)
-    topics.publish(records.withColumn("offset", F.lit(7).cast("bigint")), path)
+    assert topics.publish(records, path) == 1
+    assert topics.publish(records.withColumn("offset", F.lit(7).cast("bigint")), path) == 1
     rows = spark.read.schema(topics.RECORD_FIELDS).parquet(path).collect()
     assert sorted(r.offset or 0 for r in rows) == [0, 7]
     assert topics.read_file_topic(spark, path, maxFilesPerTrigger=1).isStreaming

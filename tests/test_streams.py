@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.decode import parse_events
 from tidemark.operators.dedup import dedup_events
 from tidemark.operators.revenue import revenue_sliding, revenue_tumbling
+from tidemark.schemas import DLQ_FIELDS
 from tidemark.sources.catalogs import keyed_state_configs
 from tidemark.sources.topics import publish, read_file_topic
+from tidemark.streaming import state
 from tidemark.streaming.routed import RoutedTables
 from tidemark.streaming.sinks import (
     configure_table_writer,
@@ -217,23 +219,40 @@ def test_state_across_batches_replay_and_folding(spark, raw, tmp_path, guard, wa
     publish_each(raw, path, change_batches())
     log = ChangeLog(str(tmp_path / "out"), guard)
 
-    def state():
+    def prices():
         return {r.sku: r.unit_price for r in log.current(spark).collect()}
 
     drain(log.writer(topic(spark, path), checkpoint))
-    assert state() == want
+    assert prices() == want
     forget_last_commit(checkpoint)
     drain(log.writer(topic(spark, path), checkpoint))
-    assert state() == want
+    assert prices() == want
     for upto in (0, 0, 1, 2):
         log.fold(spark, upto)
-        assert state() == want
+        assert prices() == want
     publish_each(raw, path, [[envelope("d", before=image("D"), ts_ms=900)]])
     drain(log.writer(topic(spark, path), checkpoint))
-    assert state() == {k: v for k, v in want.items() if k != "D"}
+    assert prices() == {k: v for k, v in want.items() if k != "D"}
     assert sorted(r.raw_json for r in log.dlq(spark).collect()) == ["plainly no JSON", '{"op":"t"}']
 
 
+def test_merge_writer_hands_over_each_batch_and_keeps_rejects(spark, raw, tmp_path, monkeypatch):
+    """MERGE itself needs a catalog that is not here; what reaches it is checked."""
+    merged = []
+    monkeypatch.setattr(
+        state, "merge_into_table", lambda changes, target: merged.append((target, changes.count()))
+    )
+    path, dlq = str(tmp_path / "topic"), str(tmp_path / "dlq")
+    publish_each(raw, path, change_batches())
+    drain(state.merge_writer(topic(spark, path), "shop.products", str(tmp_path / "cp"), dlq))
+    assert merged == [("shop.products", n) for n in (4, 3, 1)]
+    rejects = read_batches(spark, dlq, DLQ_FIELDS).collect()
+    assert sorted((r.batch_id, r.raw_json) for r in rejects) == [
+        (1, '{"op":"t"}'),
+        (2, "plainly no JSON"),
+    ]
+
+
 def test_unfinished_base_is_ignored(spark, raw, tmp_path):
     path = str(tmp_path / "topic")
     publish_each(raw, path, change_batches()[:1])

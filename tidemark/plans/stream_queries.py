@@ -79,10 +79,11 @@ def _revenue_stream(spark, sf_dir):
 
 
 def _stream_source_count(spark, sf_dir):
-    records = _append(feed_stream(spark, sf_dir), spark, "topic")
-    return records.agg(
+    counts = feed_stream(spark, sf_dir).agg(
         F.count("*").alias("records"), F.sum(F.octet_length("value")).alias("payload_bytes")
     )
+    fields = {"records": "bigint", "payload_bytes": "bigint"}
+    return last_snapshot(_versions(counts, spark, "source", "complete", fields))
 
 
 def _stream_revenue_append(spark, sf_dir):

@@ -6,7 +6,7 @@ reads ``value``, so either kind feeds the same operators.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RECORD_FIELDS = "key BINARY, value BINARY, offset BIGINT"
@@ -42,21 +42,34 @@ def read_file_topic(spark: SparkSession, path: str, **options) -> DataFrame:
     return read_topic(spark, "parquet", RECORD_FIELDS, path=path, **options)
 
 
-def publish(records: DataFrame, path: str) -> None:
-    """Append records to a file topic. A missing offset is NULL."""
+def _counted(records: DataFrame) -> tuple[DataFrame, Observation]:
+    """Records that count themselves while they are written, without a job of their own."""
+    observed = Observation()
+    return records.observe(observed, F.count("*").alias("sent")), observed
+
+
+def publish(records: DataFrame, path: str) -> int:
+    """Append records to a file topic and return how many. A missing offset is NULL."""
     columns = [
         F.col(c) if c in records.columns else F.lit(None).cast(t).alias(c)
         for c, t in (f.split() for f in RECORD_FIELDS.split(", "))
     ]
-    records.select(*columns).write.mode("append").parquet(path)
+    counted, observed = _counted(records.select(*columns))
+    counted.write.mode("append").parquet(path)
+    return observed.get["sent"]
 
 
-def publish_kafka(records: DataFrame, bootstrap_servers: str, topic: str) -> None:
-    """Send records to a broker topic; the key decides the partition, which keeps a key in order."""
+def publish_kafka(records: DataFrame, bootstrap_servers: str, topic: str) -> int:
+    """Send records to a broker topic and return how many.
+
+    The key decides the partition, which keeps a key in order. A retried task sends again, so readers
+    that need each event once use `tidemark.operators.dedup.dedup_events`.
+    """
+    counted, observed = _counted(records.select("key", "value"))
     (
-        records.select("key", "value")
-        .write.format("kafka")
+        counted.write.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("topic", topic)
         .save()
     )
+    return observed.get["sent"]

@@ -7,10 +7,11 @@ prefix of the log into a base from time to time, so that reading stays proportio
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -21,14 +22,26 @@ from tidemark.operators.changes import (
     flatten_changes,
     latest_change_per_key,
 )
-from tidemark.operators.decode import decode_changes, parse_cdc_events
+from tidemark.operators.decode import decode_changes
 from tidemark.operators.state import last_changes, live_rows, merge_into_table
 from tidemark.schemas import CHANGE_FIELDS, DLQ_FIELDS, ROW_FIELDS
 from tidemark.streaming.sinks import each_batch, read_batches, write_batch
 
+NOTHING_FOLDED = -1
 LOG_FIELDS = {**ROW_FIELDS, "op": "string", "ts_ms": "bigint", "offset": "bigint"}
 
 
+@contextmanager
+def _changes_and_rejects(records: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Flat applicable changes and dead letters of a micro-batch that is decoded once."""
+    keep = ["offset"] if "offset" in records.columns else []
+    decoded = decode_changes(records, CHANGE_FIELDS, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield applicable_changes(flatten_changes(decoded, keep)), change_rejects(decoded)
+    finally:
+        decoded.unpersist()
+
+
 @dataclass(frozen=True)
 class ChangeLog:
     """State below ``path``. ``guard_stale`` lets the change time decide across batches."""
@@ -46,35 +59,31 @@ class ChangeLog:
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
         """Add one micro-batch of topic records; rejects go to the dead letters."""
-        keep = ["offset"] if "offset" in records.columns else []
-        decoded = decode_changes(records, CHANGE_FIELDS, keep).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            changes = applicable_changes(
-                flatten_changes(decoded.filter(F.col("op").isNotNull()), keep)
-            )
-            if not keep:
+        if batch_id == 0:
+            self._mark(records.sparkSession, NOTHING_FOLDED)
+        with _changes_and_rejects(records) as (changes, rejects):
+            if "offset" not in changes.columns:
                 changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
             latest = latest_change_per_key(changes).select(*LOG_FIELDS)
             write_batch(latest, self.log_path, batch_id)
-            write_batch(change_rejects(decoded), self.dlq_path, batch_id)
-        finally:
-            decoded.unpersist()
+            write_batch(rejects, self.dlq_path, batch_id)
 
     def writer(self, records: DataFrame, checkpoint: str) -> DataStreamWriter:
         return each_batch(records, self.apply, checkpoint)
 
-    def _folded_up_to(self, spark: SparkSession) -> int | None:
+    def _mark(self, spark: SparkSession, upto: int) -> None:
+        marker = spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
+        marker.write.mode("overwrite").parquet(f"{self.path}/folded/marker={upto}")
+
+    def _folded_up_to(self, spark: SparkSession) -> int:
         """The newest finished base, one number; its marker is written after the base."""
-        try:
-            markers = spark.read.schema("upto BIGINT").parquet(f"{self.path}/folded")
-        except AnalysisException:
-            return None
+        markers = spark.read.schema("upto BIGINT").parquet(f"{self.path}/folded")
         return markers.agg(F.max("upto")).first()[0]
 
     def _changes(self, spark: SparkSession) -> DataFrame:
         log = read_batches(spark, self.log_path, LOG_FIELDS)
         upto = self._folded_up_to(spark)
-        if upto is None:
+        if upto == NOTHING_FOLDED:
             return log
         base = spark.read.schema(log.schema).parquet(f"{self.path}/base/upto={upto}")
         return log.filter(F.col("batch_id") > upto).unionByName(base)
@@ -91,22 +100,29 @@ class ChangeLog:
 
         Deletes stay in the base only where an older change could still arrive and must lose.
         """
-        done = self._folded_up_to(spark)
-        if done is not None and done >= upto:
+        if self._folded_up_to(spark) >= upto:
             return
         changes = self._changes(spark).filter(F.col("batch_id") <= upto)
         last = last_changes(changes, "batch_id", self.guard_stale)
         kept = last if self.guard_stale else last.filter(F.col("op") != "d")
         kept.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        marker = spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
-        marker.write.mode("overwrite").parquet(f"{self.path}/folded/marker={upto}")
+        self._mark(spark, upto)
 
     def dlq(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.dlq_path, DLQ_FIELDS)
 
 
-def merge_writer(records: DataFrame, target: str, checkpoint: str) -> DataStreamWriter:
-    """Merge a change stream into a table of a catalog with row-level operations."""
-    keep = ["offset"] if "offset" in records.columns else []
-    changes = flatten_changes(parse_cdc_events(records, CHANGE_FIELDS, keep), keep)
-    return each_batch(changes, lambda rows, _: merge_into_table(rows, target), checkpoint)
+def merge_writer(
+    records: DataFrame, target: str, checkpoint: str, dlq_path: str
+) -> DataStreamWriter:
+    """Merge a change stream into a table of a catalog with row-level operations.
+
+    Merging a compacted batch twice gives the same table, so a replay is harmless.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        with _changes_and_rejects(batch) as (changes, rejects):
+            merge_into_table(changes, target)
+            write_batch(rejects, dlq_path, batch_id)
+
+    return each_batch(records, apply, checkpoint)
