@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
-from conftest import envelope, image, sale
+from conftest import SF_DIR, envelope, image, sale
 from pyspark.sql import functions as F
 
 from tidemark.operators.decode import parse_events
@@ -13,6 +13,7 @@ from tidemark.operators.dedup import dedup_events
 from tidemark.operators.revenue import revenue_sliding, revenue_tumbling
 from tidemark.schemas import DLQ_FIELDS
 from tidemark.sources.catalogs import keyed_state_configs
+from tidemark.sources.tables import feed, feed_stream
 from tidemark.sources.topics import publish, read_file_topic
 from tidemark.streaming import state
 from tidemark.streaming.routed import RoutedTables
@@ -263,3 +264,20 @@ def test_unfinished_base_is_ignored(spark, raw, tmp_path):
     assert rows(log.current(spark)) == before
     log.fold(spark, 0)
     assert rows(log.current(spark)) == before
+
+
+def test_large_customer_table_is_joined_by_salted_copies(spark, tmp_path):
+    """With no broadcast allowed, the events of one user meet several copies of the customer."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        stream = feed_stream(spark, SF_DIR)
+        writer = configure_table_writer(stream.writeStream, str(tmp_path / "cp"), "append", "parquet")
+        query = drain(writer.option("path", str(tmp_path / "out")))
+        assert "_salt" in query._jsq.explainInternal(False)
+    finally:
+        spark.conf.set(limit, before)
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    want = feed(spark, SF_DIR)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
