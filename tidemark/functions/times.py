@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from datetime import datetime, timezone
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,10 +27,9 @@ _UNIT_MICROS = {
 
 def utc_wall_clock(ts: Column | str) -> Column:
     """``TIMESTAMP`` to the UTC wall clock as ``TIMESTAMP_NTZ``."""
-    column = F.col(ts) if isinstance(ts, str) else ts
-    seconds = F.unix_micros(column).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    micros = F.unix_micros(F.col(ts) if isinstance(ts, str) else ts)
     epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return epoch + F.expr("INTERVAL '0.000001' SECOND") * micros
 
 
 def wire_text(ts: Column | str) -> Column:
