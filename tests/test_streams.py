@@ -167,6 +167,13 @@ def test_replayed_batch_leaves_both_tables_as_they_were(spark, raw, tmp_path):
     again = drain(tables.writer(topic(spark, path), checkpoint))
     assert sum(p["numInputRows"] for p in again.recentProgress) == len(routed_batches()[-1])
     assert (rows(tables.revenue(spark)), rows(tables.dlq(spark))) == before
+    for upto in (0, 1, 1):
+        tables.fold(spark, upto)
+        assert rows(tables.revenue(spark)) == before[0]
+    publish_each(raw, path, [[sale("more", stamp(950))]])
+    drain(tables.writer(topic(spark, path), checkpoint))
+    orders = F.sum("orders")
+    assert tables.revenue(spark).agg(orders).first()[0] == 1 + sum(map(len, routed_batches())) - len(before[1])
 
 
 @pytest.mark.parametrize("on_disk", [False, True])
@@ -260,7 +267,7 @@ def test_unfinished_base_is_ignored(spark, raw, tmp_path):
     log = ChangeLog(str(tmp_path / "out"))
     drain(log.writer(topic(spark, path), str(tmp_path / "cp")))
     before = rows(log.current(spark))
-    Path(log.path, "base", "upto=0").mkdir(parents=True)
+    Path(log.log.path, "base", "upto=0").mkdir(parents=True)
     assert rows(log.current(spark)) == before
     log.fold(spark, 0)
     assert rows(log.current(spark)) == before

@@ -14,6 +14,7 @@ from tidemark.operators.decode import decode_with_raw
 from tidemark.operators.revenue import PART_FIELDS, merge_parts, revenue_parts, revenue_table
 from tidemark.operators.route import dead_letters, on_time, with_route
 from tidemark.schemas import DLQ_FIELDS, REASON_MALFORMED, REVENUE_FIELDS
+from tidemark.streaming.folders import BatchTable
 from tidemark.streaming.sinks import each_batch, read_batches, write_batch
 
 HIGH_FIELDS = {"high": "timestamp"}
@@ -28,8 +29,8 @@ class RoutedTables:
     delay: str = "2 minutes"
 
     @property
-    def parts_path(self) -> str:
-        return f"{self.path}/revenue_parts"
+    def parts_table(self) -> BatchTable:
+        return BatchTable(f"{self.path}/revenue_parts", PART_FIELDS)
 
     @property
     def dlq_path(self) -> str:
@@ -63,7 +64,7 @@ class RoutedTables:
                 routed.agg(F.greatest(seen, before).alias("high")), self.high_path, batch_id
             )
             write_batch(dead_letters(routed), self.dlq_path, batch_id)
-            write_batch(revenue_parts(on_time(routed), self.window), self.parts_path, batch_id)
+            self.parts_table.write(revenue_parts(on_time(routed), self.window), batch_id)
         finally:
             routed.unpersist()
 
@@ -72,7 +73,14 @@ class RoutedTables:
 
     def parts(self, spark: SparkSession) -> DataFrame:
         """Revenue parts of all batches, one row per window and category."""
-        return merge_parts(read_batches(spark, self.parts_path, PART_FIELDS))
+        return merge_parts(self.parts_table.read(spark))
+
+    def fold(self, spark: SparkSession, upto: int) -> None:
+        """Let merged parts stand for all batches up to a finished one."""
+        batch_id = F.lit(upto).cast("bigint").alias("batch_id")
+        self.parts_table.fold(
+            spark, upto, lambda rows: merge_parts(rows).select(*PART_FIELDS, batch_id)
+        )
 
     def revenue(self, spark: SparkSession) -> DataFrame:
         return revenue_table(self.parts(spark))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +46,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_batches(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, fields: Mapping[str, str]) -> DataFrame:
     """All micro-batches of `write_batch` with their ``batch_id``."""
     return spark.read.schema(f"{ddl(fields)}, batch_id BIGINT").parquet(path)
 

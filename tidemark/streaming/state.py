@@ -1,8 +1,8 @@
 """Keyed state kept by a change stream on plain parquet folders.
 
 Each micro-batch adds its compacted changes under its id; the state is the last change per key. A
-batch thus costs what it brings, and never a rewrite of the state. `ChangeLog.fold` moves the folded
-prefix of the log into a base from time to time, so that reading stays proportional to the state.
+batch thus costs what it brings, and never a rewrite of the state. `ChangeLog.fold`, run from time to
+time, keeps reading proportional to the state.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from tidemark.operators.changes import (
 )
 from tidemark.operators.decode import decode_changes
 from tidemark.operators.state import last_changes, live_rows, merge_into_table
-from tidemark.schemas import CHANGE_FIELDS, DLQ_FIELDS, ROW_FIELDS
+from tidemark.schemas import CHANGE_FIELDS, DLQ_FIELDS, OP_DELETE, ROW_FIELDS
+from tidemark.streaming.folders import BatchTable
 from tidemark.streaming.sinks import each_batch, read_batches, write_batch
 
-NOTHING_FOLDED = -1
 LOG_FIELDS = {**ROW_FIELDS, "op": "string", "ts_ms": "bigint", "offset": "bigint"}
 
 
@@ -50,8 +50,8 @@ class ChangeLog:
     guard_stale: bool = False
 
     @property
-    def log_path(self) -> str:
-        return f"{self.path}/log"
+    def log(self) -> BatchTable:
+        return BatchTable(f"{self.path}/log", LOG_FIELDS)
 
     @property
     def dlq_path(self) -> str:
@@ -59,54 +59,30 @@ class ChangeLog:
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
         """Add one micro-batch of topic records; rejects go to the dead letters."""
-        if batch_id == 0:
-            self._mark(records.sparkSession, NOTHING_FOLDED)
         with _changes_and_rejects(records) as (changes, rejects):
             if "offset" not in changes.columns:
                 changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
-            latest = latest_change_per_key(changes).select(*LOG_FIELDS)
-            write_batch(latest, self.log_path, batch_id)
+            self.log.write(latest_change_per_key(changes), batch_id)
             write_batch(rejects, self.dlq_path, batch_id)
 
     def writer(self, records: DataFrame, checkpoint: str) -> DataStreamWriter:
         return each_batch(records, self.apply, checkpoint)
 
-    def _mark(self, spark: SparkSession, upto: int) -> None:
-        marker = spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
-        marker.write.mode("overwrite").parquet(f"{self.path}/folded/marker={upto}")
-
-    def _folded_up_to(self, spark: SparkSession) -> int:
-        """The newest finished base, one number; its marker is written after the base."""
-        markers = spark.read.schema("upto BIGINT").parquet(f"{self.path}/folded")
-        return markers.agg(F.max("upto")).first()[0]
-
-    def _changes(self, spark: SparkSession) -> DataFrame:
-        log = read_batches(spark, self.log_path, LOG_FIELDS)
-        upto = self._folded_up_to(spark)
-        if upto == NOTHING_FOLDED:
-            return log
-        base = spark.read.schema(log.schema).parquet(f"{self.path}/base/upto={upto}")
-        return log.filter(F.col("batch_id") > upto).unionByName(base)
-
-    def _last(self, spark: SparkSession) -> DataFrame:
-        return last_changes(self._changes(spark), "batch_id", self.guard_stale)
-
     def current(self, spark: SparkSession) -> DataFrame:
         """The state: one row per live key."""
-        return live_rows(self._last(spark))
+        return live_rows(last_changes(self.log.read(spark), "batch_id", self.guard_stale))
 
     def fold(self, spark: SparkSession, upto: int) -> None:
-        """Write a new base that stands for all batches up to one that is finished.
+        """Let one base stand for all batches up to a finished one.
 
         Deletes stay in the base only where an older change could still arrive and must lose.
         """
-        if self._folded_up_to(spark) >= upto:
-            return
-        changes = self._changes(spark).filter(F.col("batch_id") <= upto)
-        last = last_changes(changes, "batch_id", self.guard_stale)
-        kept = last if self.guard_stale else last.filter(F.col("op") != "d")
-        kept.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        self._mark(spark, upto)
+
+        def last(rows: DataFrame) -> DataFrame:
+            decided = last_changes(rows, "batch_id", self.guard_stale)
+            return decided if self.guard_stale else decided.filter(F.col("op") != OP_DELETE)
+
+        self.log.fold(spark, upto, last)
 
     def dlq(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.dlq_path, DLQ_FIELDS)
