@@ -41,6 +41,18 @@ def test_cutoff_against_a_plain_loop(spark, monkeypatch, block):
         assert got[i] == (cutoff, cutoff is not None and at < cutoff)
 
 
+def test_delay_is_elapsed_time_across_a_clock_change(spark):
+    """New York skips an hour on 2025-03-09; a day stays 24 hours."""
+    rows = [(0, "2025-03-09T12:00:00Z"), (1, "2025-03-08T12:00:00Z")]
+    frame = spark.createDataFrame(rows, "batch_id bigint, ts string").select(
+        "batch_id", F.to_timestamp("ts").alias("event_time")
+    )
+    marked = lateness.mark_late(frame, delay="1 day").filter("batch_id = 1").first()
+    assert marked.cutoff == marked.event_time and not marked.is_late
+    with pytest.raises(ValueError):
+        lateness.mark_late(frame, delay="1 month")
+
+
 def test_first_copy_stays_and_rows_without_id_are_kept(raw):
     texts = [
         sale("a", stamp(20)),

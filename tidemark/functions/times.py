@@ -55,13 +55,6 @@ def instant(value: Column | datetime | str) -> Column:
     return F.to_timestamp(F.lit(value))
 
 
-def interval(text: str) -> Column:
-    """An interval column from a string such as ``2 minutes``."""
-    if "'" in text:
-        raise ValueError(f"not an interval: {text!r}")
-    return F.expr(f"INTERVAL '{text}'")
-
-
 def interval_micros(text: str) -> int | None:
     """Length of an interval string, or None if it has units of varying length (months)."""
     parts = re.findall(r"(\d+)\s*([a-zA-Z]+)", text)
@@ -70,3 +63,14 @@ def interval_micros(text: str) -> int | None:
     if not units or leftover or any(u not in _UNIT_MICROS for _, u in units):
         return None
     return sum(n * _UNIT_MICROS[u] for n, u in units)
+
+
+def earlier(ts: Column, delay: str) -> Column:
+    """``ts`` minus an interval of fixed length, in elapsed time.
+
+    Subtracting an ``INTERVAL`` would count days on the session zone's calendar.
+    """
+    micros = interval_micros(delay)
+    if micros is None:
+        raise ValueError(f"not an interval of fixed length: {delay!r}")
+    return F.timestamp_micros(F.unix_micros(ts) - F.lit(micros))

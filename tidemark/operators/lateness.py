@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.times import interval
+from tidemark.functions.times import earlier
 
 BATCHES_PER_BLOCK = 65_536
 
@@ -38,7 +38,7 @@ def batch_cutoffs(
     )
     seen = F.greatest(F.max("_high").over(before), F.col("_carried"))
     return highs.join(carried, "_block", "left").select(
-        batch, (seen - interval(delay)).alias("cutoff")
+        batch, earlier(seen, delay).alias("cutoff")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tidemark.functions.times import interval
+from tidemark.functions.times import earlier
 from tidemark.operators.decode import decode_with_raw
 from tidemark.operators.revenue import PART_FIELDS, merge_parts, revenue_parts, revenue_table
 from tidemark.operators.route import dead_letters, on_time, with_route
@@ -17,8 +17,6 @@ from tidemark.schemas import DLQ_FIELDS, REASON_MALFORMED, REVENUE_FIELDS
 from tidemark.streaming.folders import BatchTable
 from tidemark.streaming.sinks import each_batch, read_batches, write_batch
 
-HIGH_FIELDS = {"high": "timestamp"}
-
 
 @dataclass(frozen=True)
 class RoutedTables:
@@ -55,7 +53,7 @@ class RoutedTables:
         replace their folder, so a replay after a crash gives the same tables."""
         micros = self._high_before(records.sparkSession, batch_id)
         before = F.timestamp_micros(F.lit(micros).cast("bigint"))
-        cutoff = None if micros is None else before - interval(self.delay)
+        cutoff = None if micros is None else earlier(before, self.delay)
         decoded = decode_with_raw(records, REVENUE_FIELDS)
         routed = with_route(decoded, cutoff).persist(StorageLevel.MEMORY_AND_DISK)
         try:
