@@ -1,30 +1,22 @@
-"""Where streams keep checkpoints and results: the shared folder the cluster names."""
+"""Where streams and stored tables keep their files: the shared folder the cluster names."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
-
-
-@cache
-def _local_root() -> str:
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared one. Only a local session may do without a shared folder."""
+    """A new folder below the shared one, or below the warehouse where none is named.
+
+    The rule is the same on any master; both folders are visible to all executors. Nothing removes
+    what is written there, since a result may still be read.
+    """
     shared = spark.conf.get(SHARED_DIR_SETTING, "")
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError(f"set {SHARED_DIR_SETTING} to a folder all executors share")
-        shared = _local_root()
+        shared = f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/{label}-{uuid4().hex}"
