@@ -155,9 +155,15 @@ def priced_round(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list
     return rounded
 
 
-def best_fit_groups(lengths, counts, capacity: int) -> list[tuple[dict, int]]:
-    """Best fit, longest pieces first, over groups of equally filled sequences."""
+def best_fit_groups(lengths, counts, capacity: int, started) -> list[tuple[dict, int]]:
+    """Best fit, longest pieces first, over groups of equally filled sequences.
+
+    ``started`` are sequences that are partly filled already; all sequences are returned.
+    """
     open_groups: dict[int, list] = {}  # room left -> list of [content, how many sequences]
+    for content, many in started:
+        room = capacity - sum(int(lengths[i]) * m for i, m in content.items())
+        open_groups.setdefault(room, []).append([content, many])
     for k in np.argsort(-lengths):
         length, n = int(lengths[k]), int(counts[k])
         while n > 0:
@@ -218,7 +224,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Placement:
         for config, n in priced_round(lengths[live], part, capacity):
             chosen.append(({int(index[i]): m for i, m in config.items()}, n))
         counts[live] = part
-    chosen += best_fit_groups(lengths, counts, capacity)
+    chosen = best_fit_groups(lengths, counts, capacity, chosen)
     next_rank = np.zeros(len(lengths), np.int64)
     rows, sequence = [], 0
     for config, n in chosen:
