@@ -26,6 +26,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text``, the latter never NULL."""
     return docs.select(
