@@ -5,18 +5,24 @@ from __future__ import annotations
 from tidemark.llm.common import documents, labels
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_rank import quality_scores
+from tidemark.llm.toxicity import toxicity_scores
 
 
 def op2_best_fit_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir))
 
 
+def op9_noisy_channel_toxicity(spark, sf_dir):
+    return toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op10_quality_ranking(spark, sf_dir):
     return quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
     "op10_quality_ranking": op10_quality_ranking,
 }
 
