@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tidemark.llm.common import documents, labels
+from tidemark.llm.fertility import quality_rules
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_rank import quality_scores
+from tidemark.llm.secret_worklist import scan_secrets
 from tidemark.llm.toxicity import toxicity_scores
 
 
@@ -12,6 +14,14 @@ def op2_best_fit_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir))
 
 
+def op3_tokeniser_fertility(spark, sf_dir):
+    return quality_rules(documents(spark, sf_dir))
+
+
+def op6_secret_worklist(spark, sf_dir):
+    return scan_secrets(documents(spark, sf_dir))
+
+
 def op9_noisy_channel_toxicity(spark, sf_dir):
     return toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -22,6 +32,8 @@ def op10_quality_ranking(spark, sf_dir):
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_tokeniser_fertility": op3_tokeniser_fertility,
+    "op6_secret_worklist": op6_secret_worklist,
     "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
     "op10_quality_ranking": op10_quality_ranking,
 }
