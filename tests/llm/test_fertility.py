@@ -66,7 +66,7 @@ def test_strange_text_falls_outside_its_language(spark):
 def test_odd_rows(spark, with_lang):
     text = " ".join(f"w{i}" for i in range(30))
     odd = [(None, text, None, 1), (1, None, "en", 2), (2, "", None, 3), (3, text, "en", 4), (3, text, "en", 4)]
-    odd += [(4, "x" * 100_000, "", None), (5, "a\x1cb c \u0085 d", "en", None)]
+    odd += [(4, "x" * 100_000, "", None), (5, "a\x1cb\u00a0c \u0085 d", "en", None)]
     docs = spark.createDataFrame(odd, "doc_id bigint, text string, lang string, kept int")
     docs = docs if with_lang else docs.drop("lang")
     rows = quality_rules(docs).collect()

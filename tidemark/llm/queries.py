@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.common import documents, labels
 from tidemark.llm.fertility import quality_rules
+from tidemark.llm.jaccard_join import similar_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_rank import quality_scores
 from tidemark.llm.secret_worklist import scan_secrets
@@ -22,6 +23,10 @@ def op6_secret_worklist(spark, sf_dir):
     return scan_secrets(documents(spark, sf_dir))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return similar_groups(documents(spark, sf_dir))
+
+
 def op9_noisy_channel_toxicity(spark, sf_dir):
     return toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -34,6 +39,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_tokeniser_fertility": op3_tokeniser_fertility,
     "op6_secret_worklist": op6_secret_worklist,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
     "op10_quality_ranking": op10_quality_ranking,
 }
