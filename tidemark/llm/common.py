@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.streaming.scratch import scratch_dir
 
 SHINGLE = 5
+BROADCAST_ROWS = 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -49,6 +50,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def beside(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a stored table; it is broadcast only if it has at most ``BROADCAST_ROWS`` rows.
+
+    For tables of a few hundred bytes a row; a larger one is joined as Spark sees fit, by a shuffle.
+    """
+    return df.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 text: what splitting bytes at white space gives."""
     return text.split()

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
+    beside,
     id_and_text,
     ids,
     lowered,
@@ -41,7 +42,6 @@ from tidemark.llm.components import components
 PERCENT = 75
 SAMPLED = 32  # one document in so many is read to order shingles by frequency
 COMMON_IN_SAMPLE, MOST_COMMON = 3, 100_000
-BROADCAST_ROWS = 2_000_000
 SIZE_STEP = 4 / 3
 MEMORY_SETS = 2_000
 
@@ -202,11 +202,6 @@ def shared_lists(postings: DataFrame) -> DataFrame:
     return postings.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(run, arrow)
 
 
-def beside(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join with a stored table; broadcast only if it has at most ``BROADCAST_ROWS`` rows."""
-    return df.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
-
-
 def links(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those pairs ``a``, ``b`` whose sets are similar enough, compared on whole texts."""
     needed = stored(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.common import documents, labels
 from tidemark.llm.fertility import quality_rules
 from tidemark.llm.jaccard_join import similar_groups
+from tidemark.llm.line_dedup import without_repeated_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_rank import quality_scores
 from tidemark.llm.secret_worklist import scan_secrets
@@ -19,6 +20,10 @@ def op3_tokeniser_fertility(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir))
 
 
+def op5_line_dedup(spark, sf_dir):
+    return without_repeated_lines(documents(spark, sf_dir))
+
+
 def op6_secret_worklist(spark, sf_dir):
     return scan_secrets(documents(spark, sf_dir))
 
@@ -38,6 +43,7 @@ def op10_quality_ranking(spark, sf_dir):
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_tokeniser_fertility": op3_tokeniser_fertility,
+    "op5_line_dedup": op5_line_dedup,
     "op6_secret_worklist": op6_secret_worklist,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
