@@ -31,6 +31,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text``, the latter never NULL."""
     return docs.select(

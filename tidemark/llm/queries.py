@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm.common import documents, labels
+from tidemark.llm.common import benchmark, documents, labels
+from tidemark.llm.decontamination import benchmark_matches
 from tidemark.llm.fertility import quality_rules
 from tidemark.llm.jaccard_join import similar_groups
 from tidemark.llm.line_dedup import without_repeated_lines
@@ -28,6 +29,10 @@ def op6_secret_worklist(spark, sf_dir):
     return scan_secrets(documents(spark, sf_dir))
 
 
+def op7_benchmark_decontamination(spark, sf_dir):
+    return benchmark_matches(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def op8_jaccard_join(spark, sf_dir):
     return similar_groups(documents(spark, sf_dir))
 
@@ -45,6 +50,7 @@ QUERIES = {
     "op3_tokeniser_fertility": op3_tokeniser_fertility,
     "op5_line_dedup": op5_line_dedup,
     "op6_secret_worklist": op6_secret_worklist,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
     "op10_quality_ranking": op10_quality_ranking,
