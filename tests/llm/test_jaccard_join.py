@@ -42,9 +42,9 @@ def brute(rows):
     return {d: (len(sets[d]), root(d)) for d in sets}
 
 
-def check(spark, rows):
+def check(spark, rows, **order):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(docs).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(docs, **order).collect()}
     assert got == brute(rows)
 
 
@@ -53,10 +53,8 @@ def test_whole_table(spark):
 
 
 @pytest.mark.parametrize("seed,common", [(1, 3), (2, 1), (3, 3)])
-def test_chains_of_near_copies_and_shared_passages(spark, seed, common, monkeypatch):
+def test_chains_of_near_copies_and_shared_passages(spark, seed, common):
     """Many texts near the threshold, sharing passages, with frequent shingles last or not."""
-    monkeypatch.setattr(jaccard_join, "COMMON_IN_SAMPLE", common)
-    monkeypatch.setattr(jaccard_join, "SAMPLED", 2)
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(400)]
     passage = rng.choices(vocabulary, k=30)
@@ -71,7 +69,7 @@ def test_chains_of_near_copies_and_shared_passages(spark, seed, common, monkeypa
                 text = text[: max(1, len(text) - rng.choice([1, 5]))]
             shown = text + passage if rng.random() < 0.4 else text
             rows.append((len(rows) * 7 % 1009, " ".join(shown)))
-    check(spark, rows)
+    check(spark, rows, sampled=2, least=common)
 
 
 def test_large_group_of_near_copies(spark):

@@ -20,6 +20,7 @@ from tidemark.streaming.scratch import scratch_dir
 SHINGLE = 5
 BROADCAST_ROWS = 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -89,6 +90,35 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return mixed(out)
 
 
+class RunHashes:
+    """Hashes of any run of words, from sums over all of them at once."""
+
+    def __init__(self, h: np.ndarray):
+        self.sums = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * _powers(int(_STEP), len(h)), dtype=np.uint64, out=self.sums[1:])
+        self.back = _powers(_INVERSE, len(h) + 1)
+
+    def hash_of(self, start: np.ndarray, end: np.ndarray, tag: int = 0) -> np.ndarray:
+        """A hash of the words from ``start`` to ``end``, their number and ``tag``."""
+        return self._finished((self.sums[end] - self.sums[start]) * self.back[start], end - start, tag)
+
+    def hash_without(self, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """`hash_of` of the words from ``start`` to ``end`` but the one ``at``."""
+        before = self.sums[at] - self.sums[start]
+        after = (self.sums[end] - self.sums[at + 1]) * np.uint64(_INVERSE)
+        return self._finished((before + after) * self.back[start], end - start - 1, 0)
+
+    @staticmethod
+    def _finished(value: np.ndarray, words: np.ndarray, tag: int) -> np.ndarray:
+        return mixed(value ^ (words.astype(np.uint64) * np.uint64(0x1000193) + np.uint64(tag)))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    powers = np.full(n, base, np.uint64)
+    powers[:1] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
 def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the ``size``-word shingles; a shorter text is one shingle."""
     h = word_hashes(words_of(text))
@@ -97,6 +127,37 @@ def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(window_hashes(h, min(size, len(h))))
 
 
+SAMPLED = 32
+COMMON_IN_SAMPLE, MOST_COMMON = 3, 100_000
+
+
+def common_hashes(
+    docs: DataFrame, of: Callable[[bytes], np.ndarray], sampled: int = SAMPLED, least: int = COMMON_IN_SAMPLE
+) -> np.ndarray:
+    """Hashes that several of the sampled documents have, sorted, at most ``MOST_COMMON``.
+
+    One document in ``sampled`` is read. Callers put these last in an order of hashes; any order gives
+    the same results, this one keeps the groups of frequent hashes small.
+    """
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sampled)) == 0)
+
+    def rows(batch) -> Iterator[dict]:
+        sets = [np.empty(0, np.uint64), *(np.unique(of(t)) for t in texts(batch))]
+        found, counts = np.unique(np.concatenate(sets), return_counts=True)
+        yield {"h": signed(found), "n": counts}
+
+    counted = map_texts(sample, "h bigint, n bigint", rows).groupBy("h").agg(F.sum("n").alias("n"))
+    top = counted.filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(MOST_COMMON)
+    return np.sort(np.array([r.h for r in top.select("h").collect()], np.int64).view(np.uint64))
+
+
+def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def lowered(text: bytes) -> bytes:
     """A-Z in lower case, all other characters as they are."""
     return text.lower()

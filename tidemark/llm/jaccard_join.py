@@ -26,9 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
+    COMMON_IN_SAMPLE,
+    SAMPLED,
     beside,
+    common_hashes,
     id_and_text,
     ids,
+    is_in,
     lowered,
     map_texts,
     mixed,
@@ -40,46 +44,29 @@ from tidemark.llm.common import (
 from tidemark.llm.components import components
 
 PERCENT = 75
-SAMPLED = 32  # one document in so many is read to order shingles by frequency
-COMMON_IN_SAMPLE, MOST_COMMON = 3, 100_000
 SIZE_STEP = 4 / 3
 MEMORY_SETS = 2_000
 
 SETS = "doc_id bigint, n_shingles bigint, sum_a bigint, sum_b bigint, indexed array<bigint>"
 
 
-def common_shingles(docs: DataFrame) -> np.ndarray:
-    """Hashes that several sampled documents have, sorted, at most ``MOST_COMMON``.
-
-    Used for the order only: it decides how long lists are, never which links are found.
-    """
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0)
-
-    def rows(batch) -> Iterator[dict]:
-        sets = [shingle_set(lowered(t)) for t in texts(batch)]
-        found, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
-        yield {"h": signed(found), "n": counts}
-
-    counted = map_texts(sample, "h bigint, n bigint", rows).groupBy("h").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= COMMON_IN_SAMPLE).orderBy(F.desc("n"), "h").limit(MOST_COMMON)
-    return np.sort(np.array([r.h for r in top.select("h").collect()], np.int64).view(np.uint64))
-
-
 def indexed_part(shingles: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The shingles of a set that must contain one of every similar set's."""
     n = len(shingles)
     length = n - (-(-percent * n // 100)) + 1 if n else 0
-    if not len(common):
-        return shingles[:length]
-    at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-    is_common = common[at] == shingles
+    is_common = is_in(shingles, common)
     return np.concatenate([shingles[~is_common], shingles[is_common]])[:length]
 
 
-def document_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def document_sets(
+    docs: DataFrame,
+    percent: int = PERCENT,
+    sampled: int = SAMPLED,
+    least: int = COMMON_IN_SAMPLE,
+) -> DataFrame:
     """Per document: size, two sums that identify its set, and its indexed shingles."""
     read = id_and_text(docs)
-    common = common_shingles(read)
+    common = common_hashes(read, lambda text: shingle_set(lowered(text)), sampled, least)
 
     def rows(batch) -> Iterator[dict]:
         sizes, sums, part = [], [], []
@@ -273,13 +260,18 @@ def left_pairs(members: DataFrame, groups: DataFrame, percent: int = PERCENT) ->
     return met.filter(enough).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))
 
 
-def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_groups(
+    docs: DataFrame,
+    percent: int = PERCENT,
+    sampled: int = SAMPLED,
+    least: int = COMMON_IN_SAMPLE,
+) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links), one row per input row.
 
     Rows without words are linked with nothing. Rows of one doc_id count as one document. A NULL
     doc_id is never linked and has a NULL component. NULL text: no words.
     """
-    sets = stored(document_sets(docs, percent), "sets")
+    sets = stored(document_sets(docs, percent, sampled, least), "sets")
     named = sets.filter("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "sum_a", "sum_b"]
     firsts = stored(named.groupBy(*same).agg(F.min("doc_id").alias("first")), "equal-sets")

@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
+    RunHashes,
     beside,
     id_and_text,
     ids,
     map_texts,
-    mixed,
     signed,
     stored,
     texts,
@@ -39,26 +39,16 @@ from tidemark.llm.common import (
 SAME_WORDS = 3
 NEAR_WORDS = 8
 WORDS_AT_ONCE = 200_000
-_STEP = 0x9E3779B97F4A7C15
-_INVERSE = pow(_STEP, -1, 1 << 64)
 
 
-class Sequences:
-    """Hashes of any run of words in a list of lines, from sums over all their words at once."""
+class Sequences(RunHashes):
+    """Hashes of lines, of their halves, and of them without one word."""
 
     def __init__(self, lines: list[list[bytes]]):
         self.n = np.fromiter(map(len, lines), np.int64, len(lines))
         self.end = np.cumsum(self.n)
         self.start = self.end - self.n
-        h = word_hashes([w for words in lines for w in words])
-        self.sums = np.zeros(len(h) + 1, np.uint64)
-        np.cumsum(h * _powers(_STEP, len(h)), dtype=np.uint64, out=self.sums[1:])
-        self.back = _powers(_INVERSE, len(h) + 1)
-
-    def hash_of(self, start: np.ndarray, end: np.ndarray, tag: int = 0) -> np.ndarray:
-        """A hash of the words from ``start`` to ``end``, their number and ``tag``."""
-        value = (self.sums[end] - self.sums[start]) * self.back[start]
-        return _finished(value, end - start, tag)
+        super().__init__(word_hashes([w for words in lines for w in words]))
 
     def lines(self) -> np.ndarray:
         return self.hash_of(self.start, self.end)
@@ -80,20 +70,8 @@ class Sequences:
         """For each line and word: the line, the word's place, the hash of the line without it."""
         line = np.repeat(np.arange(len(self.n)), self.n)
         at = np.arange(len(line))
-        start, end = self.start[line], self.end[line]
-        before = self.sums[at] - self.sums[start]
-        after = (self.sums[end] - self.sums[at + 1]) * np.uint64(_INVERSE)
-        return line, at - start, _finished((before + after) * self.back[start], end - start - 1, 0)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    powers = np.full(n, base, np.uint64)
-    powers[:1] = 1
-    return np.cumprod(powers, dtype=np.uint64)
-
-
-def _finished(value: np.ndarray, words: np.ndarray, tag: int) -> np.ndarray:
-    return mixed(value ^ (words.astype(np.uint64) * np.uint64(0x1000193) + np.uint64(tag)))
+        start = self.start[line]
+        return line, at - start, self.hash_without(start, self.end[line], at)
 
 
 LINES = "doc_id bigint, line int, h bigint, n int, halves array<bigint>"

@@ -6,6 +6,7 @@ from tidemark.llm.common import benchmark, documents, labels
 from tidemark.llm.decontamination import benchmark_matches
 from tidemark.llm.fertility import quality_rules
 from tidemark.llm.jaccard_join import similar_groups
+from tidemark.llm.lempel_ziv import remove_repeated_passages
 from tidemark.llm.line_dedup import without_repeated_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_rank import quality_scores
@@ -21,6 +22,10 @@ def op3_tokeniser_fertility(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir))
 
 
+def op4_relative_lempel_ziv(spark, sf_dir):
+    return remove_repeated_passages(documents(spark, sf_dir), with_text=False)
+
+
 def op5_line_dedup(spark, sf_dir):
     return without_repeated_lines(documents(spark, sf_dir))
 
@@ -48,6 +53,7 @@ def op10_quality_ranking(spark, sf_dir):
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_tokeniser_fertility": op3_tokeniser_fertility,
+    "op4_relative_lempel_ziv": op4_relative_lempel_ziv,
     "op5_line_dedup": op5_line_dedup,
     "op6_secret_worklist": op6_secret_worklist,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
