@@ -9,11 +9,16 @@ from tidemark.llm.jaccard_join import similar_groups
 from tidemark.llm.lempel_ziv import remove_repeated_passages
 from tidemark.llm.line_dedup import without_repeated_lines
 from tidemark.llm.packing import pack
+from tidemark.llm.personal_data import personal_data
 from tidemark.llm.quality_rank import quality_scores
 from tidemark.llm.secret_worklist import scan_secrets
 from tidemark.llm.toxicity import toxicity_scores
 
 
+def op1_bootstrapped_pii(spark, sf_dir):
+    return personal_data(documents(spark, sf_dir))
+
+
 def op2_best_fit_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir))
 
@@ -51,6 +56,7 @@ def op10_quality_ranking(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_tokeniser_fertility": op3_tokeniser_fertility,
     "op4_relative_lempel_ziv": op4_relative_lempel_ziv,
