@@ -109,9 +109,12 @@ def test_session_settings():
             self[name] = value
             return self
 
-    assert configure(Builder(), {**settings, **kafka_configs()})["spark.jars.packages"].startswith(
-        "org.apache.spark:spark-sql-kafka"
-    )
+    for parts in ((settings, kafka_configs()), (kafka_configs(), settings)):
+        packages = configure(Builder(), *parts)["spark.jars.packages"].split(",")
+        assert sorted(p.split(":")[1] for p in packages) == [
+            "iceberg-spark-runtime-4.0_2.13",
+            "spark-sql-kafka-0-10_2.13",
+        ]
 
 
 def test_scratch_uses_the_shared_folder_if_there_is_one(spark, tmp_path):
@@ -121,6 +124,6 @@ def test_scratch_uses_the_shared_folder_if_there_is_one(spark, tmp_path):
     shared = session(**{"spark.checkpoint.dir": f"{tmp_path}/", "spark.master": "spark://host:1"})
     first, second = scratch_dir(shared, "a"), scratch_dir(shared, "a")
     assert first.startswith(f"{tmp_path}/a-") and first != second
-    assert scratch_dir(spark, "a").startswith("/")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_dir(session(**{"spark.master": "spark://host:1"}), "a")
+    for master in ("local[2]", "spark://host:1"):
+        plain = session(**{"spark.master": master, "spark.sql.warehouse.dir": "hdfs://warehouse/"})
+        assert scratch_dir(plain, "a").startswith("hdfs://warehouse/scratch/a-")

@@ -15,7 +15,6 @@ from tidemark.functions.money import exact_cents
 from tidemark.functions.times import interval_micros
 from tidemark.operators.decode import parse_events
 from tidemark.operators.revenue import (
-    in_window_order,
     merge_parts,
     revenue_parts,
     revenue_sliding,
@@ -44,32 +43,6 @@ def test_revenue_of_sales_only(raw):
     assert [r.revenue for r in rows.collect()] == [20.0]
 
 
-def test_tumbling_buckets(raw):
-    events = parse_events(
-        raw(
-            [
-                sale("a", DAY + "10:00:10Z", quantity=2, unit_price=10.0),
-                sale("b", DAY + "10:00:50Z", quantity=3, unit_price=10.0),
-                sale("c", DAY + "10:01:05Z", quantity=1, unit_price=15.0),
-            ]
-        )
-    )
-    assert collected(revenue_tumbling(events)) == {
-        (at("10:00:00"), at("10:01:00"), "books"): (50.0, 2),
-        (at("10:01:00"), at("10:02:00"), "books"): (15.0, 1),
-    }
-    starts = [r.revenue for r in in_window_order(revenue_tumbling(events)).collect()]
-    assert starts == [50.0, 15.0]
-
-
-def test_sliding_windows_contain_the_instant(raw):
-    events = parse_events(raw([sale("a", DAY + "10:02:30Z", quantity=10, unit_price=10.0)]))
-    windows = collected(revenue_sliding(events))
-    assert len(windows) == 5
-    assert set(windows.values()) == {(100.0, 1)}
-    assert all(start <= at("10:02:30") < end for start, end, _ in windows)
-
-
 @pytest.mark.parametrize("window,slide", [("5 minutes", "2 minutes"), ("1 hour", "25 minutes")])
 def test_sliding_by_buckets_equals_expanding_rows(raw, window, slide):
     texts = [

@@ -25,6 +25,11 @@ _UNIT_MICROS = {
 }
 
 
+_FULL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?"
+_ZONED = _FULL + r"(Z|[+-][0-9]{2}:[0-9]{2})$"
+_BARE = _FULL + "$"
+
+
 def utc_wall_clock(ts: Column | str) -> Column:
     """``TIMESTAMP`` to the UTC wall clock as ``TIMESTAMP_NTZ``."""
     micros = F.unix_micros(F.col(ts) if isinstance(ts, str) else ts)
@@ -41,18 +46,26 @@ def wire_text(ts: Column | str) -> Column:
 
 
 def event_time(ts: Column | str) -> Column:
-    """Text to ``TIMESTAMP``; unreadable text gives NULL instead of an error."""
-    return F.try_to_timestamp(F.col(ts) if isinstance(ts, str) else ts)
+    """Text to ``TIMESTAMP``: a full date and time, with a zone or else in UTC.
+
+    Anything else is NULL. Spark alone would complete a bare time by the day of the run, and read a
+    text without a zone in the session's.
+    """
+    text = F.col(ts) if isinstance(ts, str) else ts
+    zoned = F.when(text.rlike(_ZONED), text).when(text.rlike(_BARE), F.concat(text, F.lit("Z")))
+    return F.try_to_timestamp(zoned)
 
 
 def instant(value: Column | datetime | str) -> Column:
-    """A cutoff as a column. A datetime without a zone is taken as UTC."""
+    """A cutoff as a column. A datetime or a text without a zone is taken as UTC."""
     if isinstance(value, Column):
         return value
     if isinstance(value, datetime):
         aware = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
         value = aware.astimezone(timezone.utc).isoformat()
-    return F.to_timestamp(F.lit(value))
+    if not re.search(f"{_ZONED}|{_BARE}", value):
+        raise ValueError(f"not a full date and time: {value!r}")
+    return event_time(F.lit(value))
 
 
 def interval_micros(text: str) -> int | None:

@@ -10,39 +10,29 @@ from pyspark.sql import functions as F
 from tidemark.functions.rows import first_per_key
 
 
-STREAM_SALTS = 32
-
-
 def dedup_events(
     events: DataFrame,
     order_by: Sequence[str] = ("event_time",),
     delay: str = "2 minutes",
-    all_have_ids: bool = False,
+    spread_copies: int | None = None,
 ) -> DataFrame:
     """One event per ``event_id``; events without an id are all kept.
 
     On a table the first copy in ``order_by`` stays, and copies shrink to one per task before the
-    shuffle. Valid events all have ids; saying so saves the second read that looks for those without.
-    On a stream the first copy to arrive stays and later ones within ``delay`` are dropped; the input
-    there must be valid events.
-    """
-    if events.isStreaming:
-        return _dedup_stream(events, delay)
-    if all_have_ids:
-        return first_per_key(events, ["event_id"], order_by)
-    identified = events.filter(F.col("event_id").isNotNull())
-    anonymous = events.filter(F.col("event_id").isNull())
-    return first_per_key(identified, ["event_id"], order_by).unionByName(anonymous)
-
-
-def _dedup_stream(events: DataFrame, delay: str) -> DataFrame:
-    """Two steps, because streaming de-duplication does not combine before its shuffle.
+    shuffle; a row without an id has a key of its own, so one aggregate serves both. On a stream the
+    first copy to arrive stays and later ones within ``delay`` are dropped; rows without an id take a
+    place in the state until the watermark has passed them, and rows later than that are dropped.
 
-    The first step knows an id per group of input tasks, so the copies of one id meet in up to
-    `STREAM_SALTS` tasks; the second step, which alone decides, sees what is left of them.
+    ``spread_copies`` adds a step in front on streams, for ids with very many copies, since Spark does
+    not combine there before its shuffle: copies first meet per id and one of that many groups of input
+    tasks. It costs a second shuffle and a second state with every id within the delay.
     """
-    salted = events.withWatermark("event_time", delay).withColumn(
-        "_salt", F.spark_partition_id() % STREAM_SALTS
-    )
-    fewer = salted.dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
-    return fewer.dropDuplicatesWithinWatermark(["event_id"])
+    own = F.when(F.col("event_id").isNull(), F.uuid())
+    keyed = events.withColumn("_own", own)
+    if not events.isStreaming:
+        return first_per_key(keyed, ["event_id", "_own"], order_by).drop("_own")
+    timed = keyed.withWatermark("event_time", delay)
+    if spread_copies is not None:
+        salted = timed.withColumn("_salt", F.spark_partition_id() % spread_copies)
+        timed = salted.dropDuplicatesWithinWatermark(["event_id", "_own", "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark(["event_id", "_own"]).drop("_own")

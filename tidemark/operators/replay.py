@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.decode import parse_events
-from tidemark.operators.revenue import PART_KEYS, merge_parts, revenue_parts, sum_parts
+from tidemark.operators.revenue import PART_KEYS, revenue_parts, sum_parts
 from tidemark.operators.route import split_valid_invalid
 from tidemark.schemas import REASON_LATE, REVENUE_FIELDS
 
@@ -30,8 +30,3 @@ def replay_late(parts: DataFrame, dlq: DataFrame, window: str = "1 minute") -> D
     )
     touched = sum_parts(tagged, *PART_KEYS, also=[F.max("_late").alias("_late")])
     return touched.filter("_late").drop("_late")
-
-
-def with_replayed(parts: DataFrame, dlq: DataFrame, window: str = "1 minute") -> DataFrame:
-    """The whole table of parts after the replay."""
-    return merge_parts(parts.unionByName(revenue_parts(replayable_events(dlq), window)))

@@ -100,10 +100,7 @@ def revenue_parts(
     bucket = None if sales.isStreaming else _shared_bucket(window, slide)
     if bucket is None:
         return _flat(_sum_sales(sales, F.window("event_time", window, slide)))
-    buckets = _flat(_sum_sales(sales, F.window("event_time", bucket)))
-    return _flat(
-        sum_parts(buckets, F.window("window_start", window, slide).alias("window"), "category")
-    )
+    return sliding_parts(_flat(_sum_sales(sales, F.window("event_time", bucket))), window, slide)
 
 
 def merge_parts(parts: DataFrame) -> DataFrame:
@@ -111,6 +108,17 @@ def merge_parts(parts: DataFrame) -> DataFrame:
     return sum_parts(parts, *PART_KEYS)
 
 
+def sliding_parts(parts: DataFrame, window: str, slide: str) -> DataFrame:
+    """Parts of sliding windows from parts of short ones that tile them.
+
+    ``window`` and ``slide`` must be multiples of the short windows' length. Short windows are expanded
+    and not rows, so this reads a stored table of parts of any number of events.
+    """
+    return _flat(
+        sum_parts(parts, F.window("window_start", window, slide).alias("window"), "category")
+    )
+
+
 def revenue_table(parts: DataFrame) -> DataFrame:
     """Merged parts to the public columns."""
     return parts.select(

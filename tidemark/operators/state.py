@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,30 +57,13 @@ def merge_changes(state: DataFrame, changes: DataFrame) -> DataFrame:
     return live_rows(last_per_key(both, [KEY], ["_change", *order]))
 
 
-def merge_into_sql(
-    target: str, source_view: str = "cdc_updates", columns: Sequence[str] = VALUE_COLUMNS
-) -> str:
-    """The same step as a MERGE statement, for a catalog with row-level operations."""
-    assignments = ", ".join(f"t.{c} = s.{c}" for c in columns)
-    names = ", ".join((KEY, *columns))
-    values = ", ".join(f"s.{c}" for c in (KEY, *columns))
-    return "\n".join(
-        [
-            f"MERGE INTO {target} t USING {source_view} s ON t.{KEY} = s.{KEY}",
-            f"WHEN MATCHED AND s.op = '{OP_DELETE}' THEN DELETE",
-            f"WHEN MATCHED THEN UPDATE SET {assignments}",
-            f"WHEN NOT MATCHED AND s.op != '{OP_DELETE}' THEN INSERT ({names}) VALUES ({values})",
-        ]
-    )
-
-
 def merge_into_table(changes: DataFrame, target: str) -> None:
     """Compact a batch and merge it into a table of a catalog with row-level operations."""
     source = latest_change_per_key(applicable_changes(changes)).alias("s")
     values = {c: F.col(f"s.{c}") for c in VALUE_COLUMNS}
     deleted = F.col("s.op") == OP_DELETE
     (
-        source.mergeInto(target, F.col(f"{target}.{KEY}") == F.col(f"s.{KEY}"))
+        source.mergeInto(target, F.expr(f"{target}.{KEY} = s.{KEY}"))
         .whenMatched(deleted)
         .delete()
         .whenMatched()

@@ -21,15 +21,16 @@ WITH lines AS (
   SELECT *, CASE l_returnflag WHEN 'R' THEN 'd' WHEN 'A' THEN 'u' ELSE 'c' END AS line_op,
     CASE WHEN l_discount = 0.1 AND l_tax = 0.08 THEN 'text'
       WHEN l_discount = 0.1 AND l_tax = 0.0 THEN 'truncate' ELSE 'change' END AS kind,
-    l_orderkey * 8 + l_linenumber AS "offset",
+    (l_orderkey * 8 + l_linenumber) * 1000000000 + l_partkey AS "offset",
+    CASE l_linenumber WHEN 7 THEN 'NEW' ELSE 'SKU' END || l_partkey AS line_sku,
     strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS shipped
   FROM lineitem
 ), envelopes AS (
   SELECT line_op AS op, epoch_ms(l_shipdate) AS ts_ms, "offset", l_linenumber, l_linestatus,
-    'SKU' || l_partkey AS key,
-    CASE WHEN line_op <> 'c' THEN 'SKU' || l_partkey END AS before_sku,
+    line_sku AS key,
+    CASE WHEN line_op <> 'c' THEN line_sku END AS before_sku,
     CASE WHEN line_op <> 'c' THEN l_extendedprice * (1 - l_discount) END AS before_price,
-    CASE WHEN line_op <> 'd' THEN 'SKU' || l_partkey END AS after_sku,
+    CASE WHEN line_op <> 'd' THEN line_sku END AS after_sku,
     CASE WHEN line_op <> 'd' THEN l_extendedprice END AS after_price,
     CASE WHEN line_op <> 'd' THEN 'S' || l_suppkey END AS category,
     CASE WHEN line_op <> 'd' THEN CAST(l_quantity AS INTEGER) END AS stock,
@@ -131,7 +132,7 @@ SELECT sku, category, unit_price, stock, updated_at, op, ts_ms, "offset" FROM la
     "cdc_merge": f"""{CHANGES_SQL}, latest AS ({latest_sql("ts_ms DESC")}), state AS (
   SELECT 'SKU' || p_partkey AS sku, p_brand AS category, p_retailprice AS unit_price,
     p_size AS stock, '1995-01-01T00:00:00Z' AS updated_at
-  FROM part WHERE p_type <> 'ECONOMY'
+  FROM part
 )
 SELECT * FROM state WHERE sku NOT IN (SELECT sku FROM latest)
 UNION ALL

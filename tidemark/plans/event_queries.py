@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import utc_wall_clock, wire_text
+from tidemark.functions.times import event_time, utc_wall_clock, wire_text
 from tidemark.operators.audit import conservation, reason_counts
 from tidemark.operators.decode import decode_with_raw, parse_events
 from tidemark.operators.dedup import dedup_events
@@ -37,7 +37,7 @@ from tidemark.plans.event_sql import (
     sliding,
     tumbling,
 )
-from tidemark.schemas import EVENT_FIELDS, REASON_MALFORMED, REVENUE_FIELDS
+from tidemark.schemas import EVENT_FIELDS, REASON_MALFORMED, REVENUE_FIELDS, SALE
 from tidemark.sources.tables import bulk_sales, feed, table, typed_feed
 
 _TIMES = ("event_time", "window_start", "window_end", "cutoff")
@@ -62,8 +62,7 @@ def routed_revenue(spark, sf_dir):
 
 
 def _encode_records(spark, sf_dir):
-    events = typed_feed(spark, sf_dir).filter(F.col("broken").isNull())
-    return encode_records(events).select(
+    return encode_records(typed_feed(spark, sf_dir)).select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
     )
 
@@ -176,15 +175,50 @@ def _late_by_microbatch(spark, sf_dir):
 
 
 def sent_repeatedly(records: DataFrame) -> DataFrame:
-    """One segment's records arrive three times each."""
+    """One segment's records arrive three times each, a tenth of a second later each time."""
     sends = F.when(F.col("segment") == "BUILDING", 3).otherwise(1)
-    return records.select("value", F.explode(F.sequence(F.lit(1), sends)).alias("attempt"))
+    copies = records.select("*", F.explode(F.sequence(F.lit(1), sends)).alias("attempt"))
+    later = F.concat(F.lit("."), F.col("attempt").cast("string"), F.lit('Z"'))
+    text = F.replace(F.col("value").cast("string"), F.lit('Z"'), later)
+    return copies.withColumn("value", text.cast("binary"))
 
 
 def _dedup_events(spark, sf_dir):
     sent = sent_repeatedly(feed(spark, sf_dir, "segment"))
     valid = split_valid_invalid(parse_events(sent, REVENUE_FIELDS))[0]
-    return presented(dedup_events(valid, all_have_ids=True).drop("ts"))
+    return presented(dedup_events(valid))
+
+
+def _wire_times(spark, sf_dir):
+    """Times in all forms a producer may send; half of them are no full date and time."""
+    form = F.col("event_id") % 6
+    clock = F.substring(wire_text("ts"), 1, 19)
+    text = (
+        F.when(form == 0, F.concat(clock, F.lit("Z")))
+        .when(form == 1, clock)
+        .when(form == 2, F.concat(clock, F.lit("+02:00")))
+        .when(form == 3, F.substring(clock, 11, 9))
+        .when(form == 4, F.substring(clock, 1, 10))
+        .otherwise(F.substring(clock, 12, 5))
+    )
+    sent = table(spark, sf_dir, "events").select("event_id", text.alias("sent"))
+    return presented(sent.select("event_id", "sent", event_time("sent").alias("event_time")))
+
+
+def _fractional_revenue(spark, sf_dir):
+    """Prices with many decimals and ties at half a cent."""
+    line = table(spark, sf_dir, "lineitem")
+    price = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_extendedprice") / 8).otherwise(
+        F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    )
+    sales = line.select(
+        F.lit(SALE).alias("event_type"),
+        F.col("l_returnflag").alias("category"),
+        F.col("l_linenumber").alias("quantity"),
+        price.alias("unit_price"),
+        F.col("l_shipdate").alias("event_time"),
+    )
+    return presented(revenue_tumbling(sales, "28 days"))
 
 
 def _dlq_replay_revenue(spark, sf_dir):
@@ -217,13 +251,19 @@ QUERIES = {
     "late_by_microbatch": _late_by_microbatch,
     "dedup_events": _dedup_events,
     "dlq_replay_revenue": _dlq_replay_revenue,
+    "wire_times": _wire_times,
+    "fractional_revenue": _fractional_revenue,
 }
 
+FIRST_COPIES_SQL = """
+SELECT event_type, event_id, replace(ts, 'Z', '.1Z') AS ts, category, quantity, unit_price,
+  event_time + INTERVAL '100 milliseconds' AS event_time
+FROM routed WHERE route <> 'malformed_or_unknown'"""
 _NO_TIME = EVENT_COLUMNS.removesuffix(", event_time")
 
 ORACLES = {
     "routed_revenue": tumbling("sales", "1 hour", "route = 'on_time'"),
-    "encode_records": f"{FEED} SELECT key, value FROM records WHERE value NOT LIKE 'error %'",
+    "encode_records": f"{FEED} SELECT key, body AS value FROM records",
     "event_key": f"{FEED} SELECT event_id, coalesce(order_id, sku, event_id) AS key FROM fields",
     "build_events": f"""{FEED}
 SELECT 'sale' AS event_type, concat_ws('-', 'sale', l_orderkey, l_linenumber) AS event_id,
@@ -250,16 +290,20 @@ SELECT coalesce(event_id, 'unknown') AS dlq_event_id, 'malformed_or_unknown' AS
 FROM routed WHERE route = 'malformed_or_unknown'""",
     "dlq_reason_counts": f"""{FEED}
 SELECT route AS dlq_reason, count(*) AS records FROM routed WHERE route <> 'on_time' GROUP BY 1""",
-    "conservation_audit": f"""{FEED}
-SELECT (SELECT count(*) FROM records) AS n_in,
-  count(*) FILTER (event_time >= {CUTOFF_SQL} AND event_type IN ('sale', 'stock'))
-    + count(*) FILTER (event_time < {CUTOFF_SQL} AND event_type IN ('sale', 'stock')) AS n_valid,
-  count(*) FILTER (route = 'malformed_or_unknown') AS n_invalid,
-  count(*) FILTER (route = 'on_time') AS n_on_time,
-  count(*) FILTER (route = 'late') AS n_late,
-  count(*) FILTER (route <> 'on_time') AS n_dlq,
-  true AS conserved
-FROM routed""",
+    "conservation_audit": f"""{FEED}, counts AS (
+  SELECT (SELECT count(*) FROM records) AS n_in,
+    count(*) FILTER (event_type IN ('sale', 'stock') AND event_id IS NOT NULL
+      AND event_time IS NOT NULL) AS n_valid,
+    count(*) FILTER (event_type IS NULL OR event_type NOT IN ('sale', 'stock')
+      OR event_id IS NULL OR event_time IS NULL) AS n_invalid,
+    count(*) FILTER (event_time >= {CUTOFF_SQL} AND event_type IN ('sale', 'stock')) AS n_on_time,
+    count(*) FILTER (event_time < {CUTOFF_SQL} AND event_type IN ('sale', 'stock')) AS n_late,
+    count(*) FILTER (route <> 'on_time') AS n_dlq
+  FROM routed
+)
+SELECT *, n_in = n_valid + n_invalid AND n_valid = n_on_time + n_late
+  AND n_in = n_on_time + n_dlq AS conserved
+FROM counts""",
     "sale_revenue": f"""{FEED}
 SELECT event_id, category, event_time,
   CAST(CAST(unit_price AS DECIMAL(18,2)) * quantity AS DOUBLE) AS revenue
@@ -280,9 +324,30 @@ WITH highs AS (
 SELECT o_orderkey, batch_id, o_orderdate AS event_time, cutoff,
   coalesce(o_orderdate < cutoff, false) AS is_late
 FROM orders JOIN cutoffs ON batch_id = o_orderkey // 1000""",
-    "dedup_events": f"""{FEED}
-SELECT event_type, event_id, category, quantity, unit_price, event_time
-FROM routed WHERE route <> 'malformed_or_unknown'""",
+    "dedup_events": f"{FEED} {FIRST_COPIES_SQL}",
+    "wire_times": """
+WITH clocks AS (
+  SELECT event_id, event_id % 6 AS form, date_trunc('second', ts) AS sec,
+    strftime(ts, '%Y-%m-%dT%H:%M:%S') AS clock FROM events
+)
+SELECT event_id,
+  CASE form WHEN 0 THEN clock || 'Z' WHEN 1 THEN clock WHEN 2 THEN clock || '+02:00'
+    WHEN 3 THEN substr(clock, 11, 9) WHEN 4 THEN substr(clock, 1, 10)
+    ELSE substr(clock, 12, 5) END AS sent,
+  CASE WHEN form < 2 THEN sec WHEN form = 2 THEN sec - INTERVAL '2 hours' END AS event_time
+FROM clocks""",
+    "fractional_revenue": """
+WITH amounts AS (
+  SELECT l_returnflag AS category, l_shipdate, l_linenumber * CASE WHEN l_linenumber % 2 = 0
+    THEN l_extendedprice / 8 ELSE l_extendedprice * (1 - l_discount) * (1 + l_tax) END AS amount
+  FROM lineitem
+)
+SELECT time_bucket(INTERVAL '28 days', l_shipdate, TIMESTAMP '1970-01-01') AS window_start,
+  time_bucket(INTERVAL '28 days', l_shipdate, TIMESTAMP '1970-01-01') + INTERVAL '28 days'
+    AS window_end, category,
+  CAST(sum(round(CAST(CAST(amount AS VARCHAR) AS DECIMAL(38, 16)), 2)) AS DOUBLE) AS revenue,
+  count(*) AS orders
+FROM amounts GROUP BY ALL""",
     "dlq_replay_revenue": f"""{FEED}, daily AS (
   SELECT date_trunc('day', event_time) AS window_start, category,
     CAST(sum(cents) AS DOUBLE) AS revenue, count(*) AS orders,

@@ -30,14 +30,15 @@ WITH base AS (
     CASE WHEN wire_type = 'stock' THEN k END AS quantity_delta
   FROM base
 ), records AS (
-  SELECT n, segment, coalesce(order_id, sku, event_id) AS key,
-    CASE WHEN kind = 'error' THEN 'error ' || n ELSE '{' || concat_ws(',',
+  SELECT n, segment, body, coalesce(order_id, sku, event_id) AS key,
+    CASE WHEN kind = 'error' THEN 'error ' || n ELSE body END AS value
+  FROM (SELECT *, '{' || concat_ws(',',
       '"category":"' || category || '"', '"customer_id":"' || customer_id || '"',
       '"event_id":"' || event_id || '"', '"event_type":"' || event_type || '"',
       '"order_id":"' || order_id || '"', '"quantity":' || quantity,
       '"quantity_delta":' || quantity_delta, '"sku":"' || sku || '"', '"ts":"' || ts || '"',
-      '"unit_price":' || unit_price, '"warehouse":"' || warehouse || '"') || '}' END AS value
-  FROM fields
+      '"unit_price":' || unit_price, '"warehouse":"' || warehouse || '"') || '}' AS body
+    FROM fields)
 ), decoded AS (
   SELECT r.value AS raw_json, r.segment, f.event_type, f.event_id, f.ts, f.order_id, f.customer_id,
     f.category, f.quantity, f.unit_price, f.sku, f.warehouse, f.quantity_delta,

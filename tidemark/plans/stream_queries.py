@@ -1,12 +1,18 @@
-"""The same inputs as real streams, drained to the end; results are read back from the sinks."""
+"""The same inputs as real streams in several waves; results are read back from the sinks.
+
+Waves are published and drained one after the other and every run resumes from the checkpoint, so that
+windows are evicted, copies and late events meet state of earlier batches, and versions replace others.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tidemark.functions.times import instant
 from tidemark.operators.changes import (
     applicable_changes,
     flatten_changes,
@@ -18,30 +24,18 @@ from tidemark.operators.revenue import revenue_sliding, revenue_tumbling
 from tidemark.operators.route import split_valid_invalid
 from tidemark.operators.state import live_rows
 from tidemark.plans.change_queries import CHANGES_SQL, folded_sql, latest_sql
-from tidemark.plans.event_queries import presented, sent_repeatedly
+from tidemark.plans.event_queries import FIRST_COPIES_SQL, presented, sent_repeatedly
 from tidemark.plans.event_sql import EARLY_SEGMENTS, FEED, WAVE_DELAY_DAYS, sliding, tumbling
 from tidemark.schemas import CHANGE_FIELDS, KEY, REVENUE_FIELDS
-from tidemark.sources.tables import (
-    change_records,
-    change_topic,
-    feed,
-    feed_stream,
-    table_stream,
-)
+from tidemark.sources.tables import change_topic, feed
 from tidemark.sources.topics import publish, read_file_topic
+from tidemark.streaming.folders import Snapshots, Versions
 from tidemark.streaming.routed import RoutedTables
 from tidemark.streaming.scratch import scratch_dir
-from tidemark.streaming.sinks import (
-    configure_table_writer,
-    current_versions,
-    drain,
-    last_snapshot,
-    read_batches,
-    version_writer,
-)
+from tidemark.streaming.sinks import StreamFolder, drain, each_batch
 from tidemark.streaming.state import LOG_FIELDS, ChangeLog
 
-_WINDOW_KEYS = ["window_start", "window_end", "category"]
+_WINDOW_KEYS = ("window_start", "window_end", "category")
 _REVENUE_FIELDS = {
     "window_start": "timestamp",
     "window_end": "timestamp",
@@ -49,89 +43,181 @@ _REVENUE_FIELDS = {
     "revenue": "double",
     "orders": "bigint",
 }
+# Where the waves of the feed are cut; one segment's events of the first part arrive in the last wave.
+FIRST_CUT, SECOND_CUT = "2024-01-11T00:00:00Z", "2024-01-21T00:00:00Z"
+STRAGGLERS = "BUILDING"
+
+
+def by_time() -> list[Column]:
+    """Conditions of three waves of the feed, the last with events that come far too late."""
+    first, second = instant(FIRST_CUT), instant(SECOND_CUT)
+    early = F.col("sent_at") < first
+    straggles = early & (F.col("segment") == STRAGGLERS)
+    later = (F.col("sent_at") >= first) & (F.col("sent_at") < second)
+    return [early & ~straggles, later, straggles | (F.col("sent_at") >= second)]
+
+
+def in_waves(
+    waves: Iterable[DataFrame],
+    spark: SparkSession,
+    out: str,
+    writer: Callable[[DataFrame], DataStreamWriter],
+    between: Callable[[int], None] = lambda wave: None,
+) -> list[int]:
+    """Publish and drain one wave after the other; input rows of every micro-batch that had some."""
+    rows = []
+    for number, wave in enumerate(waves):
+        publish(wave, f"{out}/topic")
+        query = drain(writer(read_file_topic(spark, f"{out}/topic")))
+        rows += [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        between(number)
+    return rows
+
 
+def feed_waves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    records = feed(spark, sf_dir, "segment", "sent_at")
+    return [records.filter(wave) for wave in by_time()]
 
-def _append(df: DataFrame, spark: SparkSession, label: str) -> DataFrame:
-    """Drain a stream into a parquet table in append mode."""
+
+def _appended(spark, sf_dir, label: str, stream_of, waves) -> DataFrame:
+    """Drain waves into a parquet table in append mode."""
+    folder = StreamFolder(scratch_dir(spark, label))
+    schema = {}
+
+    def writer(topic):
+        rows = stream_of(topic)
+        schema["of"] = rows.schema
+        return folder.appended(rows)
+
+    in_waves(waves, spark, folder.path, writer)
+    return folder.read(spark, schema["of"])
+
+
+def _updated(spark, label: str, stream_of, waves, fields, keys) -> DataFrame:
+    """Drain waves of an aggregate into versions of its rows and fold the older ones."""
     out = scratch_dir(spark, label)
-    writer = configure_table_writer(df.writeStream, f"{out}/checkpoint", "append", "parquet")
-    drain(writer.option("path", f"{out}/table"))
-    return spark.read.schema(df.schema).parquet(f"{out}/table")
+    versions = Versions(out, fields, tuple(keys))
+
+    def writer(topic):
+        return each_batch(stream_of(topic), versions.apply, f"{out}/checkpoint", "update")
 
+    in_waves(waves, spark, out, writer, lambda wave: wave and versions.fold(spark, wave - 1))
+    return versions.current(spark)
 
-def _versions(df: DataFrame, spark: SparkSession, label: str, mode: str, fields) -> DataFrame:
-    """Drain an aggregate into versions of its rows."""
+
+def _completed(spark, label: str, stream_of, waves, fields) -> DataFrame:
+    """Drain waves of an aggregate into snapshots of all of it."""
     out = scratch_dir(spark, label)
-    drain(version_writer(df, f"{out}/table", f"{out}/checkpoint", mode))
-    return read_batches(spark, f"{out}/table", fields)
+    snapshots = Snapshots(out, fields)
 
+    def writer(topic):
+        return each_batch(stream_of(topic), snapshots.apply, f"{out}/checkpoint", "complete")
 
-def _in_waves(waves: Iterable[DataFrame], spark: SparkSession, out: str, tables) -> None:
-    """Publish and drain one wave after the other; each run resumes from the checkpoint."""
-    for wave in waves:
-        publish(wave, f"{out}/topic")
-        topic = read_file_topic(spark, f"{out}/topic")
-        drain(tables.writer(topic, f"{out}/checkpoint"))
+    in_waves(waves, spark, out, writer)
+    return snapshots.current(spark)
 
 
-def _revenue_stream(spark, sf_dir):
-    return revenue_tumbling(parse_events(feed_stream(spark, sf_dir), REVENUE_FIELDS), "1 hour")
+def _hourly(topic: DataFrame) -> DataFrame:
+    return revenue_tumbling(parse_events(topic, REVENUE_FIELDS), "1 hour")
 
 
 def _stream_source_count(spark, sf_dir):
-    counts = feed_stream(spark, sf_dir).agg(
-        F.count("*").alias("records"), F.sum(F.octet_length("value")).alias("payload_bytes")
-    )
+    def counts(topic):
+        return topic.agg(
+            F.count("*").alias("records"), F.sum(F.octet_length("value")).alias("payload_bytes")
+        )
+
     fields = {"records": "bigint", "payload_bytes": "bigint"}
-    return last_snapshot(_versions(counts, spark, "source", "complete", fields))
+    return _completed(spark, "source", counts, feed_waves(spark, sf_dir), fields)
 
 
 def _stream_revenue_append(spark, sf_dir):
-    return presented(_append(_revenue_stream(spark, sf_dir), spark, "append"))
+    return presented(_appended(spark, sf_dir, "append", _hourly, feed_waves(spark, sf_dir)))
 
 
 def _stream_revenue_update(spark, sf_dir):
-    stream = _revenue_stream(spark, sf_dir)
-    versions = _versions(stream, spark, "update", "update", _REVENUE_FIELDS)
-    return presented(current_versions(versions, _WINDOW_KEYS))
+    waves = feed_waves(spark, sf_dir)
+    return presented(_updated(spark, "update", _hourly, waves, _REVENUE_FIELDS, _WINDOW_KEYS))
 
 
 def _stream_revenue_complete(spark, sf_dir):
-    stream = _revenue_stream(spark, sf_dir)
-    return presented(
-        last_snapshot(_versions(stream, spark, "complete", "complete", _REVENUE_FIELDS))
-    )
+    waves = feed_waves(spark, sf_dir)
+    return presented(_completed(spark, "complete", _hourly, waves, _REVENUE_FIELDS))
 
 
 def _stream_revenue_sliding(spark, sf_dir):
-    events = parse_events(feed_stream(spark, sf_dir), REVENUE_FIELDS)
-    stream = revenue_sliding(events, "5 hours", "1 hour")
-    versions = _versions(stream, spark, "sliding", "update", _REVENUE_FIELDS)
-    return presented(current_versions(versions, _WINDOW_KEYS))
+    def five_hours(topic):
+        return revenue_sliding(parse_events(topic, REVENUE_FIELDS), "5 hours", "1 hour")
+
+    waves = feed_waves(spark, sf_dir)
+    return presented(_updated(spark, "sliding", five_hours, waves, _REVENUE_FIELDS, _WINDOW_KEYS))
 
 
-def _routed_tables(spark, sf_dir) -> RoutedTables:
+def _by_segment(spark, sf_dir) -> list[DataFrame]:
     """Some segments arrive first; the others follow and are late against what was seen."""
     records = feed(spark, sf_dir, "segment")
     early = F.col("segment").isin(*EARLY_SEGMENTS)
+    return [records.filter(early), records.filter(~early)]
+
+
+def _routed_tables(spark, waves, **settings) -> RoutedTables:
     out = scratch_dir(spark, "routed")
-    tables = RoutedTables(out, "1 hour", f"{WAVE_DELAY_DAYS} days")
-    _in_waves([records.filter(early), records.filter(~early)], spark, out, tables)
+    tables = RoutedTables(out, "1 hour", f"{WAVE_DELAY_DAYS} days", **settings)
+    in_waves(waves, spark, out, lambda topic: tables.writer(topic, f"{out}/checkpoint"))
     return tables
 
 
 def _stream_routed_revenue(spark, sf_dir):
-    return presented(_routed_tables(spark, sf_dir).revenue(spark))
+    return presented(_routed_tables(spark, _by_segment(spark, sf_dir)).revenue(spark))
 
 
 def _stream_dlq(spark, sf_dir):
-    return _routed_tables(spark, sf_dir).dlq(spark)
+    return _routed_tables(spark, _by_segment(spark, sf_dir)).dlq(spark)
+
+
+def _stream_routed_folded(spark, sf_dir):
+    """Three waves; after the second and the third all older batches are folded."""
+    records = feed(spark, sf_dir, "segment")
+    early, middle = F.col("segment").isin(*EARLY_SEGMENTS), F.col("segment") == "FURNITURE"
+    waves = [records.filter(early), records.filter(middle), records.filter(~early & ~middle)]
+    out = scratch_dir(spark, "folded")
+    tables = RoutedTables(out, "1 hour", f"{WAVE_DELAY_DAYS} days")
+    in_waves(
+        waves,
+        spark,
+        out,
+        lambda topic: tables.writer(topic, f"{out}/checkpoint"),
+        lambda wave: wave and tables.fold(spark, wave - 1),
+    )
+    return presented(tables.revenue(spark))
+
+
+def _stream_dlq_replay(spark, sf_dir):
+    """The late events of the stored dead letters are back in the stored revenue, once."""
+    tables = _routed_tables(spark, _by_segment(spark, sf_dir))
+    tables.replay(spark)
+    tables.replay(spark)
+    return presented(tables.sliding(spark, "5 hours", "1 hour"))
+
+
+def _stream_routed_dedup(spark, sf_dir):
+    """All records of the first wave are sent again in the second."""
+    first, second = _by_segment(spark, sf_dir)
+    waves = [first.union(first), second.union(first)]
+    tables = _routed_tables(spark, waves, copies_within="40 days")
+    return presented(tables.revenue(spark))
 
 
 def _stream_dedup(spark, sf_dir):
-    sent = sent_repeatedly(feed_stream(spark, sf_dir, "segment"))
-    valid = split_valid_invalid(parse_events(sent, REVENUE_FIELDS))[0]
-    return presented(_append(dedup_events(valid, delay="40 days").drop("ts"), spark, "dedup"))
+    """Second and third copies come in later waves."""
+    sent = sent_repeatedly(feed(spark, sf_dir, "segment"))
+    waves = [sent.filter(F.col("attempt") == n) for n in (1, 2, 3)]
+
+    def once(topic):
+        valid = split_valid_invalid(parse_events(topic, REVENUE_FIELDS))[0]
+        return dedup_events(valid, delay="40 days")
+
+    return presented(_appended(spark, sf_dir, "dedup", once, waves))
 
 
 def _stream_cdc_state(spark, sf_dir):
@@ -140,19 +226,22 @@ def _stream_cdc_state(spark, sf_dir):
     finished = F.col("l_linestatus") == "F"
     out = scratch_dir(spark, "state")
     log = ChangeLog(out)
-    _in_waves([topic.filter(finished), topic.filter(~finished)], spark, out, log)
+    waves = [topic.filter(finished), topic.filter(~finished)]
+    in_waves(waves, spark, out, lambda records: log.writer(records, f"{out}/checkpoint"))
     log.fold(spark, upto=0)
     return log.current(spark)
 
 
 def _stream_cdc_update(spark, sf_dir):
-    """The state as a streaming aggregate, without a table to merge into."""
-    records = change_records(table_stream(spark, sf_dir, "lineitem"))
-    events = parse_cdc_events(records, CHANGE_FIELDS, keep=("offset",))
-    changes = applicable_changes(flatten_changes(events, keep=("offset",)))
-    stream = latest_change_per_key(changes)
-    versions = _versions(stream, spark, "keyed", "update", LOG_FIELDS)
-    return live_rows(current_versions(versions, [KEY]))
+    """The state as a streaming aggregate, without a table to merge into, in three waves."""
+    topic = change_topic(spark, sf_dir, "l_linenumber")
+    waves = [topic.filter(F.col("l_linenumber") % 3 == n) for n in range(3)]
+
+    def latest(records):
+        events = parse_cdc_events(records, CHANGE_FIELDS, keep=("offset",))
+        return latest_change_per_key(applicable_changes(flatten_changes(events, keep=("offset",))))
+
+    return live_rows(_updated(spark, "keyed", latest, waves, LOG_FIELDS, [KEY]))
 
 
 QUERIES = {
@@ -162,7 +251,10 @@ QUERIES = {
     "stream_revenue_complete": _stream_revenue_complete,
     "stream_revenue_sliding": _stream_revenue_sliding,
     "stream_routed_revenue": _stream_routed_revenue,
+    "stream_routed_folded": _stream_routed_folded,
+    "stream_routed_dedup": _stream_routed_dedup,
     "stream_dlq": _stream_dlq,
+    "stream_dlq_replay": _stream_dlq_replay,
     "stream_dedup": _stream_dedup,
     "stream_cdc_state": _stream_cdc_state,
     "stream_cdc_update": _stream_cdc_update,
@@ -180,27 +272,70 @@ _WAVES = f""", boundary AS (
 )
 """
 
+# Waves by time: what the watermark before the last wave lets pass, per tumbling or sliding window.
+_BY_TIME = f""", waved AS (
+  SELECT *, CASE WHEN event_time < TIMESTAMP '2024-01-11' THEN
+      CASE segment WHEN '{STRAGGLERS}' THEN 2 ELSE 0 END
+    WHEN event_time < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS wave
+  FROM sales
+), bound AS (
+  SELECT max(event_time) FILTER (wave < 2) - INTERVAL '2 minutes' AS before,
+    max(event_time) - INTERVAL '2 minutes' AS after
+  FROM waved
+), hourly AS (
+  SELECT date_trunc('hour', event_time) AS window_start,
+    date_trunc('hour', event_time) + INTERVAL '1 hour' AS window_end, category, cents
+  FROM waved, bound
+  WHERE wave < 2 OR date_trunc('hour', event_time) + INTERVAL '1 hour' > before
+), five_hours AS (
+  SELECT date_trunc('hour', event_time) - i * INTERVAL '1 hour' AS window_start,
+    date_trunc('hour', event_time) + (5 - i) * INTERVAL '1 hour' AS window_end, category, cents
+  FROM waved, bound, range(5) steps(i)
+  WHERE wave < 2 OR date_trunc('hour', event_time) + (5 - i) * INTERVAL '1 hour' > before
+)
+"""
+_SUMS = (
+    "SELECT window_start, window_end, category, CAST(sum(cents) AS DOUBLE) AS revenue, "
+    "count(*) AS orders"
+)
+_THREE_WAVES = f""", waved AS (
+  SELECT *, CASE WHEN segment IN ({_EARLY}) THEN 0 WHEN segment = 'FURNITURE' THEN 1 ELSE 2 END AS wave
+  FROM routed
+), highs AS (
+  SELECT max(event_time) FILTER (wave < 1) - INTERVAL '{WAVE_DELAY_DAYS} days' AS cutoff1,
+    max(event_time) FILTER (wave < 2) - INTERVAL '{WAVE_DELAY_DAYS} days' AS cutoff2
+  FROM waved WHERE route <> 'malformed_or_unknown'
+)
+SELECT date_trunc('hour', event_time) AS window_start,
+  date_trunc('hour', event_time) + INTERVAL '1 hour' AS window_end, category,
+  CAST(sum(CAST(unit_price AS DECIMAL(18,2)) * quantity) AS DOUBLE) AS revenue, count(*) AS orders
+FROM waved, highs
+WHERE event_type = 'sale' AND event_time IS NOT NULL
+  AND (wave = 0 OR event_time >= CASE wave WHEN 1 THEN cutoff1 ELSE cutoff2 END)
+GROUP BY ALL"""
+_ROUTED_SQL = f"""{FEED}{_WAVES}
+SELECT date_trunc('hour', event_time) AS window_start,
+  date_trunc('hour', event_time) + INTERVAL '1 hour' AS window_end, category,
+  CAST(sum(CAST(unit_price AS DECIMAL(18,2)) * quantity) AS DOUBLE) AS revenue, count(*) AS orders
+FROM placed WHERE place = 'on_time' AND event_type = 'sale' GROUP BY ALL"""
+
 ORACLES = {
     "stream_source_count": f"""{FEED}
 SELECT count(*) AS records, CAST(sum(strlen(value)) AS BIGINT) AS payload_bytes FROM records""",
-    "stream_revenue_append": f"""WITH windows AS ({tumbling("sales", "1 hour")})
-SELECT w.* FROM windows w, ({FEED} SELECT max(event_time) AS high FROM sales) h
-WHERE window_end <= high - INTERVAL '2 minutes'""",
-    "stream_revenue_update": tumbling("sales", "1 hour"),
+    "stream_revenue_append": f"""{FEED}{_BY_TIME}
+{_SUMS} FROM hourly, bound WHERE window_end <= after GROUP BY ALL""",
+    "stream_revenue_update": f"{FEED}{_BY_TIME} {_SUMS} FROM hourly GROUP BY ALL",
     "stream_revenue_complete": tumbling("sales", "1 hour"),
-    "stream_revenue_sliding": sliding("sales", "5 hours", "1 hour", 5),
-    "stream_routed_revenue": f"""{FEED}{_WAVES}
-SELECT date_trunc('hour', event_time) AS window_start,
-  date_trunc('hour', event_time) + INTERVAL '1 hour' AS window_end, category,
-  CAST(sum(CAST(unit_price AS DECIMAL(18,2)) * quantity) AS DOUBLE) AS revenue, count(*) AS orders
-FROM placed WHERE place = 'on_time' AND event_type = 'sale' GROUP BY ALL""",
+    "stream_revenue_sliding": f"{FEED}{_BY_TIME} {_SUMS} FROM five_hours GROUP BY ALL",
+    "stream_routed_revenue": _ROUTED_SQL,
+    "stream_routed_folded": f"{FEED}{_THREE_WAVES}",
+    "stream_routed_dedup": _ROUTED_SQL,
+    "stream_dlq_replay": sliding("sales", "5 hours", "1 hour", 5),
     "stream_dlq": f"""{FEED}{_WAVES}
 SELECT coalesce(event_id, 'unknown') AS event_id, raw_json, place AS dlq_reason,
   CAST(batch_id AS BIGINT) AS batch_id
 FROM placed WHERE place <> 'on_time'""",
-    "stream_dedup": f"""{FEED}
-SELECT event_type, event_id, category, quantity, unit_price, event_time
-FROM routed WHERE route <> 'malformed_or_unknown'""",
+    "stream_dedup": f"{FEED} {FIRST_COPIES_SQL}",
     "stream_cdc_state": folded_sql("l_linestatus DESC, ts_ms DESC"),
     "stream_cdc_update": f"""{CHANGES_SQL}, latest AS ({latest_sql("ts_ms DESC")})
 SELECT sku, category, unit_price, stock, updated_at FROM latest WHERE op <> 'd'""",

@@ -42,8 +42,16 @@ def keyed_state_configs() -> dict[str, str]:
     }
 
 
-def configure(builder: SparkSession.Builder, settings: dict[str, str]) -> SparkSession.Builder:
-    """Put settings on a session builder. Master and parallelism stay with the caller."""
-    for name, value in settings.items():
+PACKAGES = "spark.jars.packages"
+
+
+def configure(builder: SparkSession.Builder, *settings: dict[str, str]) -> SparkSession.Builder:
+    """Put settings on a session builder. Packages of several settings are joined, so a session can
+    have a broker and a lakehouse. Master and parallelism stay with the caller."""
+    packages: list[str] = []
+    for name, value in (item for part in settings for item in part.items()):
+        if name == PACKAGES:
+            packages += [p for p in value.split(",") if p not in packages]
+            value = ",".join(packages)
         builder = builder.config(name, value)
     return builder

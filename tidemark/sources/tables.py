@@ -31,8 +31,10 @@ TABLE_SCHEMAS = {
 WIRE_TYPES = {"purchase": SALE, "view": STOCK, "click": STOCK}
 UNREADABLE_TS = "around noon"
 
-STREAM_SALTS = 16
-LINE_IDENTITY = ("l_orderkey", "l_partkey", "l_linenumber")
+#: Change offsets are order line times this plus part, so that they tell lines apart.
+OFFSET_PARTS = 1_000_000_000
+#: Lines with this number change products that the captured table does not have yet.
+UNLISTED_LINE = 7
 OPS = {"R": "d", "A": "u", "N": "c"}
 
 
@@ -40,18 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *identity: str) -> DataFrame:
-    """Give each core a share of a scan whose few files would leave most cores idle.
-
-    For input that is encoded or parsed row by row, where the work outweighs the exchange. Rows go by
-    the hash of columns that tell them apart, which needs no sort to be repeatable. A table with more
-    splits than half the cores, which is any large one, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() * 2 <= cores
-    return df.repartition(cores, *identity) if few else df
-
-
 def table_stream(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
     """A table as a stream. The path is a glob, so it may be one file or a folder of files."""
     return (
@@ -65,22 +55,16 @@ def _text(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate is below its broadcast limit."""
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimate <= limit
+def with_customer(events: DataFrame, customer: DataFrame, salts: int | None = None) -> DataFrame:
+    """Events with their customer.
 
-
-def with_customer(events: DataFrame, customer: DataFrame, salts: int = STREAM_SALTS) -> DataFrame:
-    """Events with their customer, safe for a customer who causes a third of them.
-
-    On a table the join is sized at run time and hot keys are split by the adaptive skew join. That
-    does not run in a stateful stream, so beyond the broadcast limit the events of a key are dealt
-    over ``salts`` copies of its customer there.
+    Spark sizes the join; on a table the adaptive skew join splits hot customers. That does not run
+    in a stateful stream: a caller whose stream has customers with very many events, and more
+    customers than a broadcast holds, gives a number of ``salts``, over which the events of a
+    customer are then dealt, to as many copies of the customer.
     """
     same = F.col("user_id") == F.col("c_custkey")
-    if not events.isStreaming or _fits_broadcast(customer):
+    if salts is None:
         return events.join(customer, same)
     salt = F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int")
     copies = customer.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -88,7 +72,7 @@ def with_customer(events: DataFrame, customer: DataFrame, salts: int = STREAM_SA
     return salted.drop("_salt", "_copy")
 
 
-def feed_events(events: DataFrame, customer: DataFrame) -> DataFrame:
+def feed_events(events: DataFrame, customer: DataFrame, salts: int | None = None) -> DataFrame:
     """Every row of ``events`` as an event of the wire model, in one pass.
 
     Purchases become sales, views and clicks stock moves; signups keep their unknown type; errors
@@ -99,7 +83,7 @@ def feed_events(events: DataFrame, customer: DataFrame) -> DataFrame:
     wire_type = F.create_map(*[F.lit(x) for pair in WIRE_TYPES.items() for x in pair])
     k = F.get_json_object("props", "$.k").cast("int")
     sale, stock = kind == "purchase", kind.isin("view", "click")
-    joined = with_customer(events, customer)
+    joined = with_customer(events, customer, salts)
     named = F.coalesce(F.element_at(wire_type, kind), kind)
     return joined.select(
         named.alias("event_type"),
@@ -116,12 +100,15 @@ def feed_events(events: DataFrame, customer: DataFrame) -> DataFrame:
         F.when(kind == "error", _text("error ", "event_id")).alias("broken"),
         F.col("event_id").alias("offset"),
         F.col("c_mktsegment").alias("segment"),
+        F.col("ts").alias("sent_at"),
     )
 
 
-def feed_records(events: DataFrame, customer: DataFrame, *extra: str) -> DataFrame:
+def feed_records(
+    events: DataFrame, customer: DataFrame, *extra: str, salts: int | None = None
+) -> DataFrame:
     """`feed_events` as topic records. ``extra`` columns are carried beside them."""
-    rows = feed_events(events, customer)
+    rows = feed_events(events, customer, salts)
     return rows.select(
         event_key().cast("binary").alias("key"),
         F.coalesce("broken", payload(list(EVENT_FIELDS))).cast("binary").alias("value"),
@@ -132,20 +119,21 @@ def feed_records(events: DataFrame, customer: DataFrame, *extra: str) -> DataFra
 
 def typed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`feed_events` of the driver's tables."""
-    events = spread(table(spark, sf_dir, "events"), "event_id")
-    return feed_events(events, table(spark, sf_dir, "customer"))
+    return feed_events(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"))
 
 
 def feed(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The event topic as a table."""
-    events = spread(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     return feed_records(events, table(spark, sf_dir, "customer"), *extra)
 
 
-def feed_stream(spark: SparkSession, sf_dir: str, *extra: str, **options) -> DataFrame:
+def feed_stream(
+    spark: SparkSession, sf_dir: str, *extra: str, salts: int | None = None, **options
+) -> DataFrame:
     """The event topic as a stream."""
     events = table_stream(spark, sf_dir, "events", **options)
-    return feed_records(events, table(spark, sf_dir, "customer"), *extra)
+    return feed_records(events, table(spark, sf_dir, "customer"), *extra, salts=salts)
 
 
 def bulk_sales(lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -181,8 +169,13 @@ def change_records(lineitem: DataFrame, *extra: str) -> DataFrame:
         op.alias("op"),
         kind.alias("kind"),
         wire_text("l_shipdate").alias("updated_at"),
-        _text("SKU", "l_partkey").alias("sku"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
+        F.concat(
+            F.when(F.col("l_linenumber") == UNLISTED_LINE, F.lit("NEW")).otherwise(F.lit("SKU")),
+            F.col("l_partkey").cast("string"),
+        ).alias("sku"),
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * OFFSET_PARTS + F.col("l_partkey")).alias(
+            "offset"
+        ),
         F.explode(F.coalesce(sends, F.array(F.lit(False)))).alias("tombstone"),
     )
 
@@ -221,12 +214,12 @@ def change_records(lineitem: DataFrame, *extra: str) -> DataFrame:
 
 def change_topic(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The change topic as a table."""
-    return change_records(spread(table(spark, sf_dir, "lineitem"), *LINE_IDENTITY), *extra)
+    return change_records(table(spark, sf_dir, "lineitem"), *extra)
 
 
 def product_state(part: DataFrame) -> DataFrame:
-    """The captured table before the changes: all parts but the economy range, not listed yet."""
-    return part.filter(F.col("p_type") != "ECONOMY").select(
+    """The captured table before the changes: all parts."""
+    return part.select(
         _text("SKU", "p_partkey").alias("sku"),
         F.col("p_brand").alias("category"),
         F.col("p_retailprice").alias("unit_price"),

@@ -1,4 +1,4 @@
-"""One stream, two tables: revenue parts of the on-time events, and the dead letters."""
+"""One stream, its tables: revenue parts of the on-time events, the dead letters, and their replay."""
 
 from __future__ import annotations
 
@@ -9,80 +9,150 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tidemark.functions.rows import first_per_key
 from tidemark.functions.times import earlier
 from tidemark.operators.decode import decode_with_raw
-from tidemark.operators.revenue import PART_FIELDS, merge_parts, revenue_parts, revenue_table
+from tidemark.operators.replay import replayable_events
+from tidemark.operators.revenue import (
+    PART_FIELDS,
+    merge_parts,
+    revenue_parts,
+    revenue_table,
+    sliding_parts,
+)
 from tidemark.operators.route import dead_letters, on_time, with_route
 from tidemark.schemas import DLQ_FIELDS, REASON_MALFORMED, REVENUE_FIELDS
-from tidemark.streaming.folders import BatchTable
-from tidemark.streaming.sinks import each_batch, read_batches, write_batch
+from tidemark.streaming.folders import BatchTable, CommitLog
+from tidemark.streaming.sinks import each_batch
+
+SEEN_FIELDS = {"event_id": "string", "event_time": "timestamp"}
 
 
 @dataclass(frozen=True)
 class RoutedTables:
-    """The output folders of a routed stream. Every table is written per batch id."""
+    """The output folders of a routed stream. A batch counts in all tables at once.
+
+    Sums of sales are all that is kept of on-time events; on-time stock moves are only counted as
+    routed. ``copies_within``: events whose id was seen in an event at most that much older than the
+    newest one are copies and are left out; malformed records are dead letters all the same.
+    """
 
     path: str
     window: str = "1 minute"
     delay: str = "2 minutes"
+    copies_within: str | None = None
+
+    @property
+    def commits(self) -> CommitLog:
+        return CommitLog(f"{self.path}/finished")
 
     @property
     def parts_table(self) -> BatchTable:
-        return BatchTable(f"{self.path}/revenue_parts", PART_FIELDS)
+        return BatchTable(f"{self.path}/revenue_parts", PART_FIELDS, self.commits)
 
     @property
-    def dlq_path(self) -> str:
-        return f"{self.path}/dead_letters"
+    def dlq_table(self) -> BatchTable:
+        return BatchTable(f"{self.path}/dead_letters", DLQ_FIELDS, self.commits)
 
     @property
-    def high_path(self) -> str:
-        return f"{self.path}/high_water"
-
-    def _high_before(self, spark: SparkSession, batch_id: int):
-        """Greatest event time before a batch: one row that the previous batch has written."""
-        if batch_id == 0:
-            return None
-        previous = f"{self.high_path}/batch_id={batch_id - 1}"
-        row = spark.read.schema("high TIMESTAMP").parquet(previous).select(
-            F.unix_micros("high").alias("micros")
-        ).first()
-        return row.micros
+    def seen_table(self) -> BatchTable:
+        return BatchTable(f"{self.path}/seen_ids", SEEN_FIELDS, self.commits)
+
+    @property
+    def replayed_table(self) -> BatchTable:
+        """Parts of late events that were brought back, by the newest batch they came from."""
+        return BatchTable(
+            f"{self.path}/replayed_parts", PART_FIELDS, CommitLog(f"{self.path}/replays")
+        )
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
-        """Route one micro-batch. All three writes depend only on the batch and the one before, and
-        replace their folder, so a replay after a crash gives the same tables."""
-        micros = self._high_before(records.sparkSession, batch_id)
+        """Route one micro-batch. All writes depend only on the batch and those before it, and
+        replace their folder, so a replay after a crash gives the same tables. The mark with the
+        greatest event time is written last and makes the batch count."""
+        spark = records.sparkSession
+        self.commits.begin(spark, batch_id)
+        self.replayed_table.commits.prepare(spark)
+        micros = self.commits.high(spark, batch_id - 1)
         before = F.timestamp_micros(F.lit(micros).cast("bigint"))
         cutoff = None if micros is None else earlier(before, self.delay)
-        decoded = decode_with_raw(records, REVENUE_FIELDS)
-        routed = with_route(decoded, cutoff).persist(StorageLevel.MEMORY_AND_DISK)
+        routed = with_route(decode_with_raw(records, REVENUE_FIELDS), cutoff)
+        if self.copies_within is not None:
+            routed = self._without_copies(routed, batch_id, micros)
+        routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            seen = F.max(F.when(F.col("route") != REASON_MALFORMED, F.col("event_time")))
-            write_batch(
-                routed.agg(F.greatest(seen, before).alias("high")), self.high_path, batch_id
-            )
-            write_batch(dead_letters(routed), self.dlq_path, batch_id)
+            valid = F.col("route") != REASON_MALFORMED
+            self.dlq_table.write(dead_letters(routed), batch_id)
             self.parts_table.write(revenue_parts(on_time(routed), self.window), batch_id)
+            if self.copies_within is not None:
+                self.seen_table.write(routed.filter(valid), batch_id)
+            seen = F.max(F.when(valid, F.col("event_time")))
+            high = routed.agg(F.greatest(seen, before).alias("high"))
+            self.commits.finish(spark, batch_id, high)
         finally:
             routed.unpersist()
 
+    def _without_copies(self, routed: DataFrame, batch_id: int, micros: int | None) -> DataFrame:
+        """Malformed records, and the first copy of every id not seen in an earlier batch."""
+        spark = routed.sparkSession
+        malformed = F.col("route") == REASON_MALFORMED
+        fresh = first_per_key(routed.filter(~malformed), ["event_id"], ["event_time"])
+        if batch_id > 0 and micros is not None:
+            horizon = earlier(F.timestamp_micros(F.lit(micros).cast("bigint")), self.copies_within)
+            known = self.seen_table.read(spark, batch_id - 1).filter(F.col("event_time") >= horizon)
+            fresh = fresh.join(known.select("event_id"), "event_id", "left_anti")
+        return fresh.select(*routed.columns).unionByName(routed.filter(malformed))
+
     def writer(self, records: DataFrame, checkpoint: str) -> DataStreamWriter:
         return each_batch(records, self.apply, checkpoint)
 
     def parts(self, spark: SparkSession) -> DataFrame:
-        """Revenue parts of all batches, one row per window and category."""
-        return merge_parts(self.parts_table.read(spark))
-
-    def fold(self, spark: SparkSession, upto: int) -> None:
-        """Let merged parts stand for all batches up to a finished one."""
-        batch_id = F.lit(upto).cast("bigint").alias("batch_id")
-        self.parts_table.fold(
-            spark, upto, lambda rows: merge_parts(rows).select(*PART_FIELDS, batch_id)
-        )
+        """Revenue parts of all batches and replays, one row per window and category."""
+        both = self.parts_table.read(spark).unionByName(self.replayed_table.read(spark))
+        return merge_parts(both)
 
     def revenue(self, spark: SparkSession) -> DataFrame:
         return revenue_table(self.parts(spark))
 
+    def sliding(self, spark: SparkSession, window: str, slide: str) -> DataFrame:
+        """Sliding revenue from the stored parts; both lengths must be multiples of ``window``."""
+        return revenue_table(sliding_parts(self.parts(spark), window, slide))
+
     def dlq(self, spark: SparkSession) -> DataFrame:
         """Dead letters of all batches, with their ``batch_id``."""
-        return read_batches(spark, self.dlq_path, DLQ_FIELDS)
+        return self.dlq_table.read(spark)
+
+    def replay(self, spark: SparkSession) -> int:
+        """Bring the late events of the dead letters back into the revenue; the newest batch covered.
+
+        What is added goes by that batch's id, and only dead letters after the last replay are read,
+        so running it again, or again after a crash, adds nothing twice.
+        """
+        table = self.replayed_table
+        done, newest = table.commits.newest(spark), self.commits.newest(spark)
+        if newest > done:
+            late = self.dlq_table.read(spark, newest).filter(F.col("batch_id") > done)
+            table.commits.begin(spark, newest)
+            table.write(revenue_parts(replayable_events(late), self.window), newest)
+            table.commits.finish(spark, newest)
+        return newest
+
+    def fold(self, spark: SparkSession, upto: int) -> None:
+        """Let one base per table stand for all batches up to a finished one.
+
+        Parts are merged. Dead letters are only put together, under the batches they came from. Of the
+        ids seen, those beyond the horizon are forgotten.
+        """
+        batch_id = F.lit(upto).cast("bigint").alias("batch_id")
+        self.parts_table.fold(
+            spark, upto, lambda rows: merge_parts(rows).select(*PART_FIELDS, batch_id)
+        )
+        self.dlq_table.fold(spark, upto, lambda rows: rows)
+        if self.copies_within is not None:
+            self.seen_table.fold(spark, upto, lambda rows: self._still_watched(rows, upto))
+
+    def _still_watched(self, seen: DataFrame, upto: int) -> DataFrame:
+        micros = self.commits.high(seen.sparkSession, upto)
+        if micros is None:
+            return seen
+        horizon = earlier(F.timestamp_micros(F.lit(micros).cast("bigint")), self.copies_within)
+        return seen.filter(F.col("event_time") >= horizon)

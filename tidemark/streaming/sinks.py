@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tidemark.functions.rows import last_per_key
 from tidemark.schemas import ddl
 
 BatchFunction = Callable[[DataFrame, int], None]
@@ -20,18 +19,39 @@ def console_writer(df: DataFrame, mode: str = "append") -> DataStreamWriter:
     return df.writeStream.format("console").outputMode(mode).option("truncate", "false")
 
 
-def configure_table_writer(
-    writer, checkpoint: str, mode: str = "append", fmt: str = "iceberg"
-):
-    """Format, mode and checkpoint of a table sink; nothing starts yet."""
-    return writer.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint)
+@dataclass(frozen=True)
+class StreamFolder:
+    """A folder that holds a stream's table and its checkpoint side by side.
 
+    The two belong together: one without the other would lose or repeat rows.
+    """
 
-def write_stream_to_table(
-    df: DataFrame, table: str, checkpoint: str, mode: str = "append", fmt: str = "iceberg"
-) -> StreamingQuery:
-    """Start writing a stream into a table."""
-    return configure_table_writer(df.writeStream, checkpoint, mode, fmt).toTable(table)
+    path: str
+    fmt: str = "parquet"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.path}/checkpoint"
+
+    @property
+    def files(self) -> str:
+        return f"{self.path}/table"
+
+    def appended(self, df: DataFrame) -> DataStreamWriter:
+        """Append finished rows as files."""
+        sink = df.writeStream.format(self.fmt).option("checkpointLocation", self.checkpoint)
+        return sink.option("path", self.files)
+
+    def into(self, df: DataFrame, table: str) -> StreamingQuery:
+        """Start appending to a table of a catalog, for example a lakehouse table."""
+        sink = df.writeStream.format(self.fmt).option("checkpointLocation", self.checkpoint)
+        return sink.toTable(table)
+
+    def each_batch(self, df: DataFrame, apply: BatchFunction, mode: str = "append") -> DataStreamWriter:
+        return each_batch(df, apply, self.checkpoint, mode)
+
+    def read(self, spark: SparkSession, schema) -> DataFrame:
+        return spark.read.schema(schema).format(self.fmt).load(self.files)
 
 
 def drain(writer: DataStreamWriter) -> StreamingQuery:
@@ -60,19 +80,3 @@ def each_batch(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(apply)
     )
-
-
-def version_writer(df: DataFrame, path: str, checkpoint: str, mode: str) -> DataStreamWriter:
-    """Write an aggregate in ``update`` or ``complete`` mode as versions of its rows."""
-    return each_batch(df, lambda rows, n: write_batch(rows, path, n), checkpoint, mode)
-
-
-def current_versions(versions: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest version of every row, for ``update`` mode."""
-    return last_per_key(versions, keys, ["batch_id"]).drop("batch_id")
-
-
-def last_snapshot(versions: DataFrame) -> DataFrame:
-    """The rows of the newest micro-batch, for ``complete`` mode."""
-    newest = versions.agg(F.max("batch_id").alias("_newest"))
-    return versions.join(newest, F.col("batch_id") == F.col("_newest")).drop("batch_id", "_newest")

@@ -25,8 +25,8 @@ from tidemark.operators.changes import (
 from tidemark.operators.decode import decode_changes
 from tidemark.operators.state import last_changes, live_rows, merge_into_table
 from tidemark.schemas import CHANGE_FIELDS, DLQ_FIELDS, OP_DELETE, ROW_FIELDS
-from tidemark.streaming.folders import BatchTable
-from tidemark.streaming.sinks import each_batch, read_batches, write_batch
+from tidemark.streaming.folders import BatchTable, CommitLog
+from tidemark.streaming.sinks import each_batch
 
 LOG_FIELDS = {**ROW_FIELDS, "op": "string", "ts_ms": "bigint", "offset": "bigint"}
 
@@ -49,21 +49,27 @@ class ChangeLog:
     path: str
     guard_stale: bool = False
 
+    @property
+    def commits(self) -> CommitLog:
+        return CommitLog(f"{self.path}/finished")
+
     @property
     def log(self) -> BatchTable:
-        return BatchTable(f"{self.path}/log", LOG_FIELDS)
+        return BatchTable(f"{self.path}/log", LOG_FIELDS, self.commits)
 
     @property
-    def dlq_path(self) -> str:
-        return f"{self.path}/dead_letters"
+    def dlq_table(self) -> BatchTable:
+        return BatchTable(f"{self.path}/dead_letters", DLQ_FIELDS, self.commits)
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
-        """Add one micro-batch of topic records; rejects go to the dead letters."""
+        """Add one micro-batch of topic records; rejects go to the dead letters. Both count at once."""
+        self.commits.begin(records.sparkSession, batch_id)
         with _changes_and_rejects(records) as (changes, rejects):
             if "offset" not in changes.columns:
                 changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
             self.log.write(latest_change_per_key(changes), batch_id)
-            write_batch(rejects, self.dlq_path, batch_id)
+            self.dlq_table.write(rejects, batch_id)
+        self.commits.finish(records.sparkSession, batch_id)
 
     def writer(self, records: DataFrame, checkpoint: str) -> DataStreamWriter:
         return each_batch(records, self.apply, checkpoint)
@@ -83,22 +89,27 @@ class ChangeLog:
             return decided if self.guard_stale else decided.filter(F.col("op") != OP_DELETE)
 
         self.log.fold(spark, upto, last)
+        self.dlq_table.fold(spark, upto, lambda rows: rows)
 
     def dlq(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.dlq_path, DLQ_FIELDS)
+        return self.dlq_table.read(spark)
 
 
 def merge_writer(
-    records: DataFrame, target: str, checkpoint: str, dlq_path: str
+    records: DataFrame, target: str, checkpoint: str, path: str
 ) -> DataStreamWriter:
     """Merge a change stream into a table of a catalog with row-level operations.
 
-    Merging a compacted batch twice gives the same table, so a replay is harmless.
+    Merging a compacted batch twice gives the same table, so a replay is harmless. Rejects go to the
+    dead letters of a `ChangeLog` below ``path``.
     """
+    kept = ChangeLog(path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        kept.commits.begin(batch.sparkSession, batch_id)
         with _changes_and_rejects(batch) as (changes, rejects):
             merge_into_table(changes, target)
-            write_batch(rejects, dlq_path, batch_id)
+            kept.dlq_table.write(rejects, batch_id)
+        kept.commits.finish(batch.sparkSession, batch_id)
 
     return each_batch(records, apply, checkpoint)
