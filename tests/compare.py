@@ -11,7 +11,10 @@ from pathlib import Path
 
 import duckdb
 
-TABLES = "events customer orders lineitem part".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
