@@ -1,7 +1,11 @@
-"""The registered text queries: each applies one operator to a whole table."""
+"""The registered text queries: each applies one operator to a whole table.
+
+Those without a SQL twin need a tokeniser or something learned; tests/llm holds them against brute force.
+"""
 
 from __future__ import annotations
 
+from tidemark.llm import sql
 from tidemark.llm.common import benchmark, documents, labels
 from tidemark.llm.decontamination import benchmark_matches
 from tidemark.llm.fertility import quality_rules
@@ -68,4 +72,9 @@ QUERIES = {
     "op10_quality_ranking": op10_quality_ranking,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op4_relative_lempel_ziv": sql.LEMPEL_ZIV,
+    "op5_line_dedup": sql.LINE_DEDUP,
+    "op7_benchmark_decontamination": sql.DECONTAMINATION,
+    "op8_jaccard_join": sql.JACCARD_JOIN,
+}
