@@ -110,5 +110,16 @@ def test_the_order_does_not_change_what_must_be_shared():
         common = np.unique(rng.integers(0, 60, 20).astype(np.uint64))
         inter = len(np.intersect1d(x, y))
         if 100 * inter >= 75 * (len(x) + len(y) - inter):
-            a, b = (jaccard_join.indexed_part(s, common) for s in (x, y))
+            a, b = (jaccard_join.in_order(s, common)[0][: jaccard_join.first_part(len(s))] for s in (x, y))
             assert len(np.intersect1d(a, b))
+
+
+def test_sketches_differ_in_at_most_as_many_bits_as_sets():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+        x, y = np.unique(pool[: rng.integers(1, 300)]), np.unique(pool[rng.integers(0, 299) :])
+        bits = jaccard_join.differing_bits(jaccard_join.sketch(x), jaccard_join.sketch(y))
+        assert bits <= len(np.setxor1d(x, y))
+        few = [jaccard_join.folded(jaccard_join.sketch(s), 32) for s in (x, y)]
+        assert jaccard_join.differing_bits(*few) <= bits

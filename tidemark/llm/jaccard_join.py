@@ -6,13 +6,16 @@ last, otherwise by hash. Two sets that are similar enough share a shingle within
 
 **Answers from similar sets.** Equal sets are one. Then every set is compared with one set only, the
 one that leads most of the index lists it is on, first inside its own batch, which also shortens
-each list to one entry per batch before the shuffle, then across batches. Sets found similar answer
-alike: they form a group, and no pair inside a group is looked at again.
+each list to one entry per batch before the shuffle, then across batches. The set with the greatest
+share of frequent shingles leads, as the text that others are copies of is such a one. Sets found similar
+answer alike: they form a group, and no pair inside a group is looked at again.
 
 **Skipping in the lists.** What is left are pairs of different groups that meet on a list. Lists with
 one group are skipped whole; the others are cut into blocks by set size, and a block meets only the
-blocks whose sizes allow the similarity. Pairs must then share enough of their indexed shingles that
-the bound on the whole overlap can be reached; only those are compared, exactly.
+blocks whose sizes allow the similarity. A pair counts on a list only if the shingle stands early enough
+in both for the rest to make up the overlap. Every set has a sketch of about two parity bits a shingle: two sets
+differ in at least as many shingles as their sketches differ in bits, so pairs whose sketches are too
+far apart are skipped as well. The others are compared exactly.
 
 No link between different texts is lost, and no list is expanded into all its pairs inside a group.
 """
@@ -22,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,18 +48,47 @@ from tidemark.llm.common import (
 from tidemark.llm.components import components
 
 PERCENT = 75
-SIZE_STEP = 4 / 3
+FEWEST_BITS = 256
 MEMORY_SETS = 2_000
+FOLDED_COLUMNS = [f"q{i}" for i in range(FEWEST_BITS // 64)]
+SETS = (
+    "doc_id bigint, n_shingles bigint, sum_a bigint, sum_b bigint, rank int, indexed array<bigint>, "
+    "sketch binary, " + ", ".join(f"{c} bigint" for c in FOLDED_COLUMNS)
+)
+
 
-SETS = "doc_id bigint, n_shingles bigint, sum_a bigint, sum_b bigint, indexed array<bigint>"
+def first_part(n, percent: int = PERCENT):
+    """How many shingles of a set of n must contain one of every similar set's."""
+    return n - (-(-percent * n // 100)) + 1
 
 
-def indexed_part(shingles: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The shingles of a set that must contain one of every similar set's."""
-    n = len(shingles)
-    length = n - (-(-percent * n // 100)) + 1 if n else 0
+def in_order(shingles: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, int]:
+    """The shingles in the order of the index, frequent ones last; how many are frequent."""
     is_common = is_in(shingles, common)
-    return np.concatenate([shingles[~is_common], shingles[is_common]])[:length]
+    ordered = np.concatenate([shingles[~is_common], shingles[is_common]])
+    return ordered, int(is_common.sum())
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """For each of about two buckets a shingle whether an odd number of shingles falls into it; bytes.
+
+    The number of buckets is a power of two, so a larger sketch folds into a smaller one.
+    """
+    bits = max(FEWEST_BITS, 1 << max(0, 2 * len(shingles) - 1).bit_length())
+    place = (shingles >> np.uint64(20)).astype(np.int64) & (bits - 1)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8))
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """A sketch with fewer buckets, ``size`` bytes: the exclusive or of its parts."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
+
+
+def differing_bits(one: np.ndarray, other: np.ndarray) -> int:
+    """In how many buckets two sketches differ, the larger one folded."""
+    size = min(len(one), len(other))
+    differ = folded(one, size) ^ folded(other, size)
+    return int(np.bitwise_count(differ).sum())
 
 
 def document_sets(
@@ -69,66 +102,89 @@ def document_sets(
     common = common_hashes(read, lambda text: shingle_set(lowered(text)), sampled, least)
 
     def rows(batch) -> Iterator[dict]:
-        sizes, sums, part = [], [], []
+        sizes, sums, ranks, part, sketches = [], [], [], [], []
         for text in texts(batch):
             s = shingle_set(lowered(text))
-            sizes.append(len(s))
+            n = len(s)
+            ordered, frequent = in_order(s, common)
+            sizes.append(n)
             sums.append((s.sum(dtype=np.uint64), mixed(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)))
-            part.append(signed(indexed_part(s, common, percent)))
+            ranks.append(1000 - 1000 * frequent // max(1, n))
+            part.append(signed(ordered[: first_part(n, percent)] if n else ordered))
+            sketches.append(sketch(s))
+        few = [folded(bits, FEWEST_BITS // 8).view(np.int64) for bits in sketches]
+        words = np.array(few, np.int64).reshape(-1, len(FOLDED_COLUMNS))
         both = np.array(sums, np.uint64).reshape(-1, 2)
         yield {
             "doc_id": ids(batch),
             "n_shingles": sizes,
             "sum_a": signed(both[:, 0].copy()),
             "sum_b": signed(both[:, 1].copy()),
+            "rank": ranks,
             "indexed": part,
+            "sketch": [bits.tobytes() for bits in sketches],
+            **{c: words[:, i] for i, c in enumerate(FOLDED_COLUMNS)},
         }
 
     return map_texts(read, SETS, rows)
 
 
-def _leaders(hashes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Postings sorted by hash then owner; for each the list's first owner and the list's length."""
-    order = np.lexsort((owners, hashes))
-    h, d = hashes[order], owners[order]
-    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
-    lengths = np.diff(np.r_[first, len(h)])
-    return order, np.repeat(first, lengths), np.repeat(lengths, lengths)
-
-
-STAR = "kind int, h bigint, doc bigint, n bigint, leader bigint"
+# An index entry: the shingle, the document, and rank, size and place in one number, in that order.
+ENTRY = ("h", "doc", "about")
+STAR = "kind int, h bigint, doc bigint, about bigint, leader bigint"
 POSTING, MEMBER, STAR_PAIR = 0, 1, 2
+FIELD = 24
+SIZE_OF = f"(about >> {FIELD}) & {(1 << FIELD) - 1}"
+PLACE_OF = f"about & {(1 << FIELD) - 1}"
 
 
-def batch_lists(sets: DataFrame) -> DataFrame:
+def batch_lists(sets: DataFrame, postings: bool) -> DataFrame:
     """Index lists inside each batch.
 
-    ``POSTING``: the first document of each list, one row per list and batch. ``MEMBER``: all
-    documents of lists that have more than one here. ``STAR_PAIR``: per document the leader of most
-    of its lists.
+    With ``postings``, ``POSTING`` rows: the leader of each list, one row per list and batch. Without,
+    ``MEMBER`` rows: all documents of lists that have more than one here; and ``STAR_PAIR`` rows: per
+    document the leader of most of its lists. ``place`` is the shingle's place in the document's order.
     """
 
     def rows(batch) -> Iterator[dict]:
         parts = batch.column("indexed")
-        h = parts.flatten().to_numpy()
         sizes = parts.value_lengths().to_numpy()
-        owner = np.repeat(batch.column("doc_id").to_numpy(), sizes)
-        size = np.repeat(batch.column("n_shingles").to_numpy(), sizes)
-        order, first, length = _leaders(h, owner)
-        h, owner, size = h[order], owner[order], size[order]
-        leader = owner[first] if len(h) else owner
-        is_first = first == np.arange(len(h))
-        several = length > 1
-        a, b = best_leader(owner[several], leader[several])
-        zeros = np.zeros(len(a), np.int64)
+        place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        about = (batch.column("rank").to_numpy().astype(np.int64) << FIELD) + batch.column(
+            "n_shingles"
+        ).to_numpy()
+        entry = {
+            "h": parts.flatten().to_numpy(),
+            "doc": np.repeat(batch.column("doc_id").to_numpy(), sizes),
+            "about": (np.repeat(about, sizes) << FIELD) + place,
+        }
+        order = np.lexsort((entry["doc"], entry["about"] >> (2 * FIELD), entry["h"]))
+        entry = {c: values[order] for c, values in entry.items()}
+        h, doc = entry["h"], entry["doc"]
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
+        lengths = np.diff(np.r_[first, len(h)])
+        if postings:
+            yield {
+                "kind": np.full(len(first), POSTING),
+                "leader": pa.nulls(len(first), pa.int64()),
+                **{c: values[first] for c, values in entry.items()},
+            }
+            return
+        leader = np.repeat(doc[first], lengths)
+        several = np.repeat(lengths, lengths) > 1
+        a, b = best_leader(doc[several], leader[several])
         yield {
-            "kind": np.r_[
-                np.full(is_first.sum(), POSTING), np.full(several.sum(), MEMBER), np.full(len(a), STAR_PAIR)
-            ],
-            "h": np.r_[h[is_first], h[several], zeros],
-            "doc": np.r_[owner[is_first], owner[several], a],
-            "n": np.r_[size[is_first], size[several], zeros],
-            "leader": np.r_[owner[is_first], owner[several], b],
+            "kind": np.full(several.sum(), MEMBER),
+            "leader": pa.nulls(int(several.sum()), pa.int64()),
+            **{c: values[several] for c, values in entry.items()},
+        }
+        nothing = np.zeros(len(a), np.int64)
+        yield {
+            "kind": np.full(len(a), STAR_PAIR),
+            "doc": a,
+            "leader": b,
+            "h": nothing,
+            "about": nothing,
         }
 
     return map_texts(sets, STAR, rows)
@@ -153,40 +209,37 @@ def shared_lists(postings: DataFrame) -> DataFrame:
     Rows come sorted, so a list of any length passes through in batches; after `batch_lists` it has at
     most one row per batch of documents.
     """
-    arrow = "h bigint, doc bigint, n bigint, leader bigint"
+    schema = "h bigint, doc bigint, about bigint, leader bigint"
 
     def run(batches):
-        import pyarrow as pa
-
         held = None  # the last row of the batch before, whose list may go on
-        names = ("h", "doc", "n")
         for batch in batches:
-            h, doc, n = (batch.column(c).to_numpy() for c in names)
+            columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ENTRY}
+            h, doc = columns["h"], columns["doc"]
             if not len(h):
                 continue
             start = np.r_[True, h[1:] != h[:-1]]
             leader = doc[np.maximum.accumulate(np.where(start, np.arange(len(h)), 0))]
-            goes_on = np.r_[h[1:] == h[:-1], False]
-            keep = ~start | goes_on
-            before = []
-            if held is not None:
-                if held["h"] == h[0]:
-                    same = np.cumsum(start) == 1
-                    leader[same] = held["leader"]
-                    keep |= same
-                    if not held["sent"]:
-                        before = [held]
-            last = {"h": h[-1], "doc": doc[-1], "n": n[-1], "leader": leader[-1], "sent": bool(keep[-1])}
-            held = last
-            columns = {"h": h, "doc": doc, "n": n, "leader": leader}
-            yield pa.RecordBatch.from_pydict(
-                {
-                    c: np.concatenate([np.array([r[c] for r in before], np.int64), values[keep]])
-                    for c, values in columns.items()
-                }
-            )
-
-    return postings.repartition("h").sortWithinPartitions("h", "doc").mapInArrow(run, arrow)
+            keep = ~start | np.r_[h[1:] == h[:-1], False]
+            before = None
+            if held is not None and held["h"] == h[0]:
+                same = np.cumsum(start) == 1
+                leader[same] = held["leader"]
+                keep |= same
+                before = None if held["sent"] else held
+            columns["leader"] = leader
+            held = {c: values[-1] for c, values in columns.items()} | {"sent": bool(keep[-1])}
+            arrays = []
+            for c, values in columns.items():
+                chosen = values[keep]
+                if before is not None:
+                    chosen = np.concatenate([np.array([before[c]], values.dtype), chosen])
+                arrays.append(pa.array(chosen))
+            yield pa.RecordBatch.from_arrays(arrays, names=list(columns))
+
+    rank = F.expr(f"about >> {2 * FIELD}")
+    dealt = postings.select(*ENTRY).repartition("h").sortWithinPartitions("h", rank, "doc")
+    return dealt.mapInArrow(run, schema)
 
 
 def links(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -220,44 +273,93 @@ def links(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFram
     return map_texts(both, "a bigint, b bigint", rows)
 
 
-def left_pairs(members: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
+def left_pairs(
+    members: DataFrame, groups: DataFrame, sketches: DataFrame, percent: int = PERCENT
+) -> DataFrame:
     """Pairs of different groups that meet on lists and can still be similar enough.
 
-    ``members``: h, doc, n. A list with one group is skipped; in the others a block of sizes meets
-    itself and the next one.
+    ``members``: h, doc, about. A list with one group is skipped; in the others sets meet in the blocks
+    of sizes that can be similar. A pair of n and m shingles must share at least
+    ``0.75 / 1.75 (n + m)``, so it meets where both have the shingle that far from their end, and its
+    sketches, folded to a few words, differ in at most as many bits as the sets may.
     """
-    grouped = members.join(groups, members["doc"] == groups["node"], "left").select(
-        "h", "doc", "n", F.coalesce("component", "doc").alias("group")
+    grouped = beside(members, groups, members["doc"] == groups["node"], "left").select(
+        "h",
+        "doc",
+        F.expr(SIZE_OF).alias("n"),
+        F.expr(PLACE_OF).alias("place"),
+        F.coalesce("component", "doc").alias("group"),
     )
-    grouped = stored(grouped.distinct(), "list-members")
+    grouped = stored(grouped, "list-members")
     mixed_lists = (
         grouped.groupBy("h")
         .agg(F.min("group").alias("least"), F.max("group").alias("greatest"))
         .filter("least <> greatest")
         .select("h")
     )
-    block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(SIZE_STEP))).cast("int")
-    live = grouped.join(mixed_lists, "h", "left_semi").withColumn("block", block)
-    x = live.select("h", "block", *[F.col(c).alias(f"{c}_x") for c in ("doc", "n", "group")])
+    few = stored(
+        sketches.select("doc", "n", *FOLDED_COLUMNS).distinct(), "folded-sketches"
+    )
+    live = beside(grouped.join(mixed_lists, "h", "left_semi"), few, ["doc", "n"])
+    columns = ["doc", "n", "place", "group", *FOLDED_COLUMNS]
+    least_of_smaller = F.expr(f"({2 * percent} * n + {99 + percent}) div {100 + percent}")
+    x = live.filter(F.col("place") <= F.col("n") - least_of_smaller).select(
+        "h", _block(F.col("n")).alias("block"), *[F.col(c).alias(f"{c}_x") for c in columns]
+    )
+    smallest = F.expr(f"({percent} * n + 99) div 100")
     y = live.select(
         "h",
-        F.explode(F.array("block", F.col("block") - 1)).alias("block"),
-        *[F.col(c).alias(f"{c}_y") for c in ("doc", "n", "group")],
+        F.explode(F.array_distinct(F.array(_block(F.col("n")), _block(smallest)))).alias("block"),
+        *[F.col(c).alias(f"{c}_y") for c in columns],
     )
-    larger, smaller = F.greatest("n_x", "n_y"), F.least("n_x", "n_y")
-    in_order = (F.col("n_x") < F.col("n_y")) | (
+    smaller_first = (F.col("n_x") < F.col("n_y")) | (
         (F.col("n_x") == F.col("n_y")) & (F.col("doc_x") < F.col("doc_y"))
     )
+    least_shared = F.expr(f"({percent} * (n_x + n_y) + {99 + percent}) div {100 + percent}")
+    differ = F.lit(0)
+    for c in FOLDED_COLUMNS:
+        differ = differ + F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y")))
     met = (
-        x.join(y, ["h", "block"])
-        .filter(in_order & (F.col("group_x") != F.col("group_y")))
-        .filter(100 * smaller >= percent * larger)
-        .groupBy("doc_x", "n_x", "doc_y", "n_y")
-        .agg(F.count("*").alias("met"))
+        (x["h"] == y["h"])
+        & (x["block"] == y["block"])
+        & smaller_first
+        & (F.col("group_x") != F.col("group_y"))
+        & (100 * F.col("n_x") >= percent * F.col("n_y"))
+        & (F.col("place_x") <= F.col("n_x") - least_shared)
+        & (F.col("place_y") <= F.col("n_y") - least_shared)
+        & ((100 + percent) * differ <= (100 - percent) * (F.col("n_x") + F.col("n_y")))
     )
-    rest = F.greatest(F.expr(f"({percent} * n_x + 99) div 100 - 1"), F.expr(f"({percent} * n_y + 99) div 100 - 1"))
-    enough = (F.col("met") + rest) * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y"))
-    return met.filter(enough).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))
+    return x.join(y, met).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b")).distinct()
+
+
+def _block(n: F.Column) -> F.Column:
+    """Sizes by powers of four. A set and the smallest it can be similar to lie in one or two blocks."""
+    return F.floor(F.log2(n.cast("double")) / 2).cast("int")
+
+
+def near_by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs ``a``, ``b`` but those whose sketches differ in more bits than similar sets can.
+
+    ``sketches``: doc, n and sketch; rows of one document that differ each have their own.
+    """
+    for side in ("a", "b"):
+        own = sketches.select(
+            F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")
+        )
+        pairs = pairs.join(own, side)
+
+    def rows(batch) -> Iterator[dict]:
+        sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        sides = (batch.column(f"sketch_{side}").to_pylist() for side in "ab")
+        differ = [
+            differing_bits(np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8))
+            for one, other in zip(*sides, strict=True)
+        ]
+        near = (100 + percent) * np.array(differ, np.int64) <= (100 - percent) * sizes
+        at = np.flatnonzero(near)
+        yield {"a": batch.column("a").take(at), "b": batch.column("b").take(at)}
+
+    return map_texts(pairs, "a bigint, b bigint", rows).distinct()
 
 
 def similar_groups(
@@ -279,8 +381,9 @@ def similar_groups(
     alone = beside(
         named, firsts.select(F.col("first").alias("doc_id"), *same), ["doc_id", *same], "left_semi"
     )
-    lists = stored(batch_lists(alone), "batch-lists")
-    shared = stored(shared_lists(lists.filter(F.col("kind") == POSTING).select("h", "doc", "n")), "lists")
+    # postings go straight into their exchange and are not stored: they are the bulk of the index
+    shared = stored(shared_lists(batch_lists(alone, postings=True)), "lists")
+    lists = stored(batch_lists(alone, postings=False), "batch-lists")
     across = (
         shared.filter("doc <> leader")
         .groupBy("doc", "leader")
@@ -292,12 +395,22 @@ def similar_groups(
     inside = lists.filter(F.col("kind") == STAR_PAIR).select(
         F.col("doc").alias("a"), F.col("leader").alias("b")
     )
-    stars = stored(links(stored(inside.union(across).distinct(), "star-pairs"), docs, percent), "stars")
-    members = lists.filter(F.col("kind") == MEMBER).select("h", "doc", "n").union(
-        shared.select("h", "doc", "n")
+    sketches = stored(
+        named.select(
+            F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", *FOLDED_COLUMNS
+        ).distinct(),
+        "sketches",
     )
-    left = left_pairs(members, components(stars, "star-groups"), percent)
-    rest = stored(links(stored(left, "left-pairs"), docs, percent), "rest")
+
+    def compared(pairs: DataFrame, label: str) -> DataFrame:
+        near = near_by_sketch(stored(pairs, label), sketches, percent)
+        return links(stored(near, f"{label}-near"), docs, percent)
+
+    stars = stored(compared(inside.union(across).distinct(), "star-pairs"), "stars")
+    members = lists.filter(F.col("kind") == MEMBER).select(*ENTRY).union(shared.select(*ENTRY))
+    groups = stored(components(stars, "star-components"), "star-groups")
+    left = left_pairs(members, groups, sketches, percent)
+    rest = stored(compared(left, "left-pairs"), "rest")
     # rows of one doc_id are one node, whichever set they have
     several = rows.filter("n_shingles > 0").join(firsts, same)
     copies = several.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).filter("a <> b")
