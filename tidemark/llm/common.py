@@ -19,6 +19,7 @@ from tidemark.streaming.scratch import scratch_dir
 
 SHINGLE = 5
 BROADCAST_ROWS = 500_000
+ROWS_AT_ONCE = 1_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -167,13 +168,23 @@ Rows = dict[str, np.ndarray | list]
 
 
 def map_texts(
-    df: DataFrame, schema: str, per_batch: Callable[[pa.RecordBatch], Iterator[Rows]]
+    df: DataFrame,
+    schema: str,
+    per_batch: Callable[[pa.RecordBatch], Iterator[Rows]],
+    rows_at_once: int = ROWS_AT_ONCE,
 ) -> DataFrame:
-    """Run ``per_batch`` over Arrow batches inside the tasks; it yields columns of ``schema``."""
+    """Run ``per_batch`` over Arrow batches inside the tasks; it yields columns of ``schema``.
+
+    A batch is handed over in parts of ``rows_at_once``, which bounds what a task holds in Python.
+    """
     arrow_schema = None
 
+    def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for at in range(0, max(1, batch.num_rows), rows_at_once):
+            yield batch.slice(at, rows_at_once)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in parts(batch)):
             for columns in per_batch(batch):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], f.type) for f in arrow_schema], schema=arrow_schema

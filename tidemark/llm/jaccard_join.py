@@ -49,7 +49,7 @@ from tidemark.llm.components import components
 
 PERCENT = 75
 FEWEST_BITS = 256
-MEMORY_SETS = 2_000
+MEMORY_SETS, PAIRS_AT_ONCE, SETS_AT_ONCE = 500, 250, 4_000
 FOLDED_COLUMNS = [f"q{i}" for i in range(FEWEST_BITS // 64)]
 SETS = (
     "doc_id bigint, n_shingles bigint, sum_a bigint, sum_b bigint, rank int, indexed array<bigint>, "
@@ -138,12 +138,11 @@ SIZE_OF = f"(about >> {FIELD}) & {(1 << FIELD) - 1}"
 PLACE_OF = f"about & {(1 << FIELD) - 1}"
 
 
-def batch_lists(sets: DataFrame, postings: bool) -> DataFrame:
-    """Index lists inside each batch.
+def batch_lists(sets: DataFrame) -> DataFrame:
+    """Index lists inside each batch of documents.
 
-    With ``postings``, ``POSTING`` rows: the leader of each list, one row per list and batch. Without,
-    ``MEMBER`` rows: all documents of lists that have more than one here; and ``STAR_PAIR`` rows: per
-    document the leader of most of its lists. ``place`` is the shingle's place in the document's order.
+    ``POSTING``: the leader of each list, one row per list and batch. ``MEMBER``: all documents of
+    lists that have more than one here. ``STAR_PAIR``: per document the leader of most of its lists.
     """
 
     def rows(batch) -> Iterator[dict]:
@@ -163,13 +162,11 @@ def batch_lists(sets: DataFrame, postings: bool) -> DataFrame:
         h, doc = entry["h"], entry["doc"]
         first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
         lengths = np.diff(np.r_[first, len(h)])
-        if postings:
-            yield {
-                "kind": np.full(len(first), POSTING),
-                "leader": pa.nulls(len(first), pa.int64()),
-                **{c: values[first] for c, values in entry.items()},
-            }
-            return
+        yield {
+            "kind": np.full(len(first), POSTING),
+            "leader": pa.nulls(len(first), pa.int64()),
+            **{c: values[first] for c, values in entry.items()},
+        }
         leader = np.repeat(doc[first], lengths)
         several = np.repeat(lengths, lengths) > 1
         a, b = best_leader(doc[several], leader[several])
@@ -187,7 +184,7 @@ def batch_lists(sets: DataFrame, postings: bool) -> DataFrame:
             "about": nothing,
         }
 
-    return map_texts(sets, STAR, rows)
+    return map_texts(sets, STAR, rows, rows_at_once=SETS_AT_ONCE)
 
 
 def best_leader(owner: np.ndarray, leader: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,18 +200,23 @@ def best_leader(owner: np.ndarray, leader: np.ndarray) -> tuple[np.ndarray, np.n
     return pairs[keep, 0], pairs[keep, 1]
 
 
-def shared_lists(postings: DataFrame) -> DataFrame:
-    """Lists of several batches, read in order of their hash: rows with the list's leader.
+def index_lists(entries: DataFrame) -> DataFrame:
+    """`batch_lists` put together: the rows of lists of several batches now have the list's leader.
 
-    Rows come sorted, so a list of any length passes through in batches; after `batch_lists` it has at
-    most one row per batch of documents.
+    Postings meet by their hash and come sorted, so a list of any length passes through as a stream;
+    it has at most one row per batch of documents. Postings alone on their list are left out. The other
+    rows pass through, spread over all tasks.
     """
-    schema = "h bigint, doc bigint, about bigint, leader bigint"
 
     def run(batches):
-        held = None  # the last row of the batch before, whose list may go on
+        held = None  # the last posting before this batch, whose list may go on
         for batch in batches:
             columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ENTRY}
+            kind = batch.column("kind").to_numpy()
+            passed = np.flatnonzero(kind != POSTING)
+            yield batch.take(pa.array(passed))
+            posting = kind == POSTING
+            columns = {c: values[posting] for c, values in columns.items()}
             h, doc = columns["h"], columns["doc"]
             if not len(h):
                 continue
@@ -235,11 +237,13 @@ def shared_lists(postings: DataFrame) -> DataFrame:
                 if before is not None:
                     chosen = np.concatenate([np.array([before[c]], values.dtype), chosen])
                 arrays.append(pa.array(chosen))
-            yield pa.RecordBatch.from_arrays(arrays, names=list(columns))
+            rows = pa.array(np.full(len(arrays[0]), POSTING), pa.int32())
+            yield pa.RecordBatch.from_arrays([rows, *arrays], names=["kind", *columns])
 
     rank = F.expr(f"about >> {2 * FIELD}")
-    dealt = postings.select(*ENTRY).repartition("h").sortWithinPartitions("h", rank, "doc")
-    return dealt.mapInArrow(run, schema)
+    meets_at = F.when(F.col("kind") == POSTING, F.col("h")).otherwise(F.xxhash64("doc", "h"))
+    dealt = entries.repartition(meets_at).sortWithinPartitions("h", rank, "doc")
+    return dealt.mapInArrow(run, STAR)
 
 
 def links(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -270,7 +274,7 @@ def links(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFram
         at = np.flatnonzero(keep)
         yield {"a": batch.column("a").take(at), "b": batch.column("b").take(at)}
 
-    return map_texts(both, "a bigint, b bigint", rows)
+    return map_texts(both, "a bigint, b bigint", rows, rows_at_once=PAIRS_AT_ONCE)
 
 
 def left_pairs(
@@ -381,9 +385,8 @@ def similar_groups(
     alone = beside(
         named, firsts.select(F.col("first").alias("doc_id"), *same), ["doc_id", *same], "left_semi"
     )
-    # postings go straight into their exchange and are not stored: they are the bulk of the index
-    shared = stored(shared_lists(batch_lists(alone, postings=True)), "lists")
-    lists = stored(batch_lists(alone, postings=False), "batch-lists")
+    lists = stored(index_lists(batch_lists(alone)), "lists")
+    shared = lists.filter(F.col("kind") == POSTING)
     across = (
         shared.filter("doc <> leader")
         .groupBy("doc", "leader")
@@ -407,7 +410,7 @@ def similar_groups(
         return links(stored(near, f"{label}-near"), docs, percent)
 
     stars = stored(compared(inside.union(across).distinct(), "star-pairs"), "stars")
-    members = lists.filter(F.col("kind") == MEMBER).select(*ENTRY).union(shared.select(*ENTRY))
+    members = lists.filter(F.col("kind") != STAR_PAIR).select(*ENTRY)
     groups = stored(components(stars, "star-components"), "star-groups")
     left = left_pairs(members, groups, sketches, percent)
     rest = stored(compared(left, "left-pairs"), "rest")

@@ -45,6 +45,7 @@ from tidemark.llm.common import (
 WINDOW = 20
 ANCHOR = 8
 WORDS_AT_ONCE = 400_000
+TEXTS_AT_ONCE = 10_000  # equal blocks of so many texts are one before the exchange
 SPANS_BROADCAST = 4_000_000
 
 FACTOR, BOUNDARY = 1, 2
@@ -127,7 +128,7 @@ def document_blocks(docs: DataFrame, common: np.ndarray) -> DataFrame:
         start = begin - (ends - sizes)[text] if len(begin) else begin
         return key, words, doc, start, windows
 
-    return map_texts(docs, BLOCKS, rows)
+    return map_texts(docs, BLOCKS, rows, rows_at_once=TEXTS_AT_ONCE)
 
 
 def word_hash(doc: np.ndarray, start: np.ndarray) -> np.ndarray:

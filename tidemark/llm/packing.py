@@ -28,7 +28,7 @@ CAPACITY = 2048
 END_OF_TEXT = 0
 VOCABULARY = "word_bpe_49k.json"
 ROWS_PER_BUCKET = 20_000
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 800_000
 ROUNDS, PRICINGS, SHARE = 2, 256, 0.5
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
