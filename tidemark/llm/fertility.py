@@ -1,8 +1,8 @@
 """Quality rules by tokeniser fertility.
 
-Two public vocabularies measure every text word by word: characters per token (byte-level BPE), the
-share of tokens that are single bytes because the vocabulary has no piece for a character (sentence
-pieces with byte fallback), and the entropy of the text's own token distribution relative to the
+Two public vocabularies measure every text word by word: characters per token (byte-level BPE), how many
+byte pieces a vocabulary with byte fallback needs for characters it does not have, as a share of the
+tokens, and the entropy of the text's own token distribution relative to the
 greatest possible one. What is usual differs by language, so the rejection bands are taken per
 language over all documents: quartiles widened by ``REACH`` interquartile ranges and by at least a
 margin. Texts of fewer than ``ENOUGH`` tokens are too short to judge and keep the base verdict.
@@ -25,7 +25,8 @@ FEWEST_WORDS, MOST_REPEATED = 20, 30
 ENOUGH = 50
 REACH = 6.0
 ACCURACY = 10_000
-MEMORY_WORDS = 500_000
+MEMORY_WORDS = 800_000
+BYTE_PIECE = 0xFFFFFFFF
 UNKNOWN_LANGUAGE = "und"
 # Bands never come closer to the quartiles than this.
 MARGINS = {"chars_per_token": 0.5, "byte_share": 0.05, "token_entropy": 0.1}
@@ -38,7 +39,7 @@ MEASURED = (
 
 
 class WordTokens(dict):
-    """Per word: ids of its subword tokens, and how many pieces and byte pieces it has.
+    """Per word the ids of its subword tokens, and one `BYTE_PIECE` for each byte piece it needs.
 
     Letters and a tail of plain punctuation are measured apart, which keeps the table small; it is
     emptied when it has ``MEMORY_WORDS`` entries.
@@ -60,17 +61,15 @@ class WordTokens(dict):
             [self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())], bool
         )
 
-    def __missing__(self, word: bytes) -> tuple[bytes, int, int]:
+    def __missing__(self, word: bytes) -> bytes:
         head = word.rstrip(self.PLAIN_TAIL)
         if head and head != word and head[-1:].isalnum():
-            first, tail = self[head], self[word[len(head) :]]
-            found = (first[0] + tail[0], first[1] + tail[1], first[2] + tail[2])
+            found = self[head] + self[word[len(head) :]]
         else:
             text = word.decode()
             encoded = self.subwords.encode(text, add_special_tokens=False).ids
-            pieces = self.pieces.encode(text)
-            byte_pieces = int(self.is_byte[pieces].sum())
-            found = (np.array(encoded, "<u4").tobytes(), len(pieces), byte_pieces)
+            byte_pieces = int(self.is_byte[self.pieces.encode(text)].sum())
+            found = np.array(encoded + [BYTE_PIECE] * byte_pieces, "<u4").tobytes()
         if len(self) >= MEMORY_WORDS:
             self.clear()
         self[word] = found
@@ -116,10 +115,10 @@ def code_points(text: bytes) -> int:
 def measures(text: bytes, vocabularies: WordTokens) -> tuple:
     """The counts and the three fertility figures of one text."""
     words = words_of(text)
-    found = list(map(vocabularies.__getitem__, words))
-    tokens = np.frombuffer(b"".join([f[0] for f in found]), "<u4")
-    pieces = sum(f[1] for f in found)
-    byte_pieces = sum(f[2] for f in found)
+    tokens = np.frombuffer(b"".join(map(vocabularies.__getitem__, words)), "<u4")
+    is_byte = tokens == BYTE_PIECE
+    byte_pieces = int(is_byte.sum())
+    tokens = tokens[~is_byte] if byte_pieces else tokens
     chars = code_points(b"".join(words))
     entropy = 0.0
     if len(tokens) > 1:
@@ -134,7 +133,7 @@ def measures(text: bytes, vocabularies: WordTokens) -> tuple:
         repeated_words(word_hashes(words)),
         len(tokens),
         chars / len(tokens) if len(tokens) else 0.0,
-        byte_pieces / pieces if pieces else 0.0,
+        byte_pieces / len(tokens) if len(tokens) else 0.0,
         entropy,
     )
 
