@@ -1,5 +1,6 @@
 """Counts against brute force, bands, odd rows."""
 
+import random
 import re
 from collections import Counter
 
@@ -75,3 +76,40 @@ def test_odd_rows(spark, with_lang):
                    (4, 1, False), (5, 3, False)])
     )
     assert quality_rules(docs.limit(0)).count() == 0
+
+
+LARGER = "/root/testdata/sf0.01"
+SPAM = ["cheap", "pills", "casino", "free"]
+
+
+def gibberish(rnd, n):
+    return " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 9))) for _ in range(n))
+
+
+def test_garbage_is_rejected_in_every_language(spark):
+    rnd = random.Random(7)
+    docs = documents(spark, LARGER).select("doc_id", "text", "lang", "source")
+    planted = []
+    for lang in ("en", "fr", "de", "es"):
+        for n in (100, 300, 1000):
+            salad = " ".join(rnd.choices(SPAM, k=n))
+            numbers = " ".join(str(rnd.randrange(100_000)) for _ in range(n))
+            planted += [(lang, t) for t in (salad, numbers, gibberish(rnd, n))]
+    more = [(10**9 + i, t, lang, "src1") for i, (lang, t) in enumerate(planted)]
+    rows = quality_rules(docs.union(spark.createDataFrame(more, docs.schema))).collect()
+    assert [planted[r.doc_id - 10**9] for r in rows if r.doc_id >= 10**9 and r.kept] == []
+    judged = {r.doc_id: r.kept for r in rows if not r.base_failed}
+    marks = {r.doc_id: r.quality for r in labels(spark, LARGER).collect()}
+    good = [kept for i, kept in judged.items() if marks.get(i) == 1]
+    bad = [kept for i, kept in judged.items() if marks.get(i) == 0]
+    assert good.count(False) <= len(good) // 50 and bad.count(False) >= len(bad) // 2
+
+
+def test_one_hot_source_does_not_move_the_bands(spark):
+    rnd = random.Random(8)
+    docs = documents(spark, LARGER).select("doc_id", "text", "lang", "source").filter("lang = 'en'")
+    more = [(10**9 + i, gibberish(rnd, 200), "en", "hot") for i in range(docs.count())]
+    rows = quality_rules(docs.union(spark.createDataFrame(more, docs.schema))).collect()
+    assert not any(r.kept for r in rows if r.doc_id >= 10**9)
+    rest = [r.kept for r in rows if r.doc_id < 10**9 and not r.base_failed]
+    assert rest.count(True) > 0.9 * len(rest)
