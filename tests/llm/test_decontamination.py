@@ -146,3 +146,25 @@ def test_odd_rows(spark):
     assert benchmark_matches(docs.limit(0), items).count() == 0
     assert benchmark_matches(docs, items.limit(0)).count() == 0
     assert docs.select(F.count("*")).first()[0] == 8
+
+
+def test_passages_that_break_off_at_the_threshold(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items, docs = [], []
+    for n in (50, 100, 200, 500):
+        for k in range(100):
+            item = rng.choices(vocabulary, k=n)
+            # a lost tail costs as many shingles as words, a lost middle four more; 1 in 7 is 0.75
+            lost = (n - 4) // 7 - (4 if k % 2 else 0)
+            at = rng.randrange(5, n - lost - 5) if k % 2 else n - lost
+            passage = item[:at] + rng.choices(vocabulary, k=lost) + item[at + lost :]
+            around = [rng.choices(vocabulary, k=30) for _ in range(2)]
+            docs.append((len(items), " ".join(around[0] + passage + around[1])))
+            items.append((len(items), " ".join(item)))
+    rows = benchmark_matches(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(i, i) for i in range(len(items))}
+    assert min(r.similarity for r in rows) >= 0.75

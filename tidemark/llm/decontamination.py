@@ -8,6 +8,11 @@ item; no other window can match.
 ``RADIUS`` + 1 blocks; two that differ in at most ``RADIUS`` bits agree on a whole block, so joining on
 item size, block number and block value finds all pairs within the radius.
 
+**Beyond the radius.** A changed run of words can move a similar window's fingerprint further than that.
+So a window is also checked against an item that puts it there, whatever the fingerprints, if the document
+has shared shingles enough for ``PERCENT``. No window that shares a shingle at its place with a similar
+item depends on the radius.
+
 **Check.** The pairs found are compared exactly: shared five-word shingles with their numbers of
 occurrence, divided by all of either. ``PERCENT`` of a hundred and more is a match.
 
@@ -56,9 +61,11 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
 
 def windows_at_shared_shingles(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, start, n_words of the item-sized windows that share a shingle with an item there."""
+    """doc_id, start, n_words, item_id of the item-sized windows that share a shingle with the item
+    there, and the number of shared places ``hits``.
+    """
     known = stored(
-        items.select("n_words", F.posexplode("shingles").alias("place", "shingle")).distinct(),
+        items.select("item_id", "n_words", F.posexplode("shingles").alias("place", "shingle")),
         "benchmark-shingles",
     )
     every = with_word_hashes(id_and_text(docs).filter("doc_id is not null"))
@@ -70,7 +77,20 @@ def windows_at_shared_shingles(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = beside(placed, known, "shingle")
     last = F.greatest(F.col("size") - F.col("n_words"), F.lit(0))
     start = F.least(F.greatest(F.col("at") - F.col("place"), F.lit(0)), last)
-    return hits.select("doc_id", start.alias("start"), "n_words").distinct()
+    placed = hits.select("doc_id", start.alias("start"), "n_words", "item_id")
+    return placed.groupBy("doc_id", "start", "n_words", "item_id").agg(F.count("*").alias("hits"))
+
+
+def with_shingles_enough(placed: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """The placed windows of documents whose hits with the item could make up the similarity.
+
+    Shared shingles are at most the hits at all places together, and all shingles of either are at
+    least the item's, so no similar window is left out.
+    """
+    hits = placed.groupBy("doc_id", "item_id").agg(F.sum("hits").alias("all_hits"))
+    sizes = items.select("item_id", F.size("shingles").alias("all_item"))
+    enough = hits.join(sizes, "item_id").filter(100 * F.col("all_hits") >= percent * F.col("all_item"))
+    return placed.drop("hits").join(enough.select("doc_id", "item_id"), ["doc_id", "item_id"])
 
 
 def simhash(weighted: DataFrame, key: list[str]) -> DataFrame:
@@ -129,8 +149,9 @@ def benchmark_matches(
     shorter than an item is compared as a whole.
     """
     items = stored(benchmark_items(benchmark), "benchmark-items")
-    starts = stored(windows_at_shared_shingles(docs, items), "benchmark-windows")
-    touched = stored(starts.select("doc_id").distinct(), "benchmark-documents")
+    placed = stored(windows_at_shared_shingles(docs, items), "benchmark-windows")
+    starts = placed.select(*WINDOW).distinct()
+    touched = stored(placed.select("doc_id").distinct(), "benchmark-documents")
     read = with_word_hashes(beside(id_and_text(docs), touched, "doc_id"))
     windows = stored(
         read.join(starts, "doc_id")
@@ -148,7 +169,9 @@ def benchmark_matches(
     window, item = [*WINDOW, "mark"], ["item_id", "n_words"]
     prints = simhash(windows.select(*window, F.explode("words").alias("h")), window)
     item_prints = simhash(items.select(*item, F.explode("words").alias("h")), item)
-    pairs = stored(within_radius(prints, item_prints, radius), "benchmark-pairs")
+    there = windows.select(*window).join(with_shingles_enough(placed, items, percent), [*WINDOW])
+    near = within_radius(prints, item_prints, radius).unionByName(there).distinct()
+    pairs = stored(near, "benchmark-pairs")
     in_window = (
         windows.select(*window, F.explode("shingles").alias("h"))
         .groupBy(*window, "h")
