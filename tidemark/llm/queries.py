@@ -12,6 +12,7 @@ from tidemark.llm.fertility import quality_rules
 from tidemark.llm.jaccard_join import similar_groups
 from tidemark.llm.lempel_ziv import remove_repeated_passages
 from tidemark.llm.line_dedup import without_repeated_lines
+from tidemark.llm.merkle import proofs
 from tidemark.llm.packing import pack
 from tidemark.llm.personal_data import personal_data
 from tidemark.llm.quality_rank import quality_scores
@@ -59,6 +60,10 @@ def op10_quality_ranking(spark, sf_dir):
     return quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return proofs(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -70,6 +75,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
     "op10_quality_ranking": op10_quality_ranking,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES = {
@@ -77,4 +83,5 @@ ORACLES = {
     "op5_line_dedup": sql.LINE_DEDUP,
     "op7_benchmark_decontamination": sql.DECONTAMINATION,
     "op8_jaccard_join": sql.JACCARD_JOIN,
+    "op11_merkle_manifest": sql.MERKLE,
 }

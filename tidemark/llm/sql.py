@@ -9,6 +9,21 @@ def _words(text: str) -> str:
     return f"[x FOR x IN regexp_split_to_array({text}, '{_SPACE}') IF x <> '']"
 
 
+def _crc32(blob: str) -> str:
+    """Unsigned crc32 of a blob, by a table of the 256 one-byte remainders (CTE ``crc``)."""
+    digits = f"lower(hex({blob}))"
+    byte = f"('0x' || substr({digits}, 2 * i - 1, 2))::BIGINT"
+    step = "lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])"
+    taken = f"[{byte} FOR i IN range(1, octet_length({blob}) + 1)]"
+    return f"xor(list_reduce({taken}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+_CRC = """crc AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1
+    THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+)"""
+
 # op4: windows of 20 words, all but the first place of each are duplicates.
 LEMPEL_ZIV = f"""
 WITH docs AS (
@@ -141,3 +156,72 @@ WITH RECURSIVE docs AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM components LEFT JOIN sizes USING (doc_id)
 """
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes of ternary trees over ``leaves`` (part, idx, h, n)."""
+    return f"""{name}(part, level, idx, h, n) AS (
+  SELECT part, 0, idx, h, n FROM {leaves}
+  UNION ALL
+  SELECT part, level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3
+  FROM {name} WHERE n > 1 GROUP BY part, level, idx // 3, n
+)"""
+
+
+# op11: all levels of all trees, siblings by their places, one fold step after the other.
+MERKLE = f"""
+WITH RECURSIVE {_CRC}, read AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32("CAST(CAST(doc_id AS VARCHAR) AS BLOB)")} % 2 = 0
+      THEN {_leaf("replace(text, chr(10), '')")} END AS changed
+  FROM documents, crc
+), sources AS (
+  SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS part
+  FROM (SELECT DISTINCT source FROM documents)
+), leaves AS (
+  SELECT row_number() OVER () AS rid, part, doc_id, leaf AS h, coalesce(changed, leaf) AS shown,
+    row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY part) AS n
+  FROM read JOIN sources ON read.source IS NOT DISTINCT FROM sources.source
+), {_tree("low", "leaves")}, subroots AS (
+  SELECT 0 AS part, part AS idx, h, count(*) OVER () AS n FROM low WHERE low.n = 1
+), {_tree("high", "subroots")}, nodes AS (
+  SELECT 0 AS tier, * FROM low UNION ALL SELECT 1, * FROM high
+), climbed AS (
+  SELECT rid, tier, level, own.idx, own.part, own.n FROM (
+    SELECT rid, 0 AS tier, part, unnest(range(40)) AS level, idx // pow(3, level)::BIGINT AS idx
+    FROM leaves
+    UNION ALL
+    SELECT rid, 1, 0, unnest(range(40)) AS level, part // pow(3, level)::BIGINT FROM leaves) AS own_place
+  JOIN nodes own USING (tier, part, level, idx) WHERE own.n > 1
+), steps AS (
+  SELECT c.rid, row_number() OVER (PARTITION BY c.rid ORDER BY c.tier, c.level) AS step,
+    coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx < c.idx), '') AS head,
+    coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx > c.idx), '') AS rest
+  FROM climbed c JOIN nodes s
+    ON s.tier = c.tier AND s.part = c.part AND s.level = c.level AND s.idx // 3 = c.idx // 3
+  GROUP BY c.rid, c.tier, c.level, c.idx
+), folded(rid, step, h) AS (
+  SELECT rid, 0, shown FROM leaves
+  UNION ALL
+  SELECT f.rid, f.step + 1, sha256(head || f.h || rest)
+  FROM folded f JOIN steps s ON s.rid = f.rid AND s.step = f.step + 1
+), proved AS (
+  SELECT rid, sha256(string_agg(head || rest, '' ORDER BY step)) AS proof FROM steps GROUP BY rid
+), ended AS (
+  SELECT rid, arg_max(h, step) AS h FROM folded GROUP BY rid
+)
+SELECT l.doc_id, source, l.idx AS place, l.h AS leaf, s.h AS subroot, r.h AS root,
+  coalesce(proof, sha256('')) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM leaves l JOIN ended e USING (rid) LEFT JOIN proved USING (rid)
+JOIN sources USING (part) JOIN subroots s ON s.idx = l.part
+JOIN (SELECT h FROM high WHERE n = 1) r ON true
+"""
