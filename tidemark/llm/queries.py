@@ -8,6 +8,7 @@ from __future__ import annotations
 from tidemark.llm import sql
 from tidemark.llm.common import benchmark, documents, labels
 from tidemark.llm.decontamination import benchmark_matches
+from tidemark.llm.divergence import source_divergence
 from tidemark.llm.fertility import quality_rules
 from tidemark.llm.jaccard_join import similar_groups
 from tidemark.llm.lempel_ziv import remove_repeated_passages
@@ -64,6 +65,10 @@ def op11_merkle_manifest(spark, sf_dir):
     return proofs(documents(spark, sf_dir))
 
 
+def op12_source_divergence(spark, sf_dir):
+    return source_divergence(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -76,6 +81,7 @@ QUERIES = {
     "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
     "op10_quality_ranking": op10_quality_ranking,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLES = {
@@ -84,4 +90,5 @@ ORACLES = {
     "op7_benchmark_decontamination": sql.DECONTAMINATION,
     "op8_jaccard_join": sql.JACCARD_JOIN,
     "op11_merkle_manifest": sql.MERKLE,
+    "op12_source_divergence": sql.DIVERGENCE,
 }

@@ -225,3 +225,50 @@ FROM leaves l JOIN ended e USING (rid) LEFT JOIN proved USING (rid)
 JOIN sources USING (part) JOIN subroots s ON s.idx = l.part
 JOIN (SELECT h FROM high WHERE n = 1) r ON true
 """
+
+
+def _share(count: str, total: str, terms: str) -> str:
+    return f"1 + (CAST(1000000000 AS HUGEINT) * ({count} + 1)) // ({total} + {terms})"
+
+
+# op12: every group's count of every kept term of its language, compared with every other group's.
+DIVERGENCE = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), words AS (
+  SELECT rid, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n, count(*) OVER (PARTITION BY lang) AS v
+  FROM words GROUP BY lang, term HAVING count(DISTINCT rid) >= 3
+), counted AS (
+  SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT g.lang, g.source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counted USING (lang, source) GROUP BY ALL
+), langs AS (
+  SELECT lang, sum(n) AS total FROM kept GROUP BY lang
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    {_share("coalesce(c.n, 0)", "g.total", "k.v")} AS p, {_share("k.n", "l.total", "k.v")} AS in_lang
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), compared AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN compared c ON c.lang = a.lang AND c.source = a.source AND c.item = b.source
+), over AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - in_lang) * (p - in_lang) // in_lang AS value
+  FROM shares WHERE n > 0 AND p > in_lang
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (FROM pairs UNION ALL FROM over)
+QUALIFY part = 'pair' OR rank <= 200
+"""
