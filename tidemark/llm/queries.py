@@ -18,6 +18,7 @@ from tidemark.llm.packing import pack
 from tidemark.llm.personal_data import personal_data
 from tidemark.llm.quality_rank import quality_scores
 from tidemark.llm.secret_worklist import scan_secrets
+from tidemark.llm.sharding import shards_of
 from tidemark.llm.toxicity import toxicity_scores
 
 
@@ -69,6 +70,10 @@ def op12_source_divergence(spark, sf_dir):
     return source_divergence(documents(spark, sf_dir))
 
 
+def op13_virtual_slots(spark, sf_dir):
+    return shards_of(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -82,6 +87,7 @@ QUERIES = {
     "op10_quality_ranking": op10_quality_ranking,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_source_divergence": op12_source_divergence,
+    "op13_virtual_slots": op13_virtual_slots,
 }
 
 ORACLES = {
@@ -91,4 +97,5 @@ ORACLES = {
     "op8_jaccard_join": sql.JACCARD_JOIN,
     "op11_merkle_manifest": sql.MERKLE,
     "op12_source_divergence": sql.DIVERGENCE,
+    "op13_virtual_slots": sql.SHARDING,
 }

@@ -272,3 +272,63 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
 FROM (FROM pairs UNION ALL FROM over)
 QUALIFY part = 'pair' OR rank <= 200
 """
+
+
+def _dealing(name: str, slots: str, loads: str, of: str = "") -> str:
+    """Slots (k from 1, size), one after the other, to the shard with the least load so far."""
+    least = "list_position(loads, list_min(loads))"
+    return f"""{name}(k, loads, shard) AS (
+  SELECT 0::BIGINT, {loads}, 0::BIGINT {of}
+  UNION ALL
+  SELECT s.k, list_transform(loads, lambda load, i: CASE WHEN i = {least} THEN load + s.size ELSE load END),
+    CAST({least} - 1 AS BIGINT)
+  FROM {name} d JOIN {slots} s ON s.k = d.k + 1
+)"""
+
+
+# op13: the greedy dealing of slots as a recursion, one slot after the other.
+SHARDING = f"""
+WITH RECURSIVE {_CRC}, digits AS (
+  SELECT row_number() OVER () AS rid, doc_id, lower(hex(encode(coalesce(text, '')))) AS hexed FROM documents
+), bytes AS (
+  SELECT rid, doc_id, [('0x' || d)::BIGINT FOR d IN regexp_extract_all(hexed, '..')] AS taken FROM digits
+), read AS (
+  SELECT rid, doc_id, len(taken) + 8 AS size, xor(list_reduce(taken,
+    lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+  FROM bytes, crc
+), slotted AS (
+  SELECT *, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-') || '/' || text_crc32), 1, 13))::BIGINT
+    % 8192 AS INTEGER) AS virtual_slot
+  FROM read
+), slots AS (
+  SELECT virtual_slot, CAST(sum(size) AS BIGINT) AS size, count(*) AS n FROM slotted GROUP BY ALL
+), sorted AS (
+  SELECT *, row_number() OVER (ORDER BY size DESC, virtual_slot) AS k FROM slots
+), {_dealing("dealt", "sorted", "[0::BIGINT FOR i IN range(24)]")}, first_map AS (
+  SELECT virtual_slot, size, n, shard FROM sorted JOIN dealt USING (k)
+), judged AS (
+  SELECT *, (sum(size) FILTER (NOT large) OVER ())::DOUBLE
+      / greatest(25 - count(*) FILTER (large) OVER (), 1) AS share, sum(size) OVER (PARTITION BY shard) AS load,
+    sum(size) OVER (PARTITION BY shard ORDER BY size, virtual_slot) AS given
+  FROM (SELECT *, size * 25 > sum(size) OVER () AS large FROM first_map)
+), moving AS (
+  SELECT virtual_slot, size, row_number() OVER (ORDER BY size DESC, virtual_slot) AS k
+  FROM judged WHERE given <= load - share
+), held AS (
+  SELECT list(coalesce(load, 0)::BIGINT ORDER BY shard) AS loads
+  FROM (SELECT unnest(range(25)) AS shard) LEFT JOIN (
+    SELECT shard, sum(size) AS load FROM judged WHERE given > load - share GROUP BY shard) USING (shard)
+), {_dealing("moved", "moving", "loads", "FROM held")}, next_map AS (
+  SELECT virtual_slot, m.shard AS next_shard FROM moving JOIN moved m USING (k)
+), placed AS (
+  SELECT *, coalesce(sum(n) OVER (PARTITION BY shard ORDER BY virtual_slot
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_place
+  FROM first_map
+)
+SELECT doc_id, r.size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  CAST(first_place + row_number() OVER (PARTITION BY virtual_slot ORDER BY doc_id NULLS FIRST, text_crc32, r.size)
+    - 1 AS BIGINT) AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard, virtual_slot,
+  CAST(coalesce(next_shard, shard) AS INTEGER) AS next_shard
+FROM slotted r JOIN placed p USING (virtual_slot) LEFT JOIN next_map USING (virtual_slot)
+"""
