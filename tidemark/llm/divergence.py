@@ -137,6 +137,7 @@ def numbered_terms(counts: DataFrame) -> DataFrame:
     )
     kept = stored(kept, "divergence-kept")
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("in_lang").alias("lang_n"))
+    sizes = stored(sizes, "divergence-langs")  # a row per language, known to be small once it is written
     blocks = F.expr(f"(v + {TERM_BLOCK - 1}) div {TERM_BLOCK}")
     dealt = kept.join(sizes, "lang").withColumn("term_block", F.pmod(F.xxhash64("term"), blocks))
     order = Window.partitionBy("lang", "term_block").orderBy("term")
