@@ -114,9 +114,15 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 
 def _share(count: Column, total: Column) -> Column:
-    """``1 + floor(SCALE * (count + 1) / total)``, exact for any counts."""
-    above = F.lit(SCALE).cast("decimal(10,0)") * (count.cast("decimal(19,0)") + 1)
-    return F.lit(1) + F.call_function("div", above, total.cast("decimal(20,0)"))
+    """``1 + floor(SCALE * (count + 1) / total)``, in whole longs by a long division in steps of 1000.
+
+    Exact for totals below 2 ** 63 / 1000; beyond that Spark's arithmetic raises and does not wrap.
+    """
+    left, out = count + 1, F.lit(0)
+    for _ in range(3):
+        out = out * 1000 + F.call_function("div", left * 1000, total)
+        left = (left * 1000) % total
+    return out + 1
 
 
 def _over(window: Column) -> Column:
@@ -244,7 +250,9 @@ def source_divergence(docs: DataFrame) -> DataFrame:
     """``lang``, ``source``, ``part`` (pair or term), ``item``, ``value``, ``rank`` within source and part."""
     counts = stored(term_counts(docs), "divergence-counts")
     terms = stored(numbered_terms(counts), "divergence-terms")
-    inside = counts.filter(F.col("term") != "").drop("docs").join(terms, ["lang", "term"])
+    inside = counts.filter(F.col("term") != "").join(terms, ["lang", "term"])
+    inside = inside.select("lang", "source", "term", "term_block", "term_id", "n", "in_lang")
+    inside = stored(inside, "divergence-inside")
     sums = inside.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     number = _over(Window.partitionBy("lang").orderBy("source")) - 1
     v = terms.groupBy("lang").agg(F.first("v").alias("v"), F.first("lang_n").alias("lang_n"))
@@ -258,11 +266,8 @@ def source_divergence(docs: DataFrame) -> DataFrame:
         .withColumn("group_block", F.expr(f"group_id div {GROUP_BLOCK}"))
     )
     groups = stored(groups, "divergence-groups")
-    inside = inside.select("lang", "source", "term", "term_block", "term_id", "n", "in_lang").join(
-        groups.select("lang", "source", "group_id", "group_block", "total", "v", "lang_n"),
-        ["lang", "source"],
-    )
-    inside = stored(inside, "divergence-inside")
+    of_group = groups.select("lang", "source", "group_id", "group_block", "total", "v", "lang_n")
+    inside = inside.join(of_group, ["lang", "source"])
     ranks = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     columns = ("lang", "source", "part", "item", "value", "rank")
 
