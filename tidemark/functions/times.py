@@ -23,7 +23,7 @@ _UNIT_MICROS = {
     "day": 86_400_000_000,
     "week": 604_800_000_000,
 }
-
+MICROS_A_DAY = _UNIT_MICROS["day"]
 
 _FULL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?"
 _ZONED = _FULL + r"(Z|[+-][0-9]{2}:[0-9]{2})$"
@@ -78,6 +78,11 @@ def interval_micros(text: str) -> int | None:
     return sum(n * _UNIT_MICROS[u] for n, u in units)
 
 
+def day_of(column: str) -> Column:
+    """The UTC day of an instant, as a number."""
+    return F.floor(F.unix_micros(column) / MICROS_A_DAY).cast("int")
+
+
 def earlier(ts: Column, delay: str) -> Column:
     """``ts`` minus an interval of fixed length, in elapsed time.
 

@@ -119,14 +119,15 @@ def sliding_parts(parts: DataFrame, window: str, slide: str) -> DataFrame:
     )
 
 
-def revenue_table(parts: DataFrame) -> DataFrame:
-    """Merged parts to the public columns."""
+def revenue_table(parts: DataFrame, *more: str) -> DataFrame:
+    """Merged parts to the public columns; ``more`` columns are carried along."""
     return parts.select(
         "window_start",
         "window_end",
         "category",
         as_double(F.col("cents"), F.col("beyond")).alias("revenue"),
         "orders",
+        *more,
     )
 
 
@@ -147,6 +148,39 @@ def revenue_sliding(
     return revenue_table(revenue_parts(events, window, slide, watermark))
 
 
+def closed_sliding_parts(
+    events: DataFrame,
+    window: str = "5 minutes",
+    slide: str = "1 minute",
+    watermark: str = "2 minutes",
+) -> DataFrame:
+    """Mergeable sums of sliding windows that are over, for a stream in append mode.
+
+    Two stateful aggregates, one behind the other: events are summed into buckets that tile window and
+    slide, and a bucket goes into its ``window / slide`` windows once, when the watermark closes it.
+    An event thus costs one state update whatever the overlap, where expanded rows cost one per window.
+    An event is too late when its bucket is closed, also if a longer window is still open. Months and
+    other lengths that no bucket tiles are refused.
+    """
+    bucket = _shared_bucket(window, slide)
+    if bucket is None:
+        raise ValueError(f"no fixed bucket tiles windows of {window!r} every {slide!r}")
+    sales = sales_only(events).withWatermark("event_time", watermark)
+    buckets = _sum_sales(sales, F.window("event_time", bucket))
+    over = F.window(F.window_time("window"), window, slide).alias("window")
+    return _flat(sum_parts(buckets, over, "category"))
+
+
+def revenue_sliding_closed(
+    events: DataFrame,
+    window: str = "5 minutes",
+    slide: str = "1 minute",
+    watermark: str = "2 minutes",
+) -> DataFrame:
+    """`revenue_sliding` by `closed_sliding_parts`: each window once, when it is over."""
+    return revenue_table(closed_sliding_parts(events, window, slide, watermark))
+
+
 def in_window_order(revenue: DataFrame) -> DataFrame:
     """Sort a finished revenue table. For tables, or a stream in complete mode."""
     return revenue.orderBy("window_start", "category")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.chains import chain_breaks
 from tidemark.operators.changes import (
     applicable_changes,
     change_dead_letters,
@@ -14,7 +15,7 @@ from tidemark.operators.changes import (
 from tidemark.operators.decode import parse_cdc_events
 from tidemark.operators.state import fold_changes, merge_changes
 from tidemark.schemas import CHANGE_FIELDS
-from tidemark.sources.tables import change_topic, product_state, table
+from tidemark.sources.tables import LOSSES, chained_records, change_topic, product_state, table
 
 CHANGES_SQL = """
 WITH lines AS (
@@ -110,6 +111,11 @@ def _cdc_dead_letters(spark, sf_dir):
     return change_dead_letters(change_topic(spark, sf_dir))
 
 
+def _cdc_chain_breaks(spark, sf_dir):
+    records = chained_records(table(spark, sf_dir, "lineitem"))
+    return chain_breaks(parse_cdc_events(records, keep=("offset",)))
+
+
 QUERIES = {
     "cdc_parse": _cdc_parse,
     "cdc_flatten": _cdc_flatten,
@@ -119,6 +125,7 @@ QUERIES = {
     "cdc_fold_guarded": _cdc_fold_guarded,
     "cdc_price_changes": _cdc_price_changes,
     "cdc_dead_letters": _cdc_dead_letters,
+    "cdc_chain_breaks": _cdc_chain_breaks,
 }
 
 ORACLES = {
@@ -142,6 +149,21 @@ SELECT sku, category, unit_price, stock, updated_at FROM latest WHERE op <> 'd'"
     "cdc_price_changes": f"""{CHANGES_SQL}
 SELECT key AS sku, op, ts_ms, "offset", before_price AS old_value, after_price AS new_value
 FROM envelopes WHERE before_price IS DISTINCT FROM after_price""",
+    "cdc_chain_breaks": f"""
+WITH lines AS (
+  SELECT 'SKU' || l_partkey AS sku, l_orderkey,
+    (l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS line, row_number() OVER log AS n,
+    lag((l_suppkey, l_extendedprice, l_quantity, l_shipdate)) OVER log AS line_before
+  FROM lineitem WINDOW log AS (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber)
+), arrived AS (
+  SELECT sku, n, CASE WHEN n % 4 <> 1 THEN line_before END AS before,
+    CASE WHEN n % 4 <> 0 THEN line END AS after
+  FROM lines WHERE l_orderkey % {LOSSES} <> 0
+), linked AS (
+  SELECT *, lag(after) OVER (PARTITION BY sku ORDER BY n) IS DISTINCT FROM before AS breaks FROM arrived
+)
+SELECT sku, count(*) AS changes, count(after) - count(before) AS standing
+FROM linked GROUP BY sku HAVING bool_or(breaks)""",
     "cdc_dead_letters": f"""{CHANGES_SQL}
 SELECT 'unknown' AS event_id,
   CASE kind WHEN 'text' THEN 'no change ' || "offset" ELSE '{{"op":"t"}}' END AS raw_json,

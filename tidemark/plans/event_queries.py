@@ -9,6 +9,7 @@ from tidemark.functions.times import event_time, utc_wall_clock, wire_text
 from tidemark.operators.audit import conservation, reason_counts
 from tidemark.operators.decode import decode_with_raw, parse_events
 from tidemark.operators.dedup import dedup_events
+from tidemark.operators.fields import field_error_counts
 from tidemark.operators.encode import build_events, encode_records, event_key
 from tidemark.operators.lateness import mark_late
 from tidemark.operators.replay import replay_late
@@ -38,7 +39,7 @@ from tidemark.plans.event_sql import (
     tumbling,
 )
 from tidemark.schemas import EVENT_FIELDS, REASON_MALFORMED, REVENUE_FIELDS, SALE
-from tidemark.sources.tables import bulk_sales, feed, table, typed_feed
+from tidemark.sources.tables import bulk_sales, feed, spoiled_records, table, typed_feed
 
 _TIMES = ("event_time", "window_start", "window_end", "cutoff")
 
@@ -227,8 +228,13 @@ def _dlq_replay_revenue(spark, sf_dir):
     return presented(revenue_table(replay_late(parts, dead_letters(routed), "1 day")))
 
 
+def _decode_field_errors(spark, sf_dir):
+    return field_error_counts(spoiled_records(feed(spark, sf_dir)))
+
+
 QUERIES = {
     "routed_revenue": routed_revenue,
+    "decode_field_errors": _decode_field_errors,
     "encode_records": _encode_records,
     "event_key": _event_key,
     "build_events": _build_events,
@@ -261,7 +267,37 @@ SELECT event_type, event_id, replace(ts, 'Z', '.1Z') AS ts, category, quantity,
 FROM routed WHERE route <> 'malformed_or_unknown'"""
 _NO_TIME = EVENT_COLUMNS.removesuffix(", event_time")
 
+_EVENT_NAMES = f"[{', '.join(repr(name) for name in EVENT_FIELDS)}]"
+
 ORACLES = {
+    "decode_field_errors": f"""{FEED}, spoiled AS (
+  SELECT CASE n % 11
+    WHEN 1 THEN regexp_replace(value, '"quantity":([0-9]+)', '"quantity":"\\1"')
+    WHEN 2 THEN regexp_replace(value, '^\\{{', '{{"coupon":"none",')
+    WHEN 3 THEN regexp_replace(value, '"category":"[^"]*"', '"category":null')
+    WHEN 4 THEN regexp_replace(value, '"event_id":"[^"]*",', '') ELSE value END AS value
+  FROM records
+), judged AS (
+  SELECT CASE WHEN json_valid(value) THEN value::JSON END AS body FROM spoiled
+), looked AS (
+  SELECT body, field, json_type(body, '$.' || field) AS kind
+  FROM judged, (SELECT unnest({_EVENT_NAMES}) AS field) WHERE body IS NOT NULL
+), errors AS (
+  SELECT field, CASE WHEN kind IS NULL THEN
+      CASE WHEN field IN ('event_type', 'event_id', 'ts') THEN 'absent' END
+    WHEN kind = 'NULL' THEN 'null'
+    WHEN field IN ('quantity', 'quantity_delta') THEN
+      CASE WHEN kind NOT IN ('BIGINT', 'UBIGINT') THEN 'wrong_type' END
+    WHEN field = 'unit_price' THEN CASE WHEN kind NOT IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN 'wrong_type' END
+    WHEN kind <> 'VARCHAR' THEN 'wrong_type' END AS error
+  FROM looked
+  UNION ALL
+  SELECT field, 'unknown_field' FROM (SELECT unnest(json_keys(body)) AS field FROM judged)
+  WHERE NOT list_contains({_EVENT_NAMES}, field)
+  UNION ALL
+  SELECT NULL, 'not_an_object' FROM judged WHERE body IS NULL
+)
+SELECT field, error, count(*) AS records FROM errors WHERE error IS NOT NULL GROUP BY ALL""",
     "routed_revenue": tumbling("sales", "1 hour", "route = 'on_time'"),
     "encode_records": f"{FEED} SELECT key, body AS value FROM records",
     "event_key": f"{FEED} SELECT event_id, coalesce(order_id, sku, event_id) AS key FROM fields",

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tidemark.functions.times import instant
@@ -20,7 +21,13 @@ from tidemark.operators.changes import (
 )
 from tidemark.operators.decode import parse_cdc_events, parse_events
 from tidemark.operators.dedup import dedup_events
-from tidemark.operators.revenue import revenue_sliding, revenue_tumbling
+from tidemark.operators.repair import DAY, differing_days, repaired_parts, with_day
+from tidemark.operators.revenue import (
+    revenue_sliding,
+    revenue_sliding_closed,
+    revenue_table,
+    revenue_tumbling,
+)
 from tidemark.operators.route import split_valid_invalid
 from tidemark.operators.state import live_rows
 from tidemark.plans.change_queries import CHANGES_SQL, folded_sql, latest_sql
@@ -29,7 +36,10 @@ from tidemark.plans.event_sql import EARLY_SEGMENTS, FEED, WAVE_DELAY_DAYS, slid
 from tidemark.schemas import CHANGE_FIELDS, KEY, REVENUE_FIELDS
 from tidemark.sources.tables import change_topic, feed
 from tidemark.sources.topics import publish, read_file_topic
+from tidemark.streaming.balance import Balance, audited_events
+from tidemark.streaming.buckets import BucketedState
 from tidemark.streaming.folders import Snapshots, Versions
+from tidemark.streaming.offsets import OffsetLedger
 from tidemark.streaming.routed import RoutedTables
 from tidemark.streaming.scratch import scratch_dir
 from tidemark.streaming.sinks import StreamFolder, drain, each_batch
@@ -46,6 +56,9 @@ _REVENUE_FIELDS = {
 # Where the waves of the feed are cut; one segment's events of the first part arrive in the last wave.
 FIRST_CUT, SECOND_CUT = "2024-01-11T00:00:00Z", "2024-01-21T00:00:00Z"
 STRAGGLERS = "BUILDING"
+SENT_TWICE = "MACHINERY"
+# Offsets of the feed are dealt to three waves in pieces of this length.
+PIECE = 300
 
 
 def by_time() -> list[Column]:
@@ -63,6 +76,7 @@ def in_waves(
     out: str,
     writer: Callable[[DataFrame], DataStreamWriter],
     between: Callable[[int], None] = lambda wave: None,
+    after: Callable[[StreamingQuery], None] = lambda query: None,
 ) -> list[int]:
     """Publish and drain one wave after the other; input rows of every micro-batch that had some."""
     rows = []
@@ -71,6 +85,7 @@ def in_waves(
         query = drain(writer(read_file_topic(spark, f"{out}/topic")))
         rows += [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
         between(number)
+        after(query)
     return rows
 
 
@@ -153,6 +168,37 @@ def _stream_revenue_sliding(spark, sf_dir):
     return presented(_updated(spark, "sliding", five_hours, waves, _REVENUE_FIELDS, _WINDOW_KEYS))
 
 
+def _stream_sliding_chained(spark, sf_dir):
+    """Buckets, then windows: two aggregates in one append query."""
+
+    def five_hours(topic):
+        return revenue_sliding_closed(parse_events(topic, REVENUE_FIELDS), "5 hours", "1 hour")
+
+    return presented(_appended(spark, sf_dir, "chained", five_hours, feed_waves(spark, sf_dir)))
+
+
+def _stream_conservation(spark, sf_dir):
+    """Waves by time, one segment sent twice in each: invalid, kept, copies, dropped behind the watermark."""
+    records = feed(spark, sf_dir, "segment", "sent_at")
+    twice = records.union(records.filter(F.col("segment") == SENT_TWICE))
+    waves = [twice.filter(wave) for wave in by_time()]
+    folder = StreamFolder(scratch_dir(spark, "balance"))
+    balance, ended = Balance(), []
+    spark.streams.addListener(balance)
+    try:
+        in_waves(
+            waves,
+            spark,
+            folder.path,
+            lambda topic: folder.appended(audited_events(parse_events(topic, REVENUE_FIELDS))),
+            after=ended.append,
+        )
+        rows = balance.of(spark, ended[-1])
+    finally:
+        spark.streams.removeListener(balance)
+    return rows.withColumn("batch_id", F.rank().over(Window.orderBy("batch_id")).cast("bigint") - 1)
+
+
 def _by_segment(spark, sf_dir) -> list[DataFrame]:
     """Some segments arrive first; the others follow and are late against what was seen."""
     records = feed(spark, sf_dir, "segment")
@@ -208,6 +254,34 @@ def _stream_routed_dedup(spark, sf_dir):
     return presented(tables.revenue(spark))
 
 
+def _stream_repair(spark, sf_dir):
+    """The stream leaves late events out; the batch finds the windows they are missing from."""
+    tables = _routed_tables(spark, _by_segment(spark, sf_dir))
+    archive = scratch_dir(spark, "archive")
+    events = with_day(split_valid_invalid(parse_events(feed(spark, sf_dir), REVENUE_FIELDS))[0])
+    events.write.partitionBy(DAY).parquet(archive)
+    events, parts = spark.read.schema(events.schema).parquet(archive), tables.parts(spark)
+    repaired = repaired_parts(events, parts, differing_days(events, parts))
+    return presented(revenue_table(repaired, "repaired"))
+
+
+def _stream_offset_gaps(spark, sf_dir):
+    """A topic with a hole in the middle, whose last wave brings a piece of the first again."""
+    records = feed(spark, sf_dir)
+    third = F.pmod(F.floor(F.col("offset") / PIECE), F.lit(3))
+    hole = (F.col("offset") % (3 * PIECE)).between(PIECE + 10, PIECE + 19)
+    again = (F.col("offset") % (3 * PIECE)).between(5, 7)
+    waves = [
+        records.filter(third == 0),
+        records.filter((third == 1) & ~hole),
+        records.filter((third == 2) | again),
+    ]
+    out = scratch_dir(spark, "offsets")
+    ledger = OffsetLedger(out)
+    in_waves(waves, spark, out, lambda topic: ledger.writer(topic, f"{out}/checkpoint"))
+    return ledger.findings(spark)
+
+
 def _stream_dedup(spark, sf_dir):
     """Second and third copies come in later waves."""
     sent = sent_repeatedly(feed(spark, sf_dir, "segment"))
@@ -244,20 +318,36 @@ def _stream_cdc_update(spark, sf_dir):
     return live_rows(_updated(spark, "keyed", latest, waves, LOG_FIELDS, [KEY]))
 
 
+def _stream_cdc_partitioned(spark, sf_dir):
+    """Three waves into a state that is rewritten bucket by bucket; the last batch arrives twice."""
+    topic = change_topic(spark, sf_dir, "l_linenumber")
+    waves = [topic.filter(F.col("l_linenumber") % 3 == n) for n in range(3)]
+    out = scratch_dir(spark, "buckets")
+    state = BucketedState(out, buckets=16)
+    in_waves(waves, spark, out, lambda records: state.writer(records, f"{out}/checkpoint"))
+    state.apply(waves[-1], state.commits.newest(spark))
+    return state.current(spark)
+
+
 QUERIES = {
     "stream_source_count": _stream_source_count,
     "stream_revenue_append": _stream_revenue_append,
     "stream_revenue_update": _stream_revenue_update,
     "stream_revenue_complete": _stream_revenue_complete,
     "stream_revenue_sliding": _stream_revenue_sliding,
+    "stream_sliding_chained": _stream_sliding_chained,
+    "stream_conservation": _stream_conservation,
     "stream_routed_revenue": _stream_routed_revenue,
     "stream_routed_folded": _stream_routed_folded,
     "stream_routed_dedup": _stream_routed_dedup,
     "stream_dlq": _stream_dlq,
     "stream_dlq_replay": _stream_dlq_replay,
+    "stream_repair": _stream_repair,
+    "stream_offset_gaps": _stream_offset_gaps,
     "stream_dedup": _stream_dedup,
     "stream_cdc_state": _stream_cdc_state,
     "stream_cdc_update": _stream_cdc_update,
+    "stream_cdc_partitioned": _stream_cdc_partitioned,
 }
 
 _EARLY = ", ".join(f"'{s}'" for s in EARLY_SEGMENTS)
@@ -327,6 +417,33 @@ SELECT count(*) AS records, CAST(sum(strlen(value)) AS BIGINT) AS payload_bytes
     "stream_revenue_update": f"{FEED}{_BY_TIME} {_SUMS} FROM hourly GROUP BY ALL",
     "stream_revenue_complete": tumbling("sales", "1 hour"),
     "stream_revenue_sliding": f"{FEED}{_BY_TIME} {_SUMS} FROM five_hours GROUP BY ALL",
+    "stream_sliding_chained": f"""{FEED}{_BY_TIME}, chained AS (
+  SELECT window_start - i * INTERVAL '1 hour' AS window_start,
+    window_end + (4 - i) * INTERVAL '1 hour' AS window_end, category, cents
+  FROM hourly, range(5) steps(i)
+)
+{_SUMS} FROM chained, bound WHERE window_end <= after GROUP BY ALL""",
+    "stream_conservation": f"""{FEED}, wired AS (
+  SELECT d.*, f.sec FROM decoded d JOIN fields f
+    ON f.n = CAST(regexp_extract(coalesce(d.event_id, d.raw_json), '[0-9]+$') AS BIGINT)
+), sent AS (
+  SELECT *, event_type IN ('sale', 'stock') AND event_time IS NOT NULL AS valid,
+    CASE WHEN segment = '{SENT_TWICE}' THEN 2 ELSE 1 END AS times,
+    CASE WHEN sec < TIMESTAMP '2024-01-11' THEN CASE segment WHEN '{STRAGGLERS}' THEN 2 ELSE 0 END
+      WHEN sec < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS wave
+  FROM wired
+), passed AS (
+  SELECT wave, max(event_time) FILTER (valid) - INTERVAL '2 minutes' AS high FROM sent GROUP BY wave
+), judged AS (
+  SELECT s.*, coalesce(event_time <= (SELECT max(high) FROM passed p WHERE p.wave < s.wave), false) AS gone
+  FROM sent s
+)
+SELECT CAST(wave AS BIGINT) AS batch_id, CAST(sum(times) AS BIGINT) AS n_in,
+  CAST(coalesce(sum(times) FILTER (valid IS NOT TRUE), 0) AS BIGINT) AS n_invalid,
+  count(*) FILTER (valid AND NOT gone) AS n_kept,
+  CAST(coalesce(sum(times - 1) FILTER (valid AND NOT gone), 0) AS BIGINT) AS n_copies,
+  CAST(coalesce(sum(times) FILTER (valid AND gone), 0) AS BIGINT) AS n_dropped, true AS conserved
+FROM judged GROUP BY wave""",
     "stream_routed_revenue": _ROUTED_SQL,
     "stream_routed_folded": f"{FEED}{_THREE_WAVES}",
     "stream_routed_dedup": _ROUTED_SQL,
@@ -335,8 +452,36 @@ SELECT count(*) AS records, CAST(sum(strlen(value)) AS BIGINT) AS payload_bytes
 SELECT coalesce(event_id, 'unknown') AS event_id, raw_json, place AS dlq_reason,
   CAST(batch_id AS BIGINT) AS batch_id
 FROM placed WHERE place <> 'on_time'""",
+    "stream_repair": f"""{FEED}{_WAVES}, sold AS (
+  SELECT date_trunc('hour', event_time) AS window_start, category, place,
+    CAST(unit_price AS DECIMAL(18,2)) * quantity AS cents
+  FROM placed WHERE event_type = 'sale' AND event_time IS NOT NULL
+), wrong AS (
+  SELECT DISTINCT window_start FROM sold WHERE place = 'late'
+)
+SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, category,
+  CAST(sum(cents) AS DOUBLE) AS revenue, count(*) AS orders,
+  window_start IN (SELECT window_start FROM wrong) AS repaired
+FROM sold GROUP BY ALL""",
+    "stream_offset_gaps": f"""{FEED}, placed AS (
+  SELECT n, n // {PIECE} % 3 AS wave, n % {3 * PIECE} AS spot FROM records
+), sent AS (
+  SELECT n, wave FROM placed WHERE wave <> 1 OR spot NOT BETWEEN {PIECE + 10} AND {PIECE + 19}
+  UNION ALL SELECT n, 2 FROM placed WHERE spot BETWEEN 5 AND 7
+), runs AS (
+  SELECT wave, min(n) AS first, max(n) AS last FROM (
+    SELECT wave, n, n - row_number() OVER (PARTITION BY wave ORDER BY n) AS run FROM sent) GROUP BY wave, run
+), reached AS (
+  SELECT *, max(last) OVER (ORDER BY first, wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto
+  FROM runs
+)
+SELECT CAST(wave AS BIGINT) AS batch_id, 0 AS partition, 'gap' AS kind, upto + 1 AS first, first - 1 AS last
+FROM reached WHERE first > upto + 1
+UNION ALL
+SELECT wave, 0, 'overlap', first, least(last, upto) FROM reached WHERE first <= upto""",
     "stream_dedup": f"{FEED} {FIRST_COPIES_SQL}",
     "stream_cdc_state": folded_sql("l_linestatus DESC, ts_ms DESC"),
+    "stream_cdc_partitioned": folded_sql("l_linenumber % 3 DESC, ts_ms DESC"),
     "stream_cdc_update": f"""{CHANGES_SQL}, latest AS ({latest_sql("ts_ms DESC")})
 SELECT sku, category, unit_price, stock, updated_at FROM latest WHERE op <> 'd'""",
 }

@@ -6,7 +6,7 @@ stored microseconds as instants, which a watermark needs and which no session zo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import wire_text
@@ -217,6 +217,65 @@ def change_topic(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     return change_records(table(spark, sf_dir, "lineitem"), *extra)
 
 
+#: One order line in so many has its change lost on the way.
+LOSSES = 50
+#: Each key's changes run create, update, update, delete, and again.
+LIFE = ("c", "u", "u", "d")
+
+
+def chained_records(lineitem: DataFrame) -> DataFrame:
+    """A change topic of parts in which every old image is the last new one, with some records lost.
+
+    A part's order lines by ship date are its changes; ``offset`` counts them per part.
+    """
+    line = F.struct(
+        _text("S", "l_suppkey").alias("category"),
+        F.col("l_extendedprice").alias("unit_price"),
+        F.col("l_quantity").cast("int").alias("stock"),
+        wire_text("l_shipdate").alias("updated_at"),
+    )
+    log = Window.partitionBy("l_partkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber")
+    lines = lineitem.select(
+        _text("SKU", "l_partkey").alias("sku"),
+        "l_orderkey",
+        "l_shipdate",
+        line.alias("line"),
+        F.lag(line).over(log).alias("line_before"),
+        F.row_number().over(log).cast("bigint").alias("offset"),
+    )
+    op = F.element_at(F.array(*map(F.lit, LIFE)), ((F.col("offset") - 1) % len(LIFE) + 1).cast("int"))
+
+    def image(of: str) -> Column:
+        return F.struct("sku", f"{of}.*")
+
+    envelope = F.struct(
+        F.when(op != "c", image("line_before")).alias("before"),
+        F.when(op != "d", image("line")).alias("after"),
+        op.alias("op"),
+        F.unix_millis("l_shipdate").alias("ts_ms"),
+    )
+    arrived = lines.filter(F.col("l_orderkey") % LOSSES != 0)
+    return arrived.select(
+        F.col("sku").cast("binary").alias("key"),
+        F.to_json(envelope).cast("binary").alias("value"),
+        "offset",
+    )
+
+
+def spoiled_records(records: DataFrame) -> DataFrame:
+    """A feed in which some records have a number as text, a further field, a NULL or no id."""
+    text = F.col("value").cast("string")
+    kind = F.col("offset") % 11
+    spoiled = (
+        F.when(kind == 1, F.regexp_replace(text, '"quantity":([0-9]+)', '"quantity":"$1"'))
+        .when(kind == 2, F.regexp_replace(text, "^\\{", '{"coupon":"none",'))
+        .when(kind == 3, F.regexp_replace(text, '"category":"[^"]*"', '"category":null'))
+        .when(kind == 4, F.regexp_replace(text, '"event_id":"[^"]*",', ""))
+        .otherwise(text)
+    )
+    return records.withColumn("value", spoiled.cast("binary"))
+
+
 def product_state(part: DataFrame) -> DataFrame:
     """The captured table before the changes: all parts."""
     return part.select(

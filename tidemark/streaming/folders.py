@@ -104,12 +104,14 @@ class BatchTable:
     """Rows below ``path`` with their ``batch_id``; ``commits`` says which batches count.
 
     A batch costs what it brings. `fold` replaces the batches up to one by a smaller base, so that
-    reading does not grow with the number of batches; their folders can then be removed.
+    reading does not grow with the number of batches; their folders can then be removed. Rows that are
+    kept as they are stand ``apart``: each fold adds a base of its own and writes only what came since.
     """
 
     path: str
     fields: Mapping[str, str]
     commits: CommitLog
+    apart: bool = False
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Write one micro-batch; running it again replaces the same folder."""
@@ -134,13 +136,21 @@ class BatchTable:
         )
         if folded == NONE:
             return batches
-        base = spark.read.schema(batches.schema).parquet(f"{self.path}/base/upto={folded}")
-        return batches.unionByName(base)
+        if not self.apart:
+            base = spark.read.schema(batches.schema).parquet(f"{self.path}/base/upto={folded}")
+            return batches.unionByName(base)
+        base = spark.read.schema(f"{read_schema(self.fields)}, upto BIGINT").parquet(f"{self.path}/base")
+        marks = spark.read.schema("upto BIGINT").parquet(f"{self.path}/folded")
+        whole = base.join(marks, "upto", "left_semi")  # one without its mark was left by a crash
+        return batches.unionByName(whole.drop("upto"))
 
     def fold(
-        self, spark: SparkSession, upto: int, reduce: Callable[[DataFrame], DataFrame]
+        self,
+        spark: SparkSession,
+        upto: int,
+        reduce: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     ) -> None:
-        """Write ``reduce`` of all rows up to a batch as the new base.
+        """Write ``reduce`` of all rows up to a batch as the new base, or of those since the last one.
 
         Only batches before the newest finished one can be folded: that one may still be written again
         after a crash.
@@ -148,9 +158,13 @@ class BatchTable:
         newest = self.commits.newest(spark)
         if upto >= newest:
             raise ValueError(f"{self.path}: cannot fold batch {upto}, the newest finished one is {newest}")
-        if self._folded_up_to(spark) >= upto:
+        done = self._folded_up_to(spark)
+        if done >= upto:
             return
-        folded = reduce(self.read(spark, upto))
+        rows = self.read(spark, upto)
+        if self.apart:
+            rows = rows.filter(F.col("batch_id") > done)
+        folded = reduce(rows)
         folded.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
         _folded_mark(spark, upto).write.mode("overwrite").parquet(f"{self.path}/folded/marker={upto}")
 

@@ -32,7 +32,7 @@ LOG_FIELDS = {**ROW_FIELDS, "op": "string", "ts_ms": "bigint", "offset": "bigint
 
 
 @contextmanager
-def _changes_and_rejects(records: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+def changes_and_rejects(records: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
     """Flat applicable changes and dead letters of a micro-batch that is decoded once."""
     keep = ["offset"] if "offset" in records.columns else []
     decoded = decode_changes(records, CHANGE_FIELDS, keep).persist(StorageLevel.MEMORY_AND_DISK)
@@ -59,12 +59,12 @@ class ChangeLog:
 
     @property
     def dlq_table(self) -> BatchTable:
-        return BatchTable(f"{self.path}/dead_letters", DLQ_FIELDS, self.commits)
+        return BatchTable(f"{self.path}/dead_letters", DLQ_FIELDS, self.commits, apart=True)
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
         """Add one micro-batch of topic records; rejects go to the dead letters. Both count at once."""
         self.commits.begin(records.sparkSession, batch_id)
-        with _changes_and_rejects(records) as (changes, rejects):
+        with changes_and_rejects(records) as (changes, rejects):
             if "offset" not in changes.columns:
                 changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
             self.log.write(latest_change_per_key(changes), batch_id)
@@ -89,7 +89,7 @@ class ChangeLog:
             return decided if self.guard_stale else decided.filter(F.col("op") != OP_DELETE)
 
         self.log.fold(spark, upto, last)
-        self.dlq_table.fold(spark, upto, lambda rows: rows)
+        self.dlq_table.fold(spark, upto)
 
     def dlq(self, spark: SparkSession) -> DataFrame:
         return self.dlq_table.read(spark)
@@ -107,7 +107,7 @@ def merge_writer(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         kept.commits.begin(batch.sparkSession, batch_id)
-        with _changes_and_rejects(batch) as (changes, rejects):
+        with changes_and_rejects(batch) as (changes, rejects):
             merge_into_table(changes, target)
             kept.dlq_table.write(rejects, batch_id)
         kept.commits.finish(batch.sparkSession, batch_id)
