@@ -127,3 +127,28 @@ def test_scratch_uses_the_shared_folder_if_there_is_one(spark, tmp_path):
     for master in ("local[2]", "spark://host:1"):
         plain = session(**{"spark.master": master, "spark.sql.warehouse.dir": "hdfs://warehouse/"})
         assert scratch_dir(plain, "a").startswith("hdfs://warehouse/scratch/a-")
+
+
+@pytest.mark.parametrize(
+    "master, shared, warehouse, ok",
+    [
+        ("local[4]", "", "/tmp/w", True),
+        ("spark://host:7077", "", "file:/tmp/w", False),
+        ("yarn", "", "/tmp/w", False),
+        ("yarn", "", "hdfs://n/w", True),
+        ("yarn", "hdfs://n/c", "/tmp/w", True),
+    ],
+)
+def test_scratch_is_shared_or_refused(master, shared, warehouse, ok):
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                known = {"spark.master": master, "spark.sql.warehouse.dir": warehouse}
+                return shared if key == "spark.checkpoint.dir" else known.get(key, default)
+
+    if ok:
+        assert scratch_dir(Session, "x").startswith(shared or warehouse)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(Session, "x")

@@ -37,11 +37,6 @@ def at(text):
     return int(datetime.fromisoformat(f"{DAY}{text}+00:00").timestamp())
 
 
-def test_revenue_of_sales_only(raw):
-    stock = '{"event_type":"stock","event_id":"x","ts":"2025-01-01T10:00:00Z"}'
-    rows = sale_revenue(parse_events(raw([sale("a", DAY + "10:00:00Z", quantity=2, unit_price=10.0), stock])))
-    assert [r.revenue for r in rows.collect()] == [20.0]
-
 
 @pytest.mark.parametrize("window,slide", [("5 minutes", "2 minutes"), ("1 hour", "25 minutes")])
 def test_sliding_by_buckets_equals_expanding_rows(raw, window, slide):

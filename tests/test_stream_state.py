@@ -231,9 +231,9 @@ def test_a_fold_of_rows_apart_writes_new_rows_only(spark, tmp_path):
         return spark.createDataFrame([(str(n), "{}", "late")], "event_id string, raw_json string, dlq_reason string")
 
     for n in range(6):
-        table.commits.begin(spark, n)
+        slot = table.commits.begin(spark, n)
         table.write(letters(n), n)
-        table.commits.finish(spark, n)
+        table.commits.finish(spark, n, slot)
         if n in (2, 5):
             table.fold(spark, n - 1)
     bases = {p.name: spark.read.parquet(str(p)).count() for p in Path(table.path, "base").iterdir() if p.is_dir()}

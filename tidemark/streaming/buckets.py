@@ -81,7 +81,7 @@ class BucketedState:
     def apply(self, records: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch of topic records. Running it again writes the same slots again."""
         spark = records.sparkSession
-        self.commits.begin(spark, batch_id)
+        slot = self.commits.begin(spark, batch_id)
         with changes_and_rejects(records) as (changes, rejects):
             if "offset" not in changes.columns:
                 changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
@@ -96,7 +96,7 @@ class BucketedState:
                 self.dlq_table.write(rejects, batch_id)
             finally:
                 latest.unpersist()
-        self.commits.finish(spark, batch_id)
+        self.commits.finish(spark, batch_id, slot)
 
     def _rewrite(self, latest: DataFrame, batch_id: int) -> None:
         spark = latest.sparkSession

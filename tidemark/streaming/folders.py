@@ -61,32 +61,36 @@ class CommitLog:
         unfinished = _mark_row(spark, NONE, finished=False)
         unfinished.write.mode("ignore").parquet(f"{self.path}/slot=0")
 
-    def begin(self, spark: SparkSession, batch_id: int) -> None:
-        """To be called before a batch writes anything.
+    def begin(self, spark: SparkSession, batch_id: int) -> int:
+        """To be called before a batch writes anything; the slot for its mark.
 
         A stream that starts anew on the tables of another one would replace or repeat its rows, so
         a batch below the newest finished one is refused. Writing the newest batch again is a replay
         after a crash: its mark is taken back first.
         """
         self.prepare(spark)
-        newest = self.newest(spark)
+        marks = self._marks(spark)
+        newest = max((b for b, finished, _ in marks.values() if finished), default=NONE)
         if batch_id < newest:
             raise ValueError(
                 f"{self.path} holds batches up to {newest}; batch {batch_id} belongs to another "
                 "stream: keep its checkpoint, or use a new folder"
             )
-        self._mark(spark, batch_id, finished=False)
-
-    def finish(self, spark: SparkSession, batch_id: int, high: DataFrame | None = None) -> None:
-        """Make a batch count. ``high`` is one row with the value to keep."""
-        self._mark(spark, batch_id, finished=True, high=high)
-
-    def _mark(self, spark, batch_id: int, finished: bool, high: DataFrame | None = None) -> None:
-        marks = self._marks(spark)
         own = [slot for slot, (batch, _, _) in marks.items() if batch == batch_id]
         oldest = sorted({0, 1}, key=lambda slot: marks.get(slot, (NONE - 1,))[0])
+        slot = (own or oldest)[0]
+        self._mark(spark, slot, batch_id, finished=False)
+        return slot
+
+    def finish(
+        self, spark: SparkSession, batch_id: int, slot: int, high: DataFrame | None = None
+    ) -> None:
+        """Make a batch count; ``slot`` is what `begin` gave. ``high`` is one row with the value to keep."""
+        self._mark(spark, slot, batch_id, finished=True, high=high)
+
+    def _mark(self, spark, slot: int, batch_id: int, finished: bool, high: DataFrame | None = None) -> None:
         row = _mark_row(spark, batch_id, finished, high)
-        row.write.mode("overwrite").parquet(f"{self.path}/slot={(own or oldest)[0]}")
+        row.write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
 
 
 def _mark_row(
@@ -114,11 +118,12 @@ class BatchTable:
     apart: bool = False
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch; running it again replaces the same folder."""
+        """Write one micro-batch that `CommitLog.begin` let pass; running it again replaces its folder.
+
+        A batch that is folded here is below the newest finished one, so it does not get this far.
+        """
         unfolded = _folded_mark(rows.sparkSession, NONE)
         unfolded.write.mode("ignore").parquet(f"{self.path}/folded/marker={NONE}")
-        if self._folded_up_to(rows.sparkSession) >= batch_id:
-            raise ValueError(f"{self.path}: batch {batch_id} of another stream is folded here")
         write_batch(rows.select(*self.fields), f"{self.path}/batches", batch_id)
 
     def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
@@ -197,9 +202,9 @@ class Versions:
 
     def apply(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        self.table.commits.begin(spark, batch_id)
+        slot = self.table.commits.begin(spark, batch_id)
         self.table.write(rows, batch_id)
-        self.table.commits.finish(spark, batch_id)
+        self.table.commits.finish(spark, batch_id, slot)
 
     def _newest(self, versions: DataFrame) -> DataFrame:
         return last_per_key(versions, list(self.keys), ["batch_id"])
@@ -228,9 +233,9 @@ class Snapshots:
 
     def apply(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        self.commits.begin(spark, batch_id)
+        slot = self.commits.begin(spark, batch_id)
         rows.select(*self.fields).write.mode("overwrite").parquet(self._slot(batch_id))
-        self.commits.finish(spark, batch_id)
+        self.commits.finish(spark, batch_id, slot)
 
     def current(self, spark: SparkSession) -> DataFrame:
         newest = self.commits.newest(spark)

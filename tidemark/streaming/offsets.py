@@ -93,13 +93,13 @@ class OffsetLedger:
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
         spark = records.sparkSession
-        self.table.commits.begin(spark, batch_id)
+        slot = self.table.commits.begin(spark, batch_id)
         self.table.write(offset_runs(records), batch_id)
         if self.strict:
             again = self.again(spark, batch_id)
             if again is not None:
                 raise ValueError(f"{self.path}: batch {batch_id} brings offsets {again} again")
-        self.table.commits.finish(spark, batch_id)
+        self.table.commits.finish(spark, batch_id, slot)
 
     def again(self, spark: SparkSession, batch_id: int) -> tuple[int, int] | None:
         """The first offsets of a batch that an earlier batch has."""

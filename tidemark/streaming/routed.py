@@ -72,7 +72,7 @@ class RoutedTables:
         replace their folder, so a replay after a crash gives the same tables. The mark with the
         greatest event time is written last and makes the batch count."""
         spark = records.sparkSession
-        self.commits.begin(spark, batch_id)
+        slot = self.commits.begin(spark, batch_id)
         self.replayed_table.commits.prepare(spark)
         micros = self.commits.high(spark, batch_id - 1)
         before = F.timestamp_micros(F.lit(micros).cast("bigint"))
@@ -90,7 +90,7 @@ class RoutedTables:
                 self.seen.write(routed.filter(valid), batch_id)
             seen = F.max(F.when(valid, F.col("event_time")))
             high = routed.agg(F.greatest(seen, before).alias("high"))
-            self.commits.finish(spark, batch_id, high)
+            self.commits.finish(spark, batch_id, slot, high)
 
     def _without_copies(self, routed: DataFrame, batch_id: int, micros: int | None) -> DataFrame:
         """Malformed records, and the first copy of every id not seen in an earlier batch.
@@ -143,9 +143,9 @@ class RoutedTables:
         done, newest = table.commits.newest(spark), self.commits.newest(spark)
         if newest > done:
             late = self.dlq_table.read(spark, newest).filter(F.col("batch_id") > done)
-            table.commits.begin(spark, newest)
+            slot = table.commits.begin(spark, newest)
             table.write(revenue_parts(replayable_events(late), self.window), newest)
-            table.commits.finish(spark, newest)
+            table.commits.finish(spark, newest, slot)
         return newest
 
     def fold(self, spark: SparkSession, upto: int) -> None:

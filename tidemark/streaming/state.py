@@ -63,13 +63,13 @@ class ChangeLog:
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
         """Add one micro-batch of topic records; rejects go to the dead letters. Both count at once."""
-        self.commits.begin(records.sparkSession, batch_id)
+        slot = self.commits.begin(records.sparkSession, batch_id)
         with changes_and_rejects(records) as (changes, rejects):
             if "offset" not in changes.columns:
                 changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
             self.log.write(latest_change_per_key(changes), batch_id)
             self.dlq_table.write(rejects, batch_id)
-        self.commits.finish(records.sparkSession, batch_id)
+        self.commits.finish(records.sparkSession, batch_id, slot)
 
     def writer(self, records: DataFrame, checkpoint: str) -> DataStreamWriter:
         return each_batch(records, self.apply, checkpoint)
@@ -106,10 +106,10 @@ def merge_writer(
     kept = ChangeLog(path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        kept.commits.begin(batch.sparkSession, batch_id)
+        slot = kept.commits.begin(batch.sparkSession, batch_id)
         with changes_and_rejects(batch) as (changes, rejects):
             merge_into_table(changes, target)
             kept.dlq_table.write(rejects, batch_id)
-        kept.commits.finish(batch.sparkSession, batch_id)
+        kept.commits.finish(batch.sparkSession, batch_id, slot)
 
     return each_batch(records, apply, checkpoint)
