@@ -1,5 +1,6 @@
 """Best-fit packing against the tokenizer itself and against the rules of a packing."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,14 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import documents
-from tidemark.llm.packing import VOCABULARY, pack, plan
+from tidemark.llm.packing import (
+    VOCABULARY,
+    _vocabulary,
+    best_fit_groups,
+    pack,
+    plan,
+    token_bytes,
+)
 
 DDL = "doc_id bigint, text string, start string, piece string"
 
@@ -104,3 +112,27 @@ def test_plan_places_every_piece_once(histogram):
             at += length
         assert at <= 64
     assert placement.sequences <= 1.05 * first_fit(histogram, 64) + 3
+    lengths = np.array(sorted(histogram))
+    counts = np.array([histogram[int(n)] for n in lengths])
+    assert placement.bound <= placement.sequences
+    assert placement.sequences <= sum(n for _, n in best_fit_groups(lengths, counts, 64, []))
+
+
+def test_close_to_the_bound():
+    """Where the program wins, where best fit wins, and how far both are from the bound."""
+    rng = np.random.default_rng(3)
+    for low, high, gap in ((1, 2049, 1.005), (300, 700, 1.03)):
+        histogram = Counter(rng.integers(low, high, 20_000).tolist())
+        placement = plan(histogram)
+        assert placement.bound <= placement.sequences <= gap * placement.bound
+
+
+def test_ids_of_odd_words(tokenizer):
+    """Cases, accents, combining marks, tails and marks of its own, also when the table is full."""
+    rng = random.Random(6)
+    alphabet = list("aAbZ09éÉßİıΣς€—’'.,!%#&|<>*-_ÅåÅ") + ["e\u0301", "\u0301", "'s", "<|", "|>", "<|endoftext|>", "中", "१", "\u0958", "ǰ", "ŉ"]
+    words = _vocabulary(VOCABULARY)
+    for _ in range(4000):
+        text = "".join(rng.choices(alphabet + [" ", "\n"], k=rng.randrange(1, 14)))
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert np.frombuffer(token_bytes(text.encode(), words), "<u4").tolist() == want, text

@@ -5,7 +5,8 @@ histogram by as few configurations as it can. Multiplicative weights solve it: e
 price, a knapsack dynamic program finds the configuration of the greatest total price, that one is
 used for a share of what it can serve, and the prices of the lengths it served fall. The fractional
 solution is rounded down, what is left is solved again, and the rest is filled best-fit by group of
-equal sequences. All of that works on the histogram, which has at most ``capacity`` rows, so its
+equal sequences. Pricing also gives a bound from below, and stops where best fit alone meets it; of all
+completions the one with the fewest sequences counts. All of that works on the histogram, which has at most ``capacity`` rows, so its
 cost does not depend on the number of documents.
 
 Placing is distributed: a piece's rank among the pieces of its length decides its sequence.
@@ -14,7 +15,9 @@ Placing is distributed: a piece's rank among the pieces of its length decides it
 from __future__ import annotations
 
 import math
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +31,10 @@ CAPACITY = 2048
 END_OF_TEXT = 0
 VOCABULARY = "word_bpe_49k.json"
 ROWS_PER_BUCKET = 20_000
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 ROUNDS, PRICINGS, SHARE = 2, 256, 0.5
+#: From which share of a full sequence on configurations of the program are kept, in turn.
+FILLS = (0.0, 0.95, 0.98, 0.99, 0.995, 0.999, 1.0)
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -39,7 +44,8 @@ class WordIds(dict):
 
     The tokenizer drops white space before it splits, so a text's ids are those of its words in
     order. Words of letters with a tail of plain punctuation are looked up in two parts, as the
-    tokenizer itself splits there. The table is emptied when it has ``CACHE_WORDS`` entries.
+    tokenizer itself splits there. Of words, the last ``CACHE_WORDS`` to twice as many are held: a full
+    table becomes the older one, and words that are met again move on.
     """
 
     PLAIN_TAIL = b".,!?*&$%#|;:()"
@@ -49,15 +55,29 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def _ends_apart(head: bytes) -> bool:
+        """Whether punctuation behind it is a piece of its own: it ends in a letter, or an ASCII digit.
+
+        Some letters end in a mark once they are composed and lower-cased, as the tokenizer does.
+        """
+        if head[-1] < 128:
+            return head[-1:].isalnum()
+        return unicodedata.normalize("NFC", head.decode()[-1]).lower().isalpha()
 
     def __missing__(self, word: bytes) -> bytes:
-        head = word.rstrip(self.PLAIN_TAIL)
-        if head and head != word and head[-1:].isalnum():
-            found = self[head] + self[word[len(head) :]]
-        else:
-            encoded = self.tokenizer.encode(word.decode(), add_special_tokens=False)
-            found = np.array(encoded.ids, "<u4").tobytes()
+        found = self.older.get(word)
+        if found is None:
+            head = word.rstrip(self.PLAIN_TAIL)
+            if head and head != word and self._ends_apart(head):
+                found = self[head] + self[word[len(head) :]]
+            else:
+                encoded = self.tokenizer.encode(word.decode(), add_special_tokens=False)
+                found = array("I", encoded.ids).tobytes()
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
         self[word] = found
         return found
@@ -77,6 +97,8 @@ def _vocabulary(path: str) -> WordIds:
 
 def token_bytes(text: bytes, words: WordIds) -> bytes:
     """All ids of a document, the end id included, as little-endian 32-bit bytes."""
+    if b"<|" not in text:  # the tokenizer lower-cases all but its own marks
+        text = text.lower()
     parts = text.replace(b"\n", b" ").split(b" ")
     return b"".join(map(words.__getitem__, parts)) + END_OF_TEXT.to_bytes(4, "little")
 
@@ -105,8 +127,10 @@ def tokenised_pieces(
     return map_texts(id_and_text(docs), PIECES, pieces)
 
 
-def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int, int]:
-    """Unbounded knapsack: the multiset of lengths within ``capacity`` of the greatest price."""
+def best_configuration(
+    lengths: np.ndarray, prices: np.ndarray, capacity: int
+) -> tuple[dict[int, int], float]:
+    """Unbounded knapsack: the multiset of lengths within ``capacity`` of the greatest price, and that."""
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
@@ -125,17 +149,27 @@ def best_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -
             continue
         chosen[int(choice[c])] = chosen.get(int(choice[c]), 0) + 1
         c -= int(lengths[choice[c]])
-    return chosen
+    return chosen, float(best[capacity])
 
 
-def priced_round(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict, int]]:
-    """One fractional solution by multiplicative weights, rounded down so that nothing is overused."""
+def priced_round(
+    lengths: np.ndarray, counts: np.ndarray, capacity: int, enough: float
+) -> tuple[list[tuple[dict, int]], float]:
+    """One fractional solution by multiplicative weights, rounded down so that nothing is overused.
+
+    Prices divided by the greatest price of a configuration are a dual solution: what all pieces cost is
+    a bound below which no packing goes. It is returned; once it reaches ``enough`` pricing stops.
+    """
+    bound = 0.0
     covered = np.zeros(len(lengths))
     used: dict[tuple, float] = {}
     base = lengths / capacity
     for _ in range(PRICINGS):
         prices = base * np.exp(-covered / counts)
-        config = best_configuration(lengths, prices, capacity)
+        config, dearest = best_configuration(lengths, prices, capacity)
+        bound = max(bound, float((counts * prices).sum()) / dearest)
+        if bound > enough:
+            break
         at = np.fromiter(config, np.int64)
         times = np.fromiter(config.values(), np.float64)
         step = SHARE * float((counts[at] / times).min())
@@ -152,7 +186,7 @@ def priced_round(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list
                 left[i] -= n * m
             rounded.append((dict(key), int(n)))
     counts[:] = left
-    return rounded
+    return rounded, bound
 
 
 def best_fit_groups(lengths, counts, capacity: int, started) -> list[tuple[dict, int]]:
@@ -201,6 +235,7 @@ class Placement:
     offset: np.ndarray
     length: np.ndarray
     sequences: int
+    bound: int  # no packing has fewer sequences
 
     SHIFT = 45
 
@@ -211,20 +246,46 @@ class Placement:
         return sequence, self.offset[at] + (inside % self.times[at]) * length
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Placement:
-    """Configurations for a length histogram, as ranges of ranks."""
+def fewest(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[dict, int]], int]:
+    """Configurations (index of length -> times, how many) for all pieces, and a bound from below.
+
+    Rounding leaves pieces over, and a configuration that wastes room is best opened again. So the
+    rounded program is completed by best fit from several points, from all of its configurations to none
+    of them, and the least number of sequences counts: never more than best fit alone needs.
+    """
     lengths = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[int(n)] for n in lengths], np.int64)
-    chosen: list[tuple[dict, int]] = []
-    for _ in range(ROUNDS):
-        live = counts > 0
-        if not live.any():
+    best = best_fit_groups(lengths, counts, capacity, [])
+    fewest_yet = sum(n for _, n in best)
+    bound = math.ceil(int((lengths * counts).sum()) / capacity)
+    left, program = counts.copy(), []
+    for number in range(ROUNDS):
+        live = left > 0
+        if not live.any() or bound >= fewest_yet:
             break
-        index, part = np.flatnonzero(live), counts[live].copy()
-        for config, n in priced_round(lengths[live], part, capacity):
-            chosen.append(({int(index[i]): m for i, m in config.items()}, n))
-        counts[live] = part
-    chosen = best_fit_groups(lengths, counts, capacity, chosen)
+        index, part = np.flatnonzero(live), left[live].copy()
+        rounded, below = priced_round(lengths[live], part, capacity, fewest_yet - 1 if number == 0 else math.inf)
+        if number == 0:
+            bound = max(bound, math.ceil(below - 1e-6))
+        program += [({int(index[i]): m for i, m in config.items()}, n) for config, n in rounded]
+        left[live] = part
+    for least_full in FILLS:
+        kept, rest = [], counts.copy()
+        for config, n in program:
+            if sum(int(lengths[i]) * m for i, m in config.items()) >= least_full * capacity:
+                kept.append((config, n))
+                for i, m in config.items():
+                    rest[i] -= m * n
+        completed = best_fit_groups(lengths, rest, capacity, kept)
+        if sum(n for _, n in completed) < fewest_yet:
+            best, fewest_yet = completed, sum(n for _, n in completed)
+    return best, bound
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Placement:
+    """Configurations for a length histogram, as ranges of ranks."""
+    lengths = np.array(sorted(histogram), np.int64)
+    chosen, bound = fewest(histogram, capacity)
     next_rank = np.zeros(len(lengths), np.int64)
     rows, sequence = [], 0
     for config, n in chosen:
@@ -237,7 +298,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Placement:
     table = np.array(sorted(rows), np.int64).reshape(-1, 5)
     length, first, times, seq, offset = table.T
     return Placement(
-        (length << Placement.SHIFT) + first, first, times, seq, offset, length, sequence
+        (length << Placement.SHIFT) + first, first, times, seq, offset, length, sequence, bound
     )
 
 
