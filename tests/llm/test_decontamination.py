@@ -9,10 +9,11 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import benchmark, documents
+from tidemark.llm import decontamination
 from tidemark.llm.decontamination import (
     benchmark_items,
     benchmark_matches,
-    block_edges,
+    near_values,
     simhash,
     within_radius,
     without_benchmark,
@@ -102,17 +103,21 @@ def test_all_fingerprints_within_the_radius_are_found(spark):
         [(i, 0, 9, p) for i, p in enumerate(prints)], "doc_id bigint, start int, n_words int, fingerprint bigint"
     )
     items = spark.createDataFrame(
-        [(i, 9, p) for i, p in enumerate(near)], "item_id bigint, n_words int, fingerprint bigint"
+        [(i, 9, p) for i, p in enumerate(near)], "item bigint, n_words int, fingerprint bigint"
     )
-    got = {(r.doc_id, r.item_id) for r in within_radius(windows, items).collect()}
-    want = {
+    for radius in (15, 0, 7):
+        got = {(r.doc_id, r.item) for r in within_radius(windows, items, radius).collect()}
+        assert got == within(prints, near, radius)
+    assert len(near_values(3)) == 1 + 16 + 120 + 560
+
+
+def within(prints, near, radius):
+    return {
         (i, k)
         for i, p in enumerate(prints)
         for k, q in enumerate(near)
-        if bin((p ^ q) & ((1 << 64) - 1)).count("1") <= 15
+        if bin((p ^ q) & ((1 << 64) - 1)).count("1") <= radius
     }
-    assert got == want
-    assert sum(width for _, width in block_edges()) == 64
 
 
 def test_simhash_is_the_majority(spark):
@@ -136,10 +141,15 @@ def test_odd_rows(spark):
     docs += [(3, f"x {passage} y", "d", 4), (4, "Short Text", "e", 5), (5, "z " * 50_000, None, None)]
     docs += [(6, f"{passage.upper()} and {passage}", "f", 6)]
     items = [(7, passage), (7, passage), (8, None), (9, ""), (None, passage), (10, "short  text")]
+    items += [(11, "short text"), (11, passage)]  # all texts of an item count
     docs = spark.createDataFrame(docs, "doc_id bigint, text string, words string, start int")
     items = spark.createDataFrame(items, "item_id bigint, text string")
     rows = benchmark_matches(docs, items).collect()
-    assert sorted(map(tuple, rows)) == [(3, 7, 1, 1.0), (4, 10, 0, 1.0), (6, 7, 0, 1.0)]
+    got = sorted(map(tuple, rows), key=repr)
+    want = [(3, 7, 1, 1.0), (3, 11, 1, 1.0), (3, None, 1, 1.0), (4, 10, 0, 1.0), (4, 11, 0, 1.0)]
+    want += [(6, 7, 0, 1.0), (6, 11, 0, 1.0), (6, None, 0, 1.0)]
+    assert got == sorted(want, key=repr)
+    assert sorted(map(tuple, benchmark_matches(docs, items, radius=0).collect()), key=repr) == got
     kept = without_benchmark(docs, items)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 5, None]
@@ -168,3 +178,71 @@ def test_passages_that_break_off_at_the_threshold(spark):
     ).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == {(i, i) for i in range(len(items))}
     assert min(r.similarity for r in rows) >= 0.75
+
+
+def matched(spark, docs, items):
+    rows = benchmark_matches(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+    ).collect()
+    return {(r.doc_id, r.item_id) for r in rows}
+
+
+def shifted(seed):
+    """Passages with a word put in or left out in the middle: no place has most of the shingles."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items, docs = [], []
+    for n in (50, 100, 200, 500):
+        for k in range(30):
+            item = rng.choices(vocabulary, k=n)
+            passage = list(item)
+            for _ in range(1 + k % 3):
+                at = rng.randrange(n // 3, 2 * n // 3)
+                passage[at : at + k % 2] = [] if k % 2 else ["new"]
+            docs.append((len(items), " ".join(rng.choices(vocabulary, k=30) + passage + rng.choices(vocabulary, k=30))))
+            items.append((len(items), " ".join(item)))
+    return docs, items
+
+
+def test_only_fingerprints_find_shifted_passages(spark, monkeypatch):
+    """Recall against brute force with the step, and what is lost without it."""
+    docs, items = shifted(9)
+    want = {(d, i) for d, i, _ in brute_of_same_number(docs, items)}
+    found = matched(spark, docs, items)
+    assert found <= want and len(found) >= 0.97 * len(want)
+    monkeypatch.setattr(
+        decontamination, "within_radius", lambda windows, items, radius: windows.join(items, "n_words").select(
+            *windows.drop("fingerprint").columns, "item").limit(0)
+    )
+    assert len(matched(spark, docs, items)) < 0.5 * len(want)
+
+
+def brute_of_same_number(docs, items):
+    """Brute force of each passage with its own item only; others share no more than chance."""
+    return {row for d, i in zip(docs, items) for row in brute([d], [i])}
+
+
+def test_a_phrase_of_all_items_makes_no_pairs(spark):
+    rng = random.Random(2)
+    phrase = "as we all know now"
+    docs = [(i, " ".join(f"d{rng.randrange(9999)}" for _ in range(40)) + f" {phrase} end") for i in range(400)]
+    items = [(i, " ".join(f"i{i}x{k}" for k in range(25)) + f" {phrase} last") for i in range(200)]
+    docs_, items_ = (
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        benchmark_items(spark.createDataFrame(items, "item_id bigint, text string")),
+    )
+    placed = decontamination.windows_with_shingles_enough(docs_, decontamination.stored(items_, "t"), 75)
+    assert placed.count() == 0
+    assert matched(spark, docs, items) == set()
+
+
+def test_columns_with_names_of_the_operator(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    docs = spark.createDataFrame(
+        [(1, passage, 1, 2, "x"), (2, "other", 1, 2, "y")],
+        "doc_id bigint, text string, _found bigint, item int, start string",
+    )
+    items = spark.createDataFrame([(7, passage)], "item_id bigint, text string")
+    kept = without_benchmark(docs, items)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, "other", 1, 2, "y")]
