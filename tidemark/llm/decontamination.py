@@ -159,6 +159,7 @@ def within_radius(windows: DataFrame, items: DataFrame, radius: int = RADIUS) ->
         "item", "n_words", "other", "block",
         F.col("value").bitwiseXOR(F.col("difference").cast("bigint")).alias("value"),
     )
+    right = stored(right, "benchmark-values")  # many rows an item: joined by the size they have
     near = left.join(right, ["n_words", "block", "value"]).filter(
         F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))) <= radius
     )
