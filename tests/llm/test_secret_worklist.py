@@ -3,8 +3,11 @@
 import base64
 import gzip
 import hashlib
+import random
 import re
+import time
 import urllib.parse
+import zlib
 
 import pytest
 from conftest import SF_DIR
@@ -12,7 +15,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm.common import documents
-from tidemark.llm.secret_worklist import base_spans, scan, scan_secrets
+from tidemark.llm.secret_worklist import (
+    PIECE,
+    Layer,
+    base_spans,
+    inner_layers,
+    scan,
+    scan_secrets,
+)
 
 SECRET = 'password = "hunter2-hunter2"'
 
@@ -86,6 +96,84 @@ def test_layers_that_repeat_end():
     assert scan("%25" * 2000)[1] == [] and scan("A" * 100_000)[1] == []
 
 
+def inside(text, part, kind="assign"):
+    """Spans that only a layer shows, within a part of the text."""
+    base, every = scan(text)
+    start = text.index(part)
+    return [s for s in every if s not in base and s[2] == kind and start <= s[0] and s[1] <= start + len(part)]
+
+
+def wrapped(raw, width=76):
+    whole = base64.b64encode(raw).decode()
+    return "\n".join(whole[i : i + width] for i in range(0, len(whole), width))
+
+
+def test_what_lies_deep_in_compressed_data():
+    """Behind many megabytes, in a second member, over the border of two pieces."""
+    far = gzip.compress(b"filler line\n" * 1_700_000 + SECRET.encode())
+    assert inside(part := base64.b64encode(far).decode(), part)
+    second = gzip.compress(b"nothing here") + gzip.compress(SECRET.encode())
+    assert inside(part := base64.b64encode(second).decode(), part)
+    for before in (PIECE - 10, PIECE - 1, PIECE):
+        border = zlib.compress(b"x" * before + b" " + SECRET.encode() + b" y" * 50)
+        assert inside(part := base64.b64encode(border).decode(), part)
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_wrapped_lines_are_one_run(ends):
+    plain_text = ("some text before it " * 9 + SECRET + " and text behind it" * 5).encode()
+    for raw in (plain_text, gzip.compress(plain_text)):
+        part = wrapped(raw, 40).replace("\n", ends)
+        for text in (f"Mail:{ends}{ends}{part}{ends}{ends}bye", f"{part}{ends}-- signed", f"{part}{ends}bye"):
+            found = inside(text, part)
+            assert found, text
+            assert all(text[s:e].strip("\r\n") for s, e, _ in found)
+
+
+def test_runs_behind_words_of_a_path():
+    part = sixty_four(SECRET + " and more of it")
+    for before in ("https://h.io/cb/", "key_", "a-b+", "/"):
+        assert inside(f"see {before}{part} ok", part)
+
+
+def test_a_run_of_many_separators_costs_its_length():
+    rng = random.Random(1)
+    noise = base64.b64encode(rng.randbytes(3_000_000)).decode()
+    started = time.process_time()
+    assert [s for s in scan(noise)[1] if s[2] == "assign"] == []
+    assert time.process_time() - started < 20
+
+
+def test_a_bad_entity_is_left_alone():
+    assert scan("pass&#fa;word=hunter2x") == ([], [])
+    assert inside("&#112;assword=hunter2x", "&#112;assword=hunter2x")
+    assert inside("&#x70;assword=hunter2x", "&#x70;assword=hunter2x")
+
+
+def test_origins_cost_runs_and_not_characters():
+    layer = next(inner_layers(Layer.outermost("a" * 500_000 + "%41" + "b" * 500_000)))
+    assert len(layer.at) == 3 and layer.source(0, 1) == (0, 1)
+    assert layer.source(500_000, 500_001) == (500_000, 500_003)
+    assert layer.source(500_001, 500_002) == (500_003, 500_004)
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.sampled_from([quoted, escaped, sixty_four, zipped]), min_size=1, max_size=4),
+    st.text("ab c\né", max_size=30),
+    st.text("xy z\n", max_size=30),
+)
+def test_random_nestings_equal_unwrapping_by_hand(layers, before, after):
+    inner = SECRET
+    for k, wrap in enumerate(layers):
+        inner = wrap(f"{before} {inner} {after}" if k else inner)
+    text = f"{before} {inner} {after}"
+    start = text.index(inner)
+    every = scan(text)[1]
+    assert any(start <= s and e <= start + len(inner) and kind == "assign" for s, e, kind in every)
+    assert all(text[s:e] for s, e, _ in every)
+
+
 def test_whole_table_and_odd_rows(spark):
     rows = scan_secrets(documents(spark, SF_DIR)).collect()
     texts = {r.doc_id: r.text for r in documents(spark, SF_DIR).collect()}

@@ -1,24 +1,28 @@
 """Secret scan by a recursive decoding worklist.
 
 A text is the first layer. Every layer is scanned for secrets, and every run in it that decodes
-(URL escapes, Unicode and byte escapes, base64 of either alphabet, gzip or zlib data inside base64) is
-put on the worklist as a layer of its own. That goes on until no new layer appears. A layer whose
-content was seen in the same text before is not scanned again, which ends cycles. Each layer keeps, for
-every character, where it came from in the text, so a secret in a deep layer has a span in the text.
-
-All layers of one text are handled in one task; a layer is never larger than its source but for
-decompression, whose output is bounded by ``INFLATED`` bytes per stream.
+(URL escapes, Unicode and byte escapes, base64 of either alphabet, also wrapped over lines or behind a
+word of a path, gzip or zlib data inside base64, all members of it) is put on the worklist as a layer of its
+own. That goes on until no new layer appears. A layer whose content was seen in the same text before is not
+scanned again, which ends cycles. Each layer keeps where its characters came from in the text, as runs of
+equal steps, so a secret in a deep layer has a span in the text.
+
+All layers of one text are handled in one task. Compressed data is inflated piece by piece; a piece is a
+layer of about ``PIECE`` characters that begins with the last ``OVERLAP`` of the one before, so that memory is
+bounded by a piece per depth and nothing is cut off. What is itself encoded and longer than the overlap
+may lie over the border of two pieces, and is then found in parts.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -34,12 +38,18 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 SHORTEST_VALUE, SHORTEST_ACCESS = 6, 20
 
-INFLATED = 16 << 20
+PIECE, OVERLAP = 4 << 20, 256 << 10
 SHORTEST_BASE64 = 16
+#: What is decoded of a run to see whether it is anything, before all of it is.
+TASTE = 64
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#x?[0-9A-Fa-f]{1,6};)+")
-_ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]+)\}|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]+);|&#([0-9]+);")
+_ONE = r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
+_ONE_ESCAPE = re.compile(_ONE)
+_ESCAPE = re.compile("(?:" + re.sub(r"\((?!\?)", "(?:", _ONE) + ")+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % SHORTEST_BASE64)
+#: Lines of base64 of at least that length, each but the last as long as the first.
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{%d,}(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}" % SHORTEST_BASE64)
+_SEPARATOR = re.compile(r"[/_+-]+")
 _KEYWORDS = re.compile(r"pass|secret|token|api", re.IGNORECASE | re.ASCII)
 
 Span = tuple[int, int, str]
@@ -60,18 +70,44 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-@dataclass
 class Layer:
-    """A decoded text; character i came from ``origin[i]`` (start, end) of the outermost text."""
+    """A decoded text and where it came from in the outermost one, by runs.
+
+    Run i covers the characters from ``at[i]`` to ``at[i + 1]``. Those of a run with step 1 came from
+    consecutive places from ``first[i]`` on, those of a run with step 0 all from ``first[i]`` to ``last[i]``.
+    """
+
+    def __init__(self, text: str, at: list[int], first: list[int], last: list[int], step: list[int]):
+        self.text, self.at, self.first, self.last, self.step = text, at, first, last, step
 
-    text: str
-    origin: list[tuple[int, int]] | None  # None: the outermost text itself
+    @classmethod
+    def outermost(cls, text: str) -> Layer:
+        return cls(text, [0], [0], [len(text)], [1])
+
+    @classmethod
+    def whole(cls, text: str, source: tuple[int, int]) -> Layer:
+        """A text that came from one place as a whole."""
+        return cls(text, [0], [source[0]], [source[1]], [0])
+
+    def _place(self, i: int) -> tuple[int, int]:
+        run = bisect_right(self.at, i) - 1
+        if not self.step[run]:
+            return self.first[run], self.last[run]
+        place = self.first[run] + i - self.at[run]
+        return place, place + 1
 
     def source(self, start: int, end: int) -> tuple[int, int]:
-        if self.origin is None:
-            return start, end
-        part = self.origin[start:end]
-        return min(p[0] for p in part), max(p[1] for p in part)
+        """Decoding keeps the order of places, so the two ends tell the span."""
+        return self._place(start)[0], self._place(end - 1)[1]
+
+    def runs(self, start: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+        """(length, first, last, step) of the runs of a part."""
+        run = bisect_right(self.at, start) - 1
+        while start < end:
+            stop = min(end, self.at[run + 1] if run + 1 < len(self.at) else end)
+            first = self.first[run] + (start - self.at[run]) * self.step[run]
+            yield stop - start, first, self.last[run], self.step[run]
+            start, run = stop, run + 1
 
 
 def _decoded_escapes(run: str) -> list[tuple[str, int, int]]:
@@ -110,57 +146,162 @@ def _decoded_url(run: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def inflated(raw: bytes) -> bytes | None:
-    """The content of gzip or zlib data, or None; at most ``INFLATED`` bytes of it."""
-    if raw[:2] != b"\x1f\x8b" and not (raw[:1] == b"\x78" and len(raw) > 2):
-        return None
-    try:
-        return zlib.decompressobj(wbits=47).decompress(raw, INFLATED) or None
-    except zlib.error:
-        return None
-
-
-def _readable(raw: bytes) -> str | None:
-    """UTF-8 text without control characters but white space, or None."""
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def is_compressed(raw: bytes) -> bool:
+    """Whether data starts like gzip or zlib data."""
+    return raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0)
+
+
+def inflated(raw: bytes) -> Iterator[bytes]:
+    """The content of gzip or zlib data by pieces, one member after the other, as far as it can be read."""
+    while is_compressed(raw):
+        member, data = zlib.decompressobj(wbits=47), raw
+        try:
+            while data and not member.eof:
+                piece = member.decompress(data, PIECE)
+                data = member.unconsumed_tail
+                if piece:
+                    yield piece
+        except zlib.error:
+            return
+        raw = member.unused_data
+
+
+def _readable(text: str) -> bool:
+    """No control characters but white space."""
+    return all(c.isprintable() or c in "\t\n\r" for c in text) if text else False
+
+
+def _text_pieces(raw: bytes) -> Iterator[str]:
+    """Compressed data as pieces of text that overlap; ends where it is no text."""
+    decoder, kept = codecs.getincrementaldecoder("utf-8")(), ""
+    for piece in inflated(raw):
+        try:
+            text = decoder.decode(piece)
+        except UnicodeDecodeError:
+            return
+        if text and not _readable(text):
+            return
+        kept = kept[-OVERLAP:] + text
+        if text:
+            yield kept
 
 
-def unpacked(run: str) -> str | None:
-    """The text inside a base64 run, through compression if there is any; None if there is no text."""
+def _raw(run: str) -> bytes | None:
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     body = body[: len(body) - (len(body) % 4 == 1)]
     try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except binascii.Error:
         return None
-    if len(raw) < 6:
-        return None
-    return _readable(inflated(raw) or raw)
+
+
+def _readable_start(raw: bytes) -> str:
+    """The text that data begins with, up to what is no UTF-8 or a control character."""
+    try:
+        text = raw.decode()
+    except UnicodeDecodeError as error:
+        text = raw[: error.start].decode()
+    if _readable(text):
+        return text
+    end = next((i for i, c in enumerate(text) if not (c.isprintable() or c in "\t\n\r")), len(text))
+    return text[:end]
+
+
+def _promises(run: str) -> bool:
+    """Whether the beginning of a run decodes to compressed data or to text."""
+    taste = _raw(run[:TASTE].rstrip("="))
+    if taste is None or len(taste) < 6:
+        return False
+    return is_compressed(taste) or len(_readable_start(taste).encode()) > len(taste) - 4
+
+
+def unpacked(run: str) -> Iterator[str]:
+    """The texts inside a base64 run, through compression if there is any; nothing if it has no text."""
+    raw = _raw(run) if _promises(run) else None
+    if raw is None:
+        return
+    if is_compressed(raw):
+        yield from _text_pieces(raw)
+        return
+    text = _readable_start(raw)
+    if text and (len(run) > TASTE or len(text.encode()) == len(raw)):
+        yield text
+
+
+def _texts_of(run: str) -> Iterator[tuple[int, str]]:
+    """Texts inside a run and where in it they begin: at its start, or else behind the first separator that
+    has any. Only the beginning is decoded to see that, so a run of many separators costs its length."""
+    found = False
+    for text in unpacked(run):
+        found = True
+        yield 0, text
+    for cut in () if found else _SEPARATOR.finditer(run):
+        for at in range(cut.start() + 1, cut.end() + 1):  # a separator may be the first character, too
+            if len(run) - at >= SHORTEST_BASE64 and _promises(run[at : at + TASTE]):
+                for text in unpacked(run[at:]):
+                    found = True
+                    yield at, text
+                if found:
+                    return
+
+
+def _base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, run) of what may be base64: runs and wrapped lines."""
+    for m in _BASE64.finditer(text):
+        yield m.start(), m.end(), m[0]
+    if "\n" not in text:
+        return
+    for m in _WRAPPED.finditer(text):
+        lines = m[0].replace("\r", "").split("\n")
+        first, at = 0, m.start()
+        while first < len(lines) - 1:
+            width, last = len(lines[first]), first + 1
+            while last < len(lines) - 1 and len(lines[last]) == width:
+                last += 1
+            if len(lines[last].rstrip("=")) > width:
+                last -= 1
+            size = sum(len(x) + 1 for x in lines[first : last + 1]) - 1
+            breaks = text.count("\r", at, at + size + last - first)
+            if last > first and width >= SHORTEST_BASE64:
+                yield at, at + size + breaks, "".join(lines[first : last + 1])
+                if last - first > 1:  # the last line may be a word behind it
+                    yield at, at + size + breaks - len(lines[last]) - 1, "".join(lines[first:last])
+            step = max(last, first + 1)
+            at += sum(len(x) + 1 for x in lines[first:step])
+            at += text.count("\r", at - 1, at + step - first)
+            first = step
 
 
 def _rewritten(layer: Layer, pattern, decode) -> Layer | None:
     """The layer with all runs of escapes replaced, or None if it has none."""
     pieces: list[str] = []
-    origin: list[tuple[int, int]] = []
-    at = 0
+    at, first, last, step = [], [], [], []
+    size = done = 0
+
+    def add(length: int, a: int, b: int, how: int) -> None:
+        nonlocal size
+        at.append(size)
+        first.append(a)
+        last.append(b)
+        step.append(how)
+        size += length
+
+    def copied(start: int, end: int) -> None:
+        pieces.append(layer.text[start:end])
+        for run in layer.runs(start, end):
+            add(*run)
+
     for m in pattern.finditer(layer.text):
-        for i in range(at, m.start()):
-            origin.append(layer.source(i, i + 1))
-        pieces.append(layer.text[at : m.start()])
+        copied(done, m.start())
         for c, start, end in decode(m[0]):
             pieces.append(c)
-            origin.append(layer.source(m.start() + start, m.start() + end))
-        at = m.end()
-    if not at:
+            add(len(c), *layer.source(m.start() + start, m.start() + end), 0)
+        done = m.end()
+    if not done:
         return None
-    for i in range(at, len(layer.text)):
-        origin.append(layer.source(i, i + 1))
-    pieces.append(layer.text[at:])
-    return Layer("".join(pieces), origin)
+    copied(done, len(layer.text))
+    text = "".join(pieces)
+    return Layer(text, at, first, last, step) if text else None
 
 
 def inner_layers(layer: Layer) -> Iterator[Layer]:
@@ -173,30 +314,43 @@ def inner_layers(layer: Layer) -> Iterator[Layer]:
         found = _rewritten(layer, _ESCAPE, _decoded_escapes)
         if found:
             yield found
-    for m in _BASE64.finditer(layer.text):
-        text = unpacked(m[0])
-        if text:
-            yield Layer(text, [layer.source(m.start(), m.end())] * len(text))
+    for start, end, run in _base64_runs(layer.text):
+        for at, text in _texts_of(run):
+            yield Layer.whole(text, layer.source(start + at, end))
+
+
+def _mark(layer: Layer) -> bytes:
+    """Tells layers of one text apart, by content and place."""
+    mark = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16)
+    mark.update(repr(layer.source(0, len(layer.text))).encode())
+    return mark.digest()
 
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
-    """Base spans of the text, and those of all its layers, mapped to the text, without doubles."""
+    """Base spans of the text, and those of all its layers, mapped to the text, without doubles.
+
+    The worklist holds the layers that are being unwrapped, the innermost last; each is made when it is
+    its turn, so that no more than one per depth is held.
+    """
     base = base_spans(text)
     every = set(base)
-    seen = {hashlib.blake2b(text.encode(), digest_size=16).digest()}
-    worklist = [Layer(text, None)]
+    if not text:
+        return base, []
+    outermost = Layer.outermost(text)
+    seen = {_mark(outermost)}
+    worklist = [inner_layers(outermost)]
     while worklist:
-        for inner in inner_layers(worklist.pop()):
-            mark = hashlib.blake2b(
-                repr((inner.text, inner.origin[0], inner.origin[-1]) if inner.origin else "").encode(),
-                digest_size=16,
-            ).digest()
-            if mark in seen:
-                continue
-            seen.add(mark)
-            for start, end, kind in base_spans(inner.text):
-                every.add((*inner.source(start, end), kind))
-            worklist.append(inner)
+        inner = next(worklist[-1], None)
+        if inner is None:
+            worklist.pop()
+            continue
+        mark = _mark(inner)
+        if mark in seen:
+            continue
+        seen.add(mark)
+        for start, end, kind in base_spans(inner.text):
+            every.add((*inner.source(start, end), kind))
+        worklist.append(inner_layers(inner))
     return base, sorted(every, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
