@@ -64,6 +64,14 @@ def beside(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame
     return df.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 text: what splitting bytes at white space gives."""
     return text.split()

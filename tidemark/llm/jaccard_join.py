@@ -433,7 +433,7 @@ def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     dropped = (
         similar_groups(docs, percent)
         .filter("doc_id <> component_id")
-        .select(F.col("doc_id").alias("_dropped"))
+        .select("doc_id")
         .distinct()
     )
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -1,8 +1,8 @@
 """Near-duplicate lines by a deletion neighbourhood, counted in words.
 
 Two lines are the same if one becomes the other by at most one word put in, left out or replaced, and
-the shorter has at least ``NEAR_WORDS`` words; lines of ``SAME_WORDS`` words and more also if they are
-equal. A line is dropped if the same line stands earlier (smaller doc_id, or same document above).
+the shorter has at least ``NEAR_WORDS`` words; lines of ``SAME_WORDS`` words and more, that is all with a
+word, also if they are equal. In a shorter line one word may be all that tells it from another. A line is dropped if the same line stands earlier (smaller doc_id, or same document above).
 
 **Neighbourhood.** A line emits the hash of itself and of every variant with one word left out. Lines
 within the bound meet on an equal variant: two lines that differ in word ``k`` on the variant without
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import (
     RunHashes,
     beside,
+    free_name,
     id_and_text,
     ids,
     map_texts,
@@ -36,7 +37,7 @@ from tidemark.llm.common import (
     word_hashes,
 )
 
-SAME_WORDS = 3
+SAME_WORDS = 1
 NEAR_WORDS = 8
 WORDS_AT_ONCE = 200_000
 
@@ -213,15 +214,13 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     lines are all dropped becomes empty. NULL and empty texts and rows without a doc_id are
     unchanged. Rows of one doc_id are one document: what is dropped in one is dropped in all.
     """
-    gone = stored(dropped_lines(docs), "gone-lines").select(
-        F.col("doc_id").alias("_of"), F.col("gone").alias("_gone")
-    )
-    left = F.filter(
-        F.split("text", "\n", -1), lambda line, k: ~F.array_contains(F.col("_gone"), k)
-    )
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    rows = beside(docs, gone, docs["doc_id"] == gone["_of"], "left").withColumn("text", text)
+    name = free_name(docs, "gone")
+    gone = stored(dropped_lines(docs).withColumnRenamed("gone", name), "gone-lines")
+    numbers = F.col(name)
+    left = F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains(numbers, k))
+    text = F.when(numbers.isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    rows = beside(docs, gone, "doc_id", "left").withColumn("text", text)
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(length))
+        rows = rows.withColumn("n_chars", F.when(numbers.isNull(), F.col("n_chars")).otherwise(length))
     return rows.select(*docs.columns)

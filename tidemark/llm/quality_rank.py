@@ -191,5 +191,5 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Rows without a doc_id cannot be looked up and stay.
     """
-    bad = quality_scores(docs, labels).filter("predicted = 0").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad.distinct(), docs["doc_id"] == F.col("_bad"), "left_anti")
+    bad = quality_scores(docs, labels).filter("predicted = 0").select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)

@@ -48,7 +48,7 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
-# op5: the same line, up to one word put in, left out or replaced, stands earlier.
+# op5: an equal line, or from 8 words on one up to a word put in, left out or replaced, stands earlier.
 LINE_DEDUP = f"""
 WITH cut AS (
   SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL
@@ -63,7 +63,7 @@ WITH cut AS (
 ), dropped AS (
   SELECT doc_id, k FROM (
     SELECT doc_id, k, row_number() OVER (PARTITION BY words ORDER BY doc_id, k) AS nth
-    FROM lines WHERE n >= 3) WHERE nth > 1
+    FROM lines WHERE n >= 1) WHERE nth > 1
   UNION
   SELECT doc_id, k FROM (
     SELECT doc_id, k, row_number() OVER (PARTITION BY key, gap ORDER BY doc_id, k) AS nth
