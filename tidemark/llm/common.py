@@ -180,10 +180,12 @@ def map_texts(
     schema: str,
     per_batch: Callable[[pa.RecordBatch], Iterator[Rows]],
     rows_at_once: int = ROWS_AT_ONCE,
+    at_end: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Run ``per_batch`` over Arrow batches inside the tasks; it yields columns of ``schema``.
 
     A batch is handed over in parts of ``rows_at_once``, which bounds what a task holds in Python.
+    ``at_end`` runs when a task has no more, to let go of what the worker would keep for the next one.
     """
     arrow_schema = None
 
@@ -197,6 +199,8 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], f.type) for f in arrow_schema], schema=arrow_schema
                 )
+        if at_end is not None:
+            at_end()
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -124,7 +124,10 @@ def tokenised_pieces(
             **dict(zip(("piece", "start", "length", "ids_crc32"), columns, strict=True)),
         }
 
-    return map_texts(id_and_text(docs), PIECES, pieces)
+    def forget() -> None:  # Python workers serve later stages, too
+        _vocabulary(vocabulary).older = {}
+
+    return map_texts(id_and_text(docs), PIECES, pieces, at_end=forget)
 
 
 def best_configuration(
