@@ -11,6 +11,8 @@ from tidemark.llm.common import documents, labels
 from tidemark.llm.toxicity import (
     BORDER,
     Decoder,
+    Restorer,
+    count_letters,
     joined_letters,
     letter_model,
     toxicity_scores,
@@ -49,6 +51,49 @@ def test_tokens_without_a_lattice_stay(decoder):
     assert joined_letters(b"") == []
 
 
+@pytest.fixture(scope="module")
+def restorer(spark):
+    return Restorer(letter_model(documents(spark, LARGER)))
+
+
+@pytest.mark.parametrize(
+    ("token", "word"),
+    [
+        ("5tup1d", "stupid"), ("stuupid", "stupid"), ("$tup!d", "stupid"), ("st" + "u" * 60 + "pid", "stupid"),
+        ("m\u00f6r\u00f6n1", "moron"), ("m\u00f6r\u00f6n", "moron"), ("scum!!", "scum"), ("(scum)", "scum"), ("s.c.u.m", "scum"),
+        ("**scum**", "scum"), ("scum***", "scum"), ("f***", "f***"), ("1234", "1234"), ("2019", "2019"),
+        ("7", "7"), ("\u8c22\u8c22", "\u8c22\u8c22"), ("", ""), ("***", ""), ("scum", "scum"),
+    ],
+)
+def test_words_behind_disguises(restorer, token, word):
+    assert restorer[token.encode()] == word
+
+
+def test_tokens_beyond_the_bounds_stay(restorer):
+    for token in ("ab1" * 40_000, "a*b*c*d*e*f*g*h"):
+        assert restorer[token.encode()] == token
+
+
+def test_a_token_of_digits_and_one_letter_is_read(restorer):
+    assert [restorer[t] for t in (b"1d10t", b"1d107", b"!diot")] == ["idiot"] * 3
+    assert restorer[b"@$$"] != "@$$"
+
+
+def test_letters_by_equal_separators():
+    assert joined_letters(b"you  i  d  i  o  t") == [b"idiot"]
+    assert joined_letters(b"y o u  i d i o t") == [b"you", b"idiot"]
+    assert joined_letters(b"so i.d-i o_t!") == [b"idiot"]
+
+
+def test_letters_do_not_depend_on_files(spark):
+    docs = documents(spark, SF_DIR)
+    counts = [
+        {r.gram: r.n for r in count_letters(d).collect()}
+        for d in (docs.coalesce(1), docs.repartition(7))
+    ]
+    assert counts[0] == counts[1]
+
+
 def test_held_out_accuracy_and_disguise(spark):
     docs, marks = documents(spark, LARGER), labels(spark, LARGER)
     disguised = spark.createDataFrame(
@@ -71,6 +116,11 @@ def test_held_out_accuracy_and_disguise(spark):
     clean = [found[d].predicted for d, t in truth.items() if t == 0]
     assert np.mean(clean) <= 0.05
     assert found[900_003].predicted == 0
+    assert [found[900_000 + i].predicted for i in range(3)] == [1, 1, 1]
+    toxic = [p for p, t in held if t == 1]
+    assert sum(toxic) >= len(toxic) - 1  # one of them has no toxic word at all
+    caught = [found[d].predicted for d, t in truth.items() if t == 1]
+    assert np.mean(caught) >= 0.9
 
 
 def test_held_out_labels_are_not_read(spark):

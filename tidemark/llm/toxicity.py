@@ -1,12 +1,19 @@
 """Toxicity of texts that are written to evade word lists: a noisy-channel decoder, then a model.
 
-**Language model.** Letter trigrams of all words of the corpus, counted by Spark over every document
-(a word counts once per task). Its alphabet is a to z and the word border, which bounds the table.
+**Language model.** Letter trigrams of all words of the corpus, counted by Spark over every occurrence
+in every document, so files and batches do not matter. Letters count without their accents; the alphabet
+is a to z and the word border, which bounds the table.
 
-**Channel.** A token that is not plain letters becomes a lattice: a symbol may stand for a letter it
-looks like, a separator or a masked place for any letter or none, a run of equal letters for one or two;
-single letters in a row are one spaced-out word. Viterbi over the last two letters finds the likeliest
-word under channel and language model. Plain tokens are themselves.
+**Channel.** A token that is not plain letters, or has two equal letters in a row, becomes a lattice: a
+symbol may stand for a letter it looks like, a masked place for any letter or none, a separator for
+nothing, a run of equal letters for one or two, and any other character for itself; single letters in a
+row are one spaced-out word. Viterbi over the last two letters finds the likeliest word under channel and
+language model. The token as it stands competes with that word, at a price per digit, letter, other
+character and change between them, so numbers stay numbers. A token with masked places also
+counts as it is written, and only so if half of it is masked. Plain tokens are themselves, without accents.
+
+**Bounds.** A lattice has at most ``MOST_RUNS`` runs of equal characters, however long each, and
+``MOST_MASKS`` masked places; a token beyond is no disguised word and stays as it is.
 
 **Score.** A logistic model over how often the restored text has each of the words that tell labels
 apart best. Words are chosen, and weights are learned, on at most ``LABELLED`` labelled documents that
@@ -17,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +47,7 @@ from tidemark.llm.common import (
 LABELLED = 20_000
 CHOSEN_WORDS = 256
 FOLDS, HELD_OUT = 5, 0
-LONGEST_TOKEN = 48  # a longer token is no disguised word and stays as it is
+MOST_RUNS, MOST_MASKS = 64, 6
 MEMORY_WORDS = 500_000
 STEPS, RATE, RIDGE = 400, 1.0, 1e-4
 
@@ -52,25 +60,49 @@ LOOKS_LIKE = {
 }
 SEPARATORS = ".-_~'`·"
 MASKS = "*#%?&"
-COST_LOOK, COST_SKIP, COST_MASK, COST_NO_LETTER, COST_RUN, COST_PAIR = 1.0, 0.5, 0.5, 4.0, 1.0, 4.0
-
-_SPACED = re.compile(rb"(?:(?<=\s)|^)[A-Za-z0-9@$!*](?:[ .*_-][A-Za-z0-9@$!*]){2,}(?=[\s.,!?;:]|$)")
-_MAYBE_SPACED = re.compile(rb"\s\S[ .*_-]\S[ .*_-]\S")
+COST_LOOK, COST_SKIP, COST_MASK, COST_NO_LETTER, COST_RUN, COST_PAIR = 1.0, 0.5, 0.5, 4.0, 1.0, 6.0
+COST_FRONT, COST_BACK, COST_OTHER = 9.0, 5.0, 6.0  # a sign before or behind a word that is no part of it
+# The token as it stands: per digit, letter and other character, and per change between these.
+AS_DIGIT, AS_LETTER, AS_OTHER, AS_CHANGE = math.log(10), math.log(26), 6.0, 8.0
+
+# Equal separators of up to three characters, or one separator of any kind, between single characters.
+_SPACED = re.compile(
+    rb"(?:(?<=\s)|^)[A-Za-z0-9@$!*](?:([ .*_-]{1,3})[A-Za-z0-9@$!*](?:\1[A-Za-z0-9@$!*])+"
+    rb"|(?:[ .*_-][A-Za-z0-9@$!*]){2,})(?=[\s.,!?;:]|$)"
+)
+_MAYBE_SPACED = re.compile(rb"\s\S[ .*_-]{1,3}\S[ .*_-]{1,3}\S")
 _EDGE = ".,;:!?\"'()[]{}<>&%#*~-_|/\\"
+# What a word has around it as punctuation; the rest at an edge may be part of it.
+_BEFORE, _AFTER = ".,;:?\"'([{<&%#*~-_/\\>)]}", ".,;:!?\"')]}>&%~-_/\\<([{|"
+_TWICE = re.compile(r"(.)\1", re.DOTALL)
+
+
+def folded(text: str) -> str:
+    """Lower case without accents and compatibility forms."""
+    text = text.lower()
+    if text.isascii():
+        return text
+    apart = unicodedata.normalize("NFKD", text)
+    bare = "".join(c for c in apart if not unicodedata.combining(c))
+    return unicodedata.normalize("NFC", bare).lower()
 
 
 def count_letters(docs: DataFrame) -> DataFrame:
     """``gram`` (three letters, ``^`` for the border) and ``n`` over the words of all documents."""
 
     def rows(batch) -> Iterator[dict]:
-        seen: set[bytes] = set()
+        seen: Counter[bytes] = Counter()
         for text in texts(batch):
             seen.update(words_of(text))
+        words: Counter[str] = Counter()
+        for token, n in seen.items():
+            words[folded(token.decode()).strip(_EDGE)] += n
         grams: Counter[str] = Counter()
-        for word in {w.decode().lower().strip(_EDGE) for w in seen}:
+        for word, n in words.items():
             if word.isascii() and word.isalpha():
                 padded = f"{BORDER}{BORDER}{word}{BORDER}"
-                grams.update(padded[i : i + 3] for i in range(len(word) + 1))
+                for i in range(len(word) + 1):
+                    grams[padded[i : i + 3]] += n
         yield {"gram": list(grams), "n": list(grams.values())}
 
     per_batch = map_texts(id_and_text(docs), "gram string, n bigint", rows)
@@ -95,7 +127,7 @@ class Decoder:
         return found if found is not None else self.unseen.get(state, self.nothing)
 
     def slots(self, token: str) -> list[list[tuple[str, float]]]:
-        """Per run of equal characters: what it may stand for, and the channel's cost."""
+        """Per run of equal characters, or masked place: what it may stand for, and the channel's cost."""
         slots = []
         for char, run in groupby(token):
             n = len(list(run))
@@ -104,23 +136,25 @@ class Decoder:
                 if n > 1:
                     options.append((char, COST_PAIR if n == 2 else COST_RUN))
             elif char in MASKS:
-                options = [("", COST_NO_LETTER)] + [(c, COST_MASK) for c in LETTERS]
+                place = [("", COST_NO_LETTER)] + [(c, COST_MASK) for c in LETTERS]
+                slots += [place] * (n - 1)
+                options = place
             elif char in SEPARATORS:
                 options = [("", COST_SKIP)]
             elif char in LOOKS_LIKE:
                 options = [(c * m, COST_LOOK) for c in LOOKS_LIKE[char] for m in {1, min(n, 2)}]
             else:
-                return []
+                options = [(char * n, 0.0 if char.isalpha() else COST_OTHER)]
             slots.append(options)
+        for place, cost in ((0, COST_FRONT), (-1, COST_BACK)) if len(slots) > 1 else ():
+            if not token[place].isalpha() and all(word for word, _ in slots[place]):
+                slots[place] = [*slots[place], ("", cost)]
         return slots
 
-    def decode(self, token: str) -> str:
-        """The likeliest word; the token itself where no lattice can be built."""
-        slots = self.slots(token)
-        if not slots:
-            return token
+    def reading(self, token: str, limit: float = math.inf) -> tuple[float, str] | None:
+        """The likeliest word with its cost, or None if every word costs more than ``limit``."""
         best = {BORDER * 2: (0.0, "")}
-        for options in slots:
+        for options in self.slots(token):
             after: dict[str, tuple[float, str]] = {}
             for state, (cost, word) in best.items():
                 for letters, channel in options:
@@ -128,10 +162,44 @@ class Decoder:
                     for letter in letters:
                         total += self.step(at, letter)
                         at = at[1] + letter
-                    if at not in after or (total, word + letters) < after[at]:
+                    if total <= limit and (at not in after or (total, word + letters) < after[at]):
                         after[at] = (total, word + letters)
             best = after
-        return min((c + self.step(s, BORDER), w) for s, (c, w) in best.items())[1]
+        cost, word = min(
+            ((c + self.step(s, BORDER), w) for s, (c, w) in best.items()), default=(math.inf, "")
+        )
+        return (cost, word) if cost <= limit and cost < math.inf else None
+
+    def decode(self, token: str) -> str:
+        """The likeliest word, whatever it costs."""
+        return self.reading(token)[1]
+
+
+def as_it_stands(token: str) -> float:
+    """What it costs to take a token for no word at all."""
+    cost, before = 0.0, None
+    for char in token:
+        kind = AS_DIGIT if char.isdigit() else AS_LETTER if char.isalpha() else AS_OTHER
+        cost += kind + (AS_CHANGE if before not in (None, kind) else 0.0)
+        before = kind
+    return cost
+
+
+def core_of(text: str) -> str:
+    """A token without the punctuation around it.
+
+    Masks behind a word belong to it, unless they stand before it too or behind four letters and
+    more, where they hide nothing that the word's beginning does not tell.
+    """
+    core = text.lstrip(_BEFORE)
+    before = text[: len(text) - len(core)]
+    end = core.rstrip(_AFTER)
+    unmasked = end.rstrip("*#")
+    masks = end[len(unmasked) :]
+    stem = unmasked.rstrip(_AFTER)
+    if masks and masks[-1] not in before and stem == unmasked and not (stem[-4:].isalpha() and stem[3:]):
+        return end
+    return stem
 
 
 class Restorer(dict):
@@ -141,17 +209,19 @@ class Restorer(dict):
         super().__init__()
         self.decoder = decoder
 
+    def restored(self, token: str) -> str:
+        core = core_of(folded(token))
+        if core.isalpha() and not _TWICE.search(core):
+            return core
+        places = sum(map(core.count, MASKS))
+        if places > MOST_MASKS or 2 * places >= len(core) or sum(1 for _ in groupby(core)) > MOST_RUNS:
+            return core
+        limit = math.inf if core.isalpha() else as_it_stands(core)
+        found = self.decoder.reading(core, limit) if core else None
+        return found[1] if found else core
+
     def __missing__(self, token: bytes) -> str:
-        text = token.decode().lower()
-        plain = text.strip(_EDGE)
-        runs = max((len(list(g)) for _, g in groupby(plain)), default=0)
-        if (plain.isalpha() and runs < 3) or len(text) > LONGEST_TOKEN:
-            word = plain
-        else:
-            core = text.rstrip(_EDGE).lstrip(_EDGE.translate({ord(c): None for c in LOOKS_LIKE}))
-            digits = sum(c.isdigit() for c in core)
-            letters = sum(c in LETTERS for c in core)
-            word = self.decoder.decode(core) if letters and digits <= letters + 1 else plain
+        word = self.restored(token.decode())
         if len(self) >= MEMORY_WORDS:
             self.clear()
         self[token] = word
@@ -161,6 +231,14 @@ class Restorer(dict):
         return Restorer, (self.decoder,)
 
 
+def masked(token: bytes) -> tuple[str, ...]:
+    """A token with masked places, as it is written: no reading of it is sure."""
+    if b"*" not in token and b"#" not in token:
+        return ()
+    core = core_of(folded(token.decode()))
+    return (core,) if "*" in core or "#" in core else ()
+
+
 def joined_letters(text: bytes) -> list[bytes]:
     """Words that are written letter by letter, joined."""
     if not _MAYBE_SPACED.search(b" " + text):
@@ -182,7 +260,7 @@ class KeyIndex(dict):
         self.position = {w: k for k, w in enumerate(words)}
 
     def __missing__(self, token: bytes) -> tuple[int, ...]:
-        found = keys_of(self.restorer[token])
+        found = keys_of(self.restorer[token]) + masked(token)
         at = tuple(self.position[w] for w in found if w in self.position)
         if len(self) >= MEMORY_WORDS:
             self.clear()
@@ -217,7 +295,7 @@ def choose_words(sample: DataFrame, restorer: Restorer) -> list[str]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, mark in zip(texts(batch), marks, strict=True):
             tokens = {*words_of(text), *joined_letters(text)}
-            seen[mark].update({k for t in tokens for k in keys_of(restorer[t])})
+            seen[mark].update({k for t in tokens for k in keys_of(restorer[t]) + masked(t)})
         words = list(seen[0].keys() | seen[1].keys())
         yield {
             "word": words,
