@@ -3,15 +3,18 @@
 **Seeds.** Four kinds of identifiers have patterns of their own (`KINDS`); their matches are the seeds.
 
 **Candidates.** Every other word with a digit or an at sign may be an identifier in a form no pattern
-knows.
+knows; so may two to ``GROUPS`` neighbouring groups of digits, and an address written out with "at" and "dot".
 
 **Graph.** The words around an identifier are its lexical patterns: the two words before, and the word
 before with the word after. Patterns and values form a graph, one edge however often a value stands in
-a pattern. In ``ROUNDS`` rounds a pattern's confidence for a kind is the weight of its values of that
-kind against all its values, and a value weighs as much as its best pattern; seeds always weigh one.
+a pattern. A pattern's confidence for a kind is the weight of its values of that kind against all its
+values; a value weighs as much as its best pattern, if it looks like the kind at all; seeds always weigh
+one. A pattern counts with ``SUPPORT`` different values that are seeds or sure by now: values that
+patterns discovered support and induce patterns of their own. Weights only grow, and rounds go on until
+one brings no new sure value and raises all weights together by a share of ``STILL`` at most.
 
-**Discovery.** Candidates in a pattern of confidence ``SURE`` and more, which ``SUPPORT`` different seeds
-have induced, are spans of that kind if they look like it at all. Base spans stay as they are.
+**Discovery.** Candidates in a pattern of confidence ``SURE`` and more with that support are spans of
+that kind if they look like it. Base spans stay as they are.
 
 The text is read once. Positions come from splitting a text at the matches: a match starts where the
 pieces and matches before it end. Patterns are written so that matching takes linear time and no
@@ -35,11 +38,16 @@ PATTERNS = {
 }
 NEEDED = {"email": "@", "ip": ".", "phone": "+"}
 _SPACE = r"\x20\x09-\x0D"
-CANDIDATE = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
+GROUPS = 8
+_DIGITS = r"[(]?[0-9][0-9()./-]*+"
+RUN = rf"{_DIGITS}(?:\x20{_DIGITS}){{1,{GROUPS - 1}}}+(?![^{_SPACE},;:!?\"'])"
+CANDIDATE = rf"(?<![^{_SPACE}])(?:{RUN}|[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+)"
+_AT, _DOT = r"\x20[(\[]?at[)\]]?\x20", r"\x20[(\[]?dot[)\]]?\x20"
+WRITTEN = rf"(?i)(?<![^{_SPACE}])[A-Z0-9._%+-]++{_AT}[A-Z0-9-]++(?:{_DOT}[A-Z0-9-]++)++"
 CONTEXT = 64
-ROUNDS = 3
+STILL = 0.001
 SUPPORT, SURE, PROPAGATED, DOUBT = 5, 0.8, 0.5, 1.0
-FEWEST_DIGITS = {"email": 0, "ip": 7, "card": 12, "phone": 7}
+DIGITS = {"ip": (7, 12), "card": (12, 19), "phone": (7, 15)}
 
 SPAN = "struct<kind: string, start: int, end: int, match: string, left: string, right: string>"
 
@@ -113,7 +121,7 @@ def with_context(text: Column, kind: str | None, found: Column) -> Column:
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, ``mark`` of the text, base spans per kind, and candidates beside them."""
+    """Per row: doc_id, ``mark`` of the text, base spans per kind, words and written addresses beside them."""
     text = F.col("text")
     none = F.array().cast(f"array<{SPAN}>")
     columns = {}
@@ -124,6 +132,8 @@ def found_spans(docs: DataFrame) -> DataFrame:
         columns[kind] = F.when(needed, spans).otherwise(none)
     words = with_context(text, None, matches(text, CANDIDATE))
     columns["words"] = F.when(text.rlike("[0-9@]"), words).otherwise(none)
+    written = with_context(text, None, matches(text, WRITTEN))
+    columns["written"] = F.when(text.rlike(rf"(?i){_DOT}"), written).otherwise(none)
     rows = stored(
         id_and_text(docs).select(
             "doc_id",
@@ -141,14 +151,17 @@ def _words(text: Column, pattern: str, group: int) -> Column:
 
 
 def occurrences(found: DataFrame) -> DataFrame:
-    """Seeds and candidates with their value and lexical patterns; candidates touch no seed."""
+    """Seeds and candidates with their value and lexical patterns; candidates touch no seed and no other."""
     seeds = found.select("doc_id", "mark", F.inline(F.concat(*KINDS)))
     base = F.concat(*KINDS)
-    free = F.filter(
-        "words",
-        lambda w: ~F.exists(base, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])),
-    )
-    words = found.select("doc_id", "mark", F.inline(free))
+
+    def apart(of: str, others: Column) -> Column:
+        touches = lambda w: F.exists(others, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))
+        return F.filter(of, lambda w: ~touches(w))
+
+    free = found.select("doc_id", "mark", "words", *KINDS, apart("written", base).alias("written"))
+    candidates = F.concat("written", apart("words", F.concat(base, F.col("written"))))
+    words = free.select("doc_id", "mark", F.inline(candidates))
     both = seeds.union(words)
     last = rf"([^{_SPACE}]+)[{_SPACE}]+([^{_SPACE}]+)[{_SPACE}]*$"
     before, nearest = _words(F.col("left"), last, 1), _words(F.col("left"), last, 2)
@@ -173,8 +186,17 @@ def occurrences(found: DataFrame) -> DataFrame:
     )
 
 
-def pattern_confidence(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """pattern, kind, confidence, support (different seeds) from the graph of patterns and values.
+def looks_like(kind: Column, value: Column) -> Column:
+    """Whether a candidate's value may be of a kind: number of digits, or an address."""
+    digits = F.char_length(digits_of(value))
+    fits = F.when(kind == "email", value.contains("@") | value.rlike(_DOT))
+    for name, (least, most) in DIGITS.items():
+        fits = fits.when(kind == name, digits.between(least, most))
+    return fits
+
+
+def pattern_confidence(seen: DataFrame) -> DataFrame:
+    """pattern, kind, confidence, support (seeds and sure values) from the graph of patterns and values.
 
     Edges are distinct before anything is joined, and all sums combine before their exchange, so a
     pattern or value that holds a third of all occurrences costs one row per task.
@@ -185,19 +207,13 @@ def pattern_confidence(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     plain = edges.select("pattern", "value").distinct()
     sizes = plain.groupBy("pattern").agg(F.count("*").alias("values"))
     seeds = edges.filter("kind is not null").select("value", "kind").distinct()
-    support = (
-        edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("support"))
-    )
-    fixed = seeds.withColumn("weight", F.lit(1.0))
-    weights = fixed
-    # only patterns that seeds have induced can ever count
-    induced = plain.join(support.select("pattern").distinct(), "pattern", "left_semi")
-    for _ in range(rounds):
+    fixed = seeds.select("value", "kind", F.lit(1.0).alias("weight"))
+    weights, sure, total = fixed, 0, 0.0
+    while True:
         confidence = stored(
-            induced.join(weights, "value")
+            plain.join(weights, "value")
             .groupBy("pattern", "kind")
-            .agg(F.sum("weight").alias("mass"))
-            .join(support, ["pattern", "kind"])
+            .agg(F.sum("weight").alias("mass"), F.count_if(F.col("weight") >= SURE).alias("support"))
             .join(sizes, "pattern")
             .select(
                 "pattern",
@@ -208,14 +224,21 @@ def pattern_confidence(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             "pattern-confidence",
         )
         passed = confidence.filter((F.col("confidence") >= PROPAGATED) & (F.col("support") >= SUPPORT))
-        learned = (
-            induced.join(passed, "pattern")
+        learned = stored(
+            plain.join(passed, "pattern")
+            .filter(looks_like(F.col("kind"), F.col("value")))
             .groupBy("value", "kind")
             .agg(F.max("confidence").alias("weight"))
-            .join(seeds, ["value", "kind"], "left_anti")
+            .join(seeds, ["value", "kind"], "left_anti"),
+            "values-learned",
         )
-        weights = fixed.union(learned)
-    return confidence
+        now = learned.agg(
+            F.count_if(F.col("weight") >= SURE).alias("sure"),
+            F.coalesce(F.sum("weight"), F.lit(0.0)).alias("total"),
+        ).first()
+        if now.sure == sure and now.total <= total * (1 + STILL):
+            return confidence
+        weights, sure, total = fixed.union(learned.select("value", "kind", "weight")), now.sure, now.total
 
 
 def discovered(seen: DataFrame, confidence: DataFrame) -> DataFrame:
@@ -226,14 +249,9 @@ def discovered(seen: DataFrame, confidence: DataFrame) -> DataFrame:
     words = seen.filter("kind is null").select(
         "doc_id", "mark", "start", "match", "value", F.explode("patterns").alias("pattern")
     )
-    digits = F.char_length(digits_of(F.col("value")))
-    fits = F.when(F.col("kind_found") == "email", F.col("value").contains("@"))
-    for kind, least in FEWEST_DIGITS.items():
-        if least:
-            fits = fits.when(F.col("kind_found") == kind, digits >= least)
     best = (
         words.join(sure, "pattern")
-        .filter(fits)
+        .filter(looks_like(F.col("kind_found"), F.col("value")))
         .groupBy("doc_id", "mark", "start", "value")
         .agg(F.max(F.struct("confidence", "kind_found")).alias("best"))
     )
