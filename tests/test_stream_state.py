@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from conftest import SF_DIR, ChangeFeed, sale
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tidemark.operators.chains import chain_breaks
 from tidemark.operators.decode import parse_cdc_events, parse_events
@@ -176,6 +177,25 @@ def test_nothing_applied_is_an_empty_state(spark, raw, tmp_path):
     assert state.current(spark).collect() == [] and state.dlq(spark).count() == 1
 
 
+@pytest.mark.parametrize("kind", [BucketedState, ChangeLog])
+def test_a_batch_keeps_a_row_per_key_and_reject(spark, raw, tmp_path, monkeypatch, kind):
+    feed, persist, kept = ChangeFeed(), DataFrame.persist, []
+    for i in range(300):
+        feed.put(f"k{i % 3}", float(i), i)
+    records = raw([*feed.noise("junk", "junk", '{"op":"t"}').texts, None])
+
+    def counted(df, *args):
+        kept.append(df.count())
+        return persist(df, *args)
+
+    monkeypatch.setattr(DataFrame, "persist", counted)
+    state = kind(str(tmp_path / "s"))
+    state.apply(records, 0)
+    assert kept and max(kept) == 3 + 3
+    assert sorted(r.raw_json for r in state.dlq(spark).collect()) == ["junk", "junk", '{"op":"t"}']
+    assert {r.sku: r.unit_price for r in state.current(spark).collect()} == {"k0": 297.0, "k1": 298.0, "k2": 299.0}
+
+
 # --- ids by day, one parse, folds
 
 

@@ -33,21 +33,29 @@ def applicable_changes(changes: DataFrame) -> DataFrame:
     return changes.filter(is_applicable(F.col(KEY)))
 
 
-def change_rejects(decoded: DataFrame) -> DataFrame:
-    """Dead-letter rows of `decode_changes`. Only a tombstone (NULL payload) is not one.
+def is_reject(key: Column, payload: Column) -> Column:
+    """A record is one unless its change can be applied or it is a tombstone (NULL payload). Never NULL.
 
     One condition on parsed fields: a separate test of the payload would move below the parse and
     compute a derived payload a second time.
     """
-    tombstone = F.col("raw_json").isNull()
-    rejected = F.when(tombstone, F.lit(False)).otherwise(~is_applicable(change_key()))
-    return decoded.filter(rejected).select(
-        F.coalesce(change_key(), F.lit("unknown")).alias("event_id"),
+    return F.when(payload.isNull(), F.lit(False)).otherwise(~is_applicable(key))
+
+
+def reject_rows(rejects: DataFrame, key: Column) -> DataFrame:
+    """Rejected records as dead-letter rows."""
+    return rejects.select(
+        F.coalesce(key, F.lit("unknown")).alias("event_id"),
         "raw_json",
         F.lit(REASON_MALFORMED).alias("dlq_reason"),
     )
 
 
+def change_rejects(decoded: DataFrame) -> DataFrame:
+    """Dead-letter rows of `decode_changes`."""
+    return reject_rows(decoded.filter(is_reject(change_key(), F.col("raw_json"))), change_key())
+
+
 def change_dead_letters(raw: DataFrame) -> DataFrame:
     """Dead-letter rows of a change topic."""
     return change_rejects(decode_changes(raw, CHANGE_FIELDS))

@@ -14,17 +14,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tidemark.operators.changes import latest_change_per_key
 from tidemark.operators.state import last_changes, live_rows
 from tidemark.schemas import DLQ_FIELDS, KEY, OP_DELETE, STATE_COLUMNS, ddl
 from tidemark.streaming.folders import NONE, BatchTable, CommitLog, read_if_there
 from tidemark.streaming.sinks import each_batch
-from tidemark.streaming.state import LOG_FIELDS, changes_and_rejects
+from tidemark.streaming.state import LOG_FIELDS, latest_and_rejects
 
 SLOT_FIELDS = {**LOG_FIELDS, "batch_id": "bigint", "written_by": "bigint"}
 
@@ -82,20 +80,14 @@ class BucketedState:
         """Merge one micro-batch of topic records. Running it again writes the same slots again."""
         spark = records.sparkSession
         slot = self.commits.begin(spark, batch_id)
-        with changes_and_rejects(records) as (changes, rejects):
-            if "offset" not in changes.columns:
-                changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
-            latest = latest_change_per_key(changes).select(
-                *LOG_FIELDS,
+        with latest_and_rejects(records) as (latest, rejects):
+            latest = latest.select(
+                "*",
                 F.lit(batch_id).cast("bigint").alias("batch_id"),
                 self.bucket_of(F.col(KEY)).alias("bucket"),
             )
-            latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                self._rewrite(latest, batch_id)
-                self.dlq_table.write(rejects, batch_id)
-            finally:
-                latest.unpersist()
+            self._rewrite(latest, batch_id)
+            self.dlq_table.write(rejects, batch_id)
         self.commits.finish(spark, batch_id, slot)
 
     def _rewrite(self, latest: DataFrame, batch_id: int) -> None:

@@ -16,15 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tidemark.functions.rows import last_per_key
 from tidemark.operators.changes import (
-    applicable_changes,
-    change_rejects,
+    change_key,
     flatten_changes,
-    latest_change_per_key,
+    is_applicable,
+    is_reject,
+    reject_rows,
 )
 from tidemark.operators.decode import decode_changes
 from tidemark.operators.state import last_changes, live_rows, merge_into_table
-from tidemark.schemas import CHANGE_FIELDS, DLQ_FIELDS, OP_DELETE, ROW_FIELDS
+from tidemark.schemas import CHANGE_FIELDS, DLQ_FIELDS, KEY, OP_DELETE, ROW_FIELDS
 from tidemark.streaming.folders import BatchTable, CommitLog
 from tidemark.streaming.sinks import each_batch
 
@@ -32,14 +34,27 @@ LOG_FIELDS = {**ROW_FIELDS, "op": "string", "ts_ms": "bigint", "offset": "bigint
 
 
 @contextmanager
-def changes_and_rejects(records: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """Flat applicable changes and dead letters of a micro-batch that is decoded once."""
-    keep = ["offset"] if "offset" in records.columns else []
-    decoded = decode_changes(records, CHANGE_FIELDS, keep).persist(StorageLevel.MEMORY_AND_DISK)
+def latest_and_rejects(records: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The last applicable change per key (`LOG_FIELDS`) and the dead letters of a micro-batch.
+
+    The batch is decoded once and what is kept of it are its results: both leave in one aggregate, in
+    which every reject is a group of its own.
+    """
+    if "offset" not in records.columns:
+        records = records.withColumn("offset", F.lit(None).cast("bigint"))
+    decoded = decode_changes(records, CHANGE_FIELDS, ["offset"])
+    rejected = is_reject(change_key(), F.col("raw_json"))
+    rows = decoded.withColumn("_reject", F.when(rejected, F.monotonically_increasing_id()))
+    rows = rows.withColumn("raw_json", F.when(F.col("_reject").isNotNull(), F.col("raw_json")))
+    rows = flatten_changes(rows, ["offset", "raw_json", "_reject"])
+    rows = rows.filter(is_applicable(F.col(KEY)) | F.col("_reject").isNotNull())
+    kept = last_per_key(rows, [KEY, "_reject"], ["ts_ms", "offset"])
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield applicable_changes(flatten_changes(decoded, keep)), change_rejects(decoded)
+        rejects = kept.filter(F.col("_reject").isNotNull())
+        yield kept.filter(F.col("_reject").isNull()).select(*LOG_FIELDS), reject_rows(rejects, F.col(KEY))
     finally:
-        decoded.unpersist()
+        kept.unpersist()
 
 
 @dataclass(frozen=True)
@@ -64,10 +79,8 @@ class ChangeLog:
     def apply(self, records: DataFrame, batch_id: int) -> None:
         """Add one micro-batch of topic records; rejects go to the dead letters. Both count at once."""
         slot = self.commits.begin(records.sparkSession, batch_id)
-        with changes_and_rejects(records) as (changes, rejects):
-            if "offset" not in changes.columns:
-                changes = changes.withColumn("offset", F.lit(None).cast("bigint"))
-            self.log.write(latest_change_per_key(changes), batch_id)
+        with latest_and_rejects(records) as (latest, rejects):
+            self.log.write(latest, batch_id)
             self.dlq_table.write(rejects, batch_id)
         self.commits.finish(records.sparkSession, batch_id, slot)
 
@@ -107,8 +120,8 @@ def merge_writer(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         slot = kept.commits.begin(batch.sparkSession, batch_id)
-        with changes_and_rejects(batch) as (changes, rejects):
-            merge_into_table(changes, target)
+        with latest_and_rejects(batch) as (latest, rejects):
+            merge_into_table(latest, target)
             kept.dlq_table.write(rejects, batch_id)
         kept.commits.finish(batch.sparkSession, batch_id, slot)
 
