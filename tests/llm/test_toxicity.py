@@ -1,12 +1,15 @@
 """Decoding by brute force on short tokens, held-out accuracy, disguised words, odd rows."""
 
 import itertools
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from conftest import SF_DIR
 
+from tidemark.llm import toxicity
 from tidemark.llm.common import documents, labels
 from tidemark.llm.toxicity import (
     BORDER,
@@ -143,3 +146,35 @@ def test_odd_rows(spark):
     assert len(rows) == len(odd) and all(0 <= r.score <= 1 for r in rows)
     assert all(r.predicted == 0 for r in toxicity_scores(docs, marks.limit(0)).collect())
     assert toxicity_scores(docs.limit(0), marks).count() == 0
+
+
+def test_letters_are_counted_as_one_by_one():
+    words = {b"a": 3, b"letter": 2, b"zz": 1, b"abracadabra": 7}
+    plain = Counter()
+    for word, n in words.items():
+        padded = f"{BORDER}{BORDER}{word.decode()}{BORDER}"
+        for i in range(len(word) + 1):
+            plain[padded[i : i + 3]] += n
+    found = toxicity.trigram_counts(words)
+    assert {toxicity._GRAMS[k]: int(found[k]) for k in np.flatnonzero(found)} == plain
+    assert not toxicity.trigram_counts({}).any()
+
+
+def test_words_with_punctuation_take_the_short_way(decoder, monkeypatch):
+    monkeypatch.setattr(toxicity, "core_of", lambda *a: pytest.fail("stripped again"))
+    tokens = ["Scum", "(scum),", "M\u00f6ron.", "stuupid!", "ab" * 80 + "c"]
+    restorer = Restorer(decoder)
+    assert [restorer[t.encode()] for t in tokens[:3]] == ["scum", "scum", "moron"]
+    assert restorer[tokens[3].encode()] == restorer.decoder.decode("stuupid")
+    assert restorer[tokens[4].encode()] == tokens[4]
+
+
+def test_folding_by_table_equals_folding_the_text():
+    def plainly(text):
+        bare = (c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
+        return unicodedata.normalize("NFC", "".join(bare)).lower()
+
+    every = [chr(c) for c in range(0x3000)] + ["\u212a", "\ufb01", "\uac00", "\u1100\u1161", "\u2460"]
+    for c in every:
+        for text in (c, f"a{c}\u0301b", f"\u00e9{c}", f"{c}\u03a3"):
+            assert toxicity.folded(text) == plainly(text)

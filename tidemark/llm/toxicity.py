@@ -49,6 +49,7 @@ CHOSEN_WORDS = 256
 FOLDS, HELD_OUT = 5, 0
 MOST_RUNS, MOST_MASKS = 64, 6
 MEMORY_WORDS = 500_000
+MOST_RUNS_KNOWN = 10_000
 STEPS, RATE, RIDGE = 400, 1.0, 1e-4
 
 BORDER = "^"
@@ -75,6 +76,25 @@ _EDGE = ".,;:!?\"'()[]{}<>&%#*~-_|/\\"
 # What a word has around it as punctuation; the rest at an edge may be part of it.
 _BEFORE, _AFTER = ".,;:?\"'([{<&%#*~-_/\\>)]}", ".,;:!?\"')]}>&%~-_/\\<([{|"
 _TWICE = re.compile(r"(.)\1", re.DOTALL)
+_RUNS = re.compile(r"(.)\1*", re.DOTALL)
+_EDGE_BYTES = _EDGE.encode()
+# Trigrams by number: the border is 0, a to z are 1 to 26.
+_GRAMS = [a + b + c for a in BORDER + LETTERS for b in BORDER + LETTERS for c in BORDER + LETTERS]
+_LETTER_AT = np.zeros(256, np.int64)
+_LETTER_AT[list(LETTERS.encode())] = range(1, 27)
+
+
+class _Bare(dict):
+    """Characters by code without accents, where that leaves ASCII or nothing; others stay."""
+
+    def __missing__(self, code: int) -> str:
+        apart = unicodedata.normalize("NFKD", chr(code))
+        bare = "".join(c for c in apart if not unicodedata.combining(c)).lower()
+        self[code] = bare = bare if bare.isascii() else chr(code)
+        return bare
+
+
+_BARE = _Bare()
 
 
 def folded(text: str) -> str:
@@ -82,6 +102,9 @@ def folded(text: str) -> str:
     text = text.lower()
     if text.isascii():
         return text
+    bare = text.translate(_BARE)
+    if bare.isascii():
+        return bare
     apart = unicodedata.normalize("NFKD", text)
     bare = "".join(c for c in apart if not unicodedata.combining(c))
     return unicodedata.normalize("NFC", bare).lower()
@@ -94,21 +117,34 @@ def count_letters(docs: DataFrame) -> DataFrame:
         seen: Counter[bytes] = Counter()
         for text in texts(batch):
             seen.update(words_of(text))
-        words: Counter[str] = Counter()
+        words: Counter[bytes] = Counter()
         for token, n in seen.items():
-            words[folded(token.decode()).strip(_EDGE)] += n
-        grams: Counter[str] = Counter()
-        for word, n in words.items():
-            if word.isascii() and word.isalpha():
-                padded = f"{BORDER}{BORDER}{word}{BORDER}"
-                for i in range(len(word) + 1):
-                    grams[padded[i : i + 3]] += n
-        yield {"gram": list(grams), "n": list(grams.values())}
+            word = token.lower() if token.isascii() else folded(token.decode()).encode()
+            word = word.strip(_EDGE_BYTES)
+            if word.isalpha():  # of bytes: a to z only
+                words[word] += n
+        counts = trigram_counts(words)
+        found = np.flatnonzero(counts)
+        yield {"gram": [_GRAMS[k] for k in found.tolist()], "n": counts[found]}
 
     per_batch = map_texts(id_and_text(docs), "gram string, n bigint", rows)
     return per_batch.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def trigram_counts(words: dict[bytes, int]) -> np.ndarray:
+    """How often each trigram of ``_GRAMS`` occurs in words of a to z that occur so often."""
+    padded = b"".join([b"^^%b^" % word for word in words])
+    at = _LETTER_AT[np.frombuffer(padded, np.uint8)]
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 3
+    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)
+    last = np.cumsum(lengths) - 1
+    times[last] = times[last - 1] = 0  # what starts there reaches into the next word
+    grams = (at[:-2] * 27 + at[1:-1]) * 27 + at[2:]
+    counts = np.zeros(27**3, np.int64)
+    np.add.at(counts, grams, times[: len(grams)])
+    return counts
+
+
 class Decoder:
     """Most likely plain word of a token, by Viterbi over trigram states."""
 
@@ -121,6 +157,10 @@ class Decoder:
         }
         self.unseen = {c: -math.log(0.1 / (n + 2.7)) for c, n in contexts.items()}
         self.nothing = -math.log(0.1 / 2.7)
+        self.known: dict[str, list[list[tuple[str, float]]]] = {}
+
+    def __reduce__(self):
+        return _decoder_of, (self.cost, self.unseen)
 
     def step(self, state: str, letter: str) -> float:
         found = self.cost.get(state + letter)
@@ -129,23 +169,14 @@ class Decoder:
     def slots(self, token: str) -> list[list[tuple[str, float]]]:
         """Per run of equal characters, or masked place: what it may stand for, and the channel's cost."""
         slots = []
-        for char, run in groupby(token):
-            n = len(list(run))
-            if char in LETTERS:
-                options = [(char * min(n, 2), 0.0 if n <= 2 else COST_RUN)]
-                if n > 1:
-                    options.append((char, COST_PAIR if n == 2 else COST_RUN))
-            elif char in MASKS:
-                place = [("", COST_NO_LETTER)] + [(c, COST_MASK) for c in LETTERS]
-                slots += [place] * (n - 1)
-                options = place
-            elif char in SEPARATORS:
-                options = [("", COST_SKIP)]
-            elif char in LOOKS_LIKE:
-                options = [(c * m, COST_LOOK) for c in LOOKS_LIKE[char] for m in {1, min(n, 2)}]
-            else:
-                options = [(char * n, 0.0 if char.isalpha() else COST_OTHER)]
-            slots.append(options)
+        for run in _RUNS.finditer(token):
+            text = run[0]
+            found = self.known.get(text)
+            if found is None:
+                found = run_slots(text)
+                if len(text) <= 2 and len(self.known) < MOST_RUNS_KNOWN:
+                    self.known[text] = found
+            slots += found
         for place, cost in ((0, COST_FRONT), (-1, COST_BACK)) if len(slots) > 1 else ():
             if not token[place].isalpha() and all(word for word, _ in slots[place]):
                 slots[place] = [*slots[place], ("", cost)]
@@ -153,17 +184,35 @@ class Decoder:
 
     def reading(self, token: str, limit: float = math.inf) -> tuple[float, str] | None:
         """The likeliest word with its cost, or None if every word costs more than ``limit``."""
-        best = {BORDER * 2: (0.0, "")}
-        for options in self.slots(token):
+        known, unseen, nothing = self.cost.get, self.unseen.get, self.nothing
+        slots = self.slots(token)
+        at, total, word, plain = BORDER * 2, 0.0, "", 0
+        while plain < len(slots) and len(slots[plain]) == 1:  # nothing to choose before the first of these
+            letters, channel = slots[plain][0]
+            total += channel
+            for letter in letters:
+                gram = at + letter
+                step = known(gram)
+                total += unseen(at, nothing) if step is None else step
+                at = gram[1:]
+            word, plain = word + letters, plain + 1
+        if total > limit:
+            return None
+        best = {at: (total, word)}
+        for options in slots[plain:]:
             after: dict[str, tuple[float, str]] = {}
             for state, (cost, word) in best.items():
                 for letters, channel in options:
                     at, total = state, cost + channel
                     for letter in letters:
-                        total += self.step(at, letter)
-                        at = at[1] + letter
-                    if total <= limit and (at not in after or (total, word + letters) < after[at]):
-                        after[at] = (total, word + letters)
+                        gram = at + letter
+                        step = known(gram)
+                        total += unseen(at, nothing) if step is None else step
+                        at = gram[1:]
+                    if total <= limit:
+                        there = after.get(at)
+                        if there is None or (total, word + letters) < there:
+                            after[at] = (total, word + letters)
             best = after
         cost, word = min(
             ((c + self.step(s, BORDER), w) for s, (c, w) in best.items()), default=(math.inf, "")
@@ -175,6 +224,29 @@ class Decoder:
         return self.reading(token)[1]
 
 
+def _decoder_of(cost: dict[str, float], unseen: dict[str, float]) -> Decoder:
+    decoder = Decoder({})
+    decoder.cost, decoder.unseen = cost, unseen
+    return decoder
+
+
+def run_slots(run: str) -> list[list[tuple[str, float]]]:
+    """What a run of equal characters may stand for, and the channel's cost: a slot, or one per mask."""
+    char, n = run[0], len(run)
+    if char in MASKS:
+        return [[("", COST_NO_LETTER)] + [(c, COST_MASK) for c in LETTERS]] * n
+    if char in LETTERS:
+        options = [(char * min(n, 2), 0.0 if n <= 2 else COST_RUN)]
+        if n > 1:
+            options.append((char, COST_PAIR if n == 2 else COST_RUN))
+        return [options]
+    if char in SEPARATORS:
+        return [[("", COST_SKIP)]]
+    if char in LOOKS_LIKE:
+        return [[(c * m, COST_LOOK) for c in LOOKS_LIKE[char] for m in {1, min(n, 2)}]]
+    return [[(char * n, 0.0 if char.isalpha() else COST_OTHER)]]
+
+
 def as_it_stands(token: str) -> float:
     """What it costs to take a token for no word at all."""
     cost, before = 0.0, None
@@ -210,14 +282,17 @@ class Restorer(dict):
         self.decoder = decoder
 
     def restored(self, token: str) -> str:
-        core = core_of(folded(token))
-        if core.isalpha() and not _TWICE.search(core):
-            return core
+        text = folded(token)
+        core = text.lstrip(_BEFORE).rstrip(_AFTER)
+        if not core.isalpha():
+            core = core_of(text)
+        if core.isalpha():
+            several = _TWICE.search(core) and sum(1 for _ in _RUNS.finditer(core)) <= MOST_RUNS
+            return self.decoder.decode(core) if several else core
         places = sum(map(core.count, MASKS))
         if places > MOST_MASKS or 2 * places >= len(core) or sum(1 for _ in groupby(core)) > MOST_RUNS:
             return core
-        limit = math.inf if core.isalpha() else as_it_stands(core)
-        found = self.decoder.reading(core, limit) if core else None
+        found = self.decoder.reading(core, as_it_stands(core)) if core else None
         return found[1] if found else core
 
     def __missing__(self, token: bytes) -> str:
@@ -260,7 +335,7 @@ class KeyIndex(dict):
         self.position = {w: k for k, w in enumerate(words)}
 
     def __missing__(self, token: bytes) -> tuple[int, ...]:
-        found = keys_of(self.restorer[token]) + masked(token)
+        found = keys_of(self.restorer.restored(token.decode())) + masked(token)
         at = tuple(self.position[w] for w in found if w in self.position)
         if len(self) >= MEMORY_WORDS:
             self.clear()
